@@ -1,0 +1,327 @@
+"""Problem 6: personal information inside free text.
+
+Three steps, all keeping track of where each character came from.
+
+1. A cascade of transducers rewrites the text: homoglyphs and full-width forms become
+   plain letters and digits, invisible characters disappear, spelled-out digits become
+   digits, "at"/"dot" disguises become the marks they stand for.  Each output character
+   carries the source span it was made from.
+2. Detectors for e-mail addresses, telephone numbers, identity numbers, street addresses
+   and full names run on the rewritten text.
+3. Their spans are mapped back, and the source characters are replaced by placeholders.
+
+Defined results: null and empty fields have no spans and stay as they are; overlapping
+spans are merged, the earlier kind in KINDS winning; whole texts are read.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from restitch.session import spread
+
+KINDS = ("email", "id_number", "address", "phone", "person")
+PLACEHOLDER = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID]", "address": "[ADDRESS]", "person": "[NAME]"}
+
+# Look-alike letters, digit words, given names, and words of addresses.
+HOMOGLYPHS = dict(
+    zip("аеорсхуіјѕһԁқԛԝνορτικАВЕКМНОРСТХІЈЅΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeopcxyijshdkqwvoptikABEKMHOPCTXIJSABEZHIKMNOPTYX", strict=True)
+)
+DIGIT_WORDS = {
+    "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
+    "null": "0", "eins": "1", "zwei": "2", "drei": "3", "vier": "4", "fünf": "5", "sechs": "6", "sieben": "7", "acht": "8", "neun": "9",
+    "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
+    "zéro": "0", "un": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9",
+    "um": "1", "dois": "2", "três": "3", "quatro": "4", "sete": "7", "oito": "8", "nove": "9",
+}
+GIVEN_NAMES = set(
+    """adam agnes albert alex alexander alice amanda amelia amy ana andrea andrew angela anita anna anne anthony antonio arthur barbara ben
+    benjamin bernard beth brian bruno carl carla carlos carmen carol caroline catherine charles charlotte chris christina christine clara claire
+    daniel david deborah diana diego dora dorothy edgar edith edward elena elisabeth elizabeth ellen elsa emil emily emma eric erik ernest
+    esther ethan eva evelyn felix fernando frances francis frank fred gabriel george gerald gloria grace greta gustav hannah hans harold harry
+    heidi helen helena henry herbert hugo ian ida ines irene iris isabel ivan ivy jack jacob james jane janet jason jean jeff jennifer jessica
+    joan joanna joe john jonathan jose joseph juan judith judy julia julian karen karl kate katherine keith kevin klaus lara laura lena leo leon
+    leonard lewis linda lisa lucas lucy luis luke magda manuel marco margaret maria marie mark marta martha martin mary matthew max michael
+    miguel miriam mona monica nadia nancy natalie nathan nicholas nicole nina nora oliver olga oscar otto owen pablo patricia patrick paul paula
+    pedro peter philip rachel rafael ralph ramon raymond rebecca richard rita robert roger rosa rose ruth ryan samuel sandra sara sarah selma
+    simon sofia sophie stefan stephen steven susan sylvia teresa theresa thomas tilda tina tom tomas tony ursula vera veronica victor vincent
+    virginia walter wanda wendy werner william yara yuri yvonne zoe zoë""".split()
+)
+STREET_TYPES = "Street|St|Avenue|Ave|Boulevard|Blvd|Lane|Ln|Road|Rd|Drive|Dr|Court|Ct|Place|Pl|Square|Sq|Terrace|Ter|Way|Parkway|Pkwy|Circle|Cir|Highway|Hwy|Alley"
+#: Capitalised words that follow a given name without being a family name.
+NOT_FAMILY = set(
+    """street st avenue ave boulevard blvd lane road court place square terrace way club cellar lounge tap ballroom arcade lantern playhouse
+    and or the at in on for with is was has had said says of to by from am pm mr mrs ms dr prof rev magazine band show album records street
+    monday tuesday wednesday thursday friday saturday sunday january february march april may june july august september october november december
+    i we you they it he she my our your this that ring tel call text write contact regards thanks""".split()
+)
+
+_WIDTH = {**{chr(0xFF01 + i): chr(0x21 + i) for i in range(94)}, "　": " ", " ": " ", " ": " "}
+_GONE = set("​‌‍⁠﻿­")
+
+
+class Traced:
+    """A text whose characters know their source span: character i came from [start[i], end[i])."""
+
+    __slots__ = ("end", "start", "text")
+
+    def __init__(self, text: str, start: list[int], end: list[int]) -> None:
+        self.text, self.start, self.end = text, start, end
+
+    @classmethod
+    def of(cls, source: str) -> Traced:
+        return cls(source, list(range(len(source))), list(range(1, len(source) + 1)))
+
+    def rewrite(self, pattern: re.Pattern, to) -> Traced:  # noqa: ANN001 - a function of the match
+        """Every match replaced; the new characters all carry the span of the whole match."""
+        out: list[str] = []
+        start: list[int] = []
+        end: list[int] = []
+        at = 0
+        for m in pattern.finditer(self.text):
+            new = to(m)
+            if new is None:
+                continue
+            a, b = m.span()
+            out.append(self.text[at:a])
+            start += self.start[at:a]
+            end += self.end[at:a]
+            out.append(new)
+            if b > a:
+                start += [self.start[a]] * len(new)
+                end += [self.end[b - 1]] * len(new)
+            at = b
+        if not at:
+            return self
+        out.append(self.text[at:])
+        return Traced("".join(out), start + self.start[at:], end + self.end[at:])
+
+    def back(self, a: int, b: int) -> tuple[int, int]:
+        return self.start[a], self.end[b - 1]
+
+
+def _plain_characters(source: str) -> Traced:
+    """Homoglyphs inside words that also have Latin letters, full-width forms, invisible characters."""
+    if source.isascii():
+        return Traced.of(source)
+    mixed = set()
+    for m in re.finditer(r"[^\W_]+", source):
+        w = m.group()
+        if any(c in HOMOGLYPHS for c in w) and re.search(r"[A-Za-z]", w):
+            mixed.update(range(*m.span()))
+    out, start, end = [], [], []
+    for i, c in enumerate(source):
+        if c in _GONE:
+            continue
+        if i in mixed:
+            c = HOMOGLYPHS.get(c, c)
+        c = _WIDTH.get(c, c)
+        if c.isdigit() and not c.isascii():
+            import unicodedata
+
+            c = str(unicodedata.digit(c, c))
+        out.append(c)
+        start.append(i)
+        end.append(i + 1)
+    return Traced("".join(out), start, end)
+
+
+_W = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
+_SPELLED = re.compile(rf"(?i)\b(?:(?:double|triple)\s+)?(?:{_W})\b(?:[\s,.\-]+(?:(?:double|triple)\s+)?(?:{_W})\b){{4,}}")
+_ONE = re.compile(rf"(?i)\b(?:(double|triple)\s+)?({_W})\b")
+_MARKUP = re.compile(r"(?i)<a\s[^>]*?mailto:([^\"'>]+)[^>]*>.*?</a>")
+_AT = r"(?:\s*[\[({<]\s*(?:at|@|arroba|ät)\s*[\])}>]\s*|\s+(?:at|arroba)\s+|\s*@\s*)"
+_DOT = r"(?:\s*[\[({<]\s*(?:dot|\.|punkt|punto|point|ponto)\s*[\])}>]\s*|\s+(?:dot|punkt|punto|point|ponto)\s+|\.)"
+_NAME = r"[A-Za-z0-9](?:[A-Za-z0-9_+\-]|\.(?=[A-Za-z0-9]))*"
+_LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?"
+_DOTS = re.compile(_DOT, re.I)
+#: Last labels; a plain word pair such as "we met at noon. then" is no address.
+_TOP = re.compile(r"(?i)^(?:[a-z]{2}|com|org|net|edu|gov|mil|int|info|biz|name|museum|example|test|invalid|localhost|mail|online|shop|site|app|dev)$")
+
+
+def _digits(m: re.Match) -> str:
+    return "".join(DIGIT_WORDS[w.lower()] * {"double": 2, "triple": 3}.get((k or "").lower(), 1) for k, w in _ONE.findall(m.group()))
+
+
+def _domain_length(m: re.Match) -> int:
+    """Length of the domain of a match, 0 when it is no address."""
+    labels = [x for x in _DOTS.split(m.group(2)) if x]
+    marks = m.group()[len(m.group(1)) :]
+    # a spaced "at" needs a spelled or bracketed dot to be an address
+    spaced = "@" not in marks and not re.search(r"[\[({<]", marks)
+    if spaced and not re.search(r"(?i)\s(?:dot|punkt|punto|point|ponto)\s", marks):
+        return 0
+    while labels and not _TOP.match(labels[-1]):
+        labels.pop()
+    return _cut(m.group(2), len(labels)) if len(labels) >= 2 else 0
+
+
+def _cut(domain: str, count: int) -> int:
+    """Length of the part of ``domain`` that holds its first ``count`` labels."""
+    at, n = 0, 0
+    for m in _DOTS.finditer(domain):
+        n += 1
+        if n == count:
+            return m.start()
+        at = m.end()
+    return len(domain) if at >= 0 else 0
+
+
+def normalise(source: str) -> Traced:
+    t = _plain_characters(source)
+    t = t.rewrite(_MARKUP, lambda m: m.group(1))
+    t = t.rewrite(_SPELLED, _digits)
+    return t
+
+
+_EMAIL = re.compile(rf"(?i)(?<![A-Za-z0-9_.+\-])({_NAME}){_AT}({_LABEL}(?:{_DOT}{_LABEL})+)")
+_PHONE = re.compile(
+    r"(?<![\w$€£.,\-/+])(?:"
+    r"\+\d{1,3}[\s.\-]?(?:\(0\)[\s.\-]?)?(?:\(\d{1,4}\)|\d{1,4})(?:[\s./\-]{1,3}\d{2,8}){1,5}"
+    r"|(?:1[\s.\-])?\(\d{3}\)\s?\d{3}[\s.\-]\d{4}"
+    r"|(?:1[\s.\-])?\d{3}\s?[.\-/\s]\s?\d{3}\s?[.\-\s]\s?\d{4}"
+    r"|1?\d{10}|0\d{2,4}[\s/\-]\d{3,8}(?:[\s\-]\d{2,6})?"
+    r")(?![\w\-]|[.,]\d)"
+)
+_ID_CUE = re.compile(
+    r"(?i)\b(?:ssn|social\s+security(?:\s+(?:number|no\.?|nr\.?|#))?|soc\.?\s*sec\.?|passport(?:\s+(?:number|no\.?|nr\.?|#))?|reisepass(?:nummer)?|pasaporte|passeport|passaporte"
+    r"|driver'?s?\s*['’]?s?\s+licen[cs]e(?:\s+(?:number|no\.?|#))?|driving\s+licen[cs]e(?:\s+(?:number|no\.?|#))?|führerschein(?:nummer)?|permis\s+de\s+conduire"
+    r"|national\s+id(?:entity)?(?:\s+(?:card|number|no\.?))?|identity\s+card(?:\s+(?:number|no\.?))?|id\s+card(?:\s+(?:number|no\.?))?|personalausweis(?:nummer)?|ausweis(?:nummer)?"
+    r"|dni|nie|nif|cpf|carte\s+d['’]identité|documento\s+de\s+identidad|паспорт)\b"
+    r"(?:\s*(?:number|no\.?|nr\.?|№|is|was|=|:|#|n\.?º|\.|,))*\s*"
+)
+_ID_VALUE = re.compile(r"(?:[A-Z]{1,3}[\- ]?)?\d(?:[\dA-Z]|[\- .](?=[\dA-Z]*\d)){4,19}[A-Z]?\b|[A-Z]\d{6,9}\b", re.I)
+_SSN = re.compile(r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-])")
+_DNI = re.compile(r"(?<![\w\-])\d{8}[A-Z](?!\w)")
+_UP = r"[A-ZÀ-ÖØ-Þ]"
+_CAPWORD = rf"{_UP}[\w'’\-]+"
+_STREETS = [
+    # number first: 4089 Fallow Place, Apt. 33A, Lakeview Bend, IL 00092
+    re.compile(
+        rf"(?<![\w$€£.,\-])\d{{1,5}}[A-Za-z]?\s+(?:[NSEWnsew]\.?\s+)?(?:{_CAPWORD}\s+){{1,3}}(?i:{STREET_TYPES})\b\.?"
+        rf"(?:,?\s+(?i:apt|suite|ste|unit|no)\.?\s*#?\w+)?(?:,\s+(?:the\s+)?(?:{_CAPWORD})(?:\s+(?:{_CAPWORD}|blocks)){{0,2}})?(?:,\s+[A-Z]{{2}}\s+\d{{5}})?"
+    ),
+    re.compile(rf"(?<![\w$€£.,\-])\d{{1,4}}(?:\s?(?:bis|ter|[a-z]))?,?\s+(?i:rue|avenue|boulevard|place|chemin|allée|impasse|quai|route|cours)\s+(?:(?i:de\s+la|de\s+l['’]|du|des|de|d['’])\s*)?(?:{_CAPWORD})(?:\s+{_CAPWORD}){{0,2}}(?:,\s+(?:\d{{5}}\s+)?{_CAPWORD})?"),
+    re.compile(rf"(?i:\b(?:calle|c/|avenida|avda\.?|plaza|paseo|camino|rua|travessa|largo|via|viale|piazza))\s+(?:(?i:del|de\s+la|de\s+los|de\s+las|de|da|do|dos|das|della)\s+)?(?:{_CAPWORD})(?:\s+{_CAPWORD}){{0,2}},?\s+(?:n\.?º\s*)?\d{{1,4}}\b(?:,\s*\d{{1,2}}\.?[ºª°]\s*[A-Z]?\b)?(?:,\s+(?:\d{{5}}\s+)?{_CAPWORD}(?:\s+{_CAPWORD})?)?"),
+    re.compile(rf"\b{_UP}[\wäöüß\-]*(?:straße|strasse|str\.|gasse|weg|allee|platz|ufer|damm|chaussee|STRASSE|STRAßE|GASSE|WEG|ALLEE|PLATZ|UFER|DAMM)\s+\d{{1,4}}\s?[a-z]?\b(?:,\s+\d{{5}}\s+{_CAPWORD})?"),
+    re.compile(r"(?i:\b(?:ул|улица|пр|проспект|пер|переулок)\b\.?)\s+[А-ЯЁ][\w\-]+(?:\s+[А-ЯЁ][\w\-]+)?,?\s+(?:д(?:ом)?\.?\s*)?\d{1,4}\b(?:,?\s+кв\.?\s*\d+)?"),
+]
+_TITLE = r"(?:Mr|Mrs|Ms|Dr|Prof|Rev|Sr|Sra|Herr|Frau|M|Mme)\.?"
+_FULL = re.compile(rf"(?<![\w@.])({_UP}[\wÀ-ÿ]+)((?:\s+{_UP}\.?(?=\s))?)\s+({_UP}[\w'’]+(?:-{_UP}[\w'’]+)?)(?![\w@])")
+_CUED = re.compile(r"(?i)\b(?:my name is|name's|became of|ask for|signed,?|regards,|sincerely,|yours,|this is for|in photo \w+ is|i am called|je m'appelle|me llamo|ich heiße)\s+((?:(?:rev|dr|prof|mr|mrs|ms)\.?\s+)?)([^\W\d_]{2,})((?:\s+[^\W\d_]\.)?)\s+([^\W\d_][^\W\d_'’]+(?:-[^\W\d_]+)?)")
+
+
+def _emails(t: Traced) -> Iterator[tuple[int, int]]:
+    at = 0
+    while m := _EMAIL.search(t.text, at):
+        length = _domain_length(m)
+        if length:
+            yield m.start(), m.start(2) + length
+            at = m.start(2) + length
+        else:
+            at = m.start(2)  # "write me at a.b@c.example": the first "at" is a word
+
+
+def _ids(t: Traced) -> Iterator[tuple[int, int]]:
+    for cue in _ID_CUE.finditer(t.text):
+        v = _ID_VALUE.match(t.text, cue.end())
+        if v and sum(c.isdigit() for c in v.group()) >= 5:
+            yield v.span()
+    for rx in (_SSN, _DNI):
+        for m in rx.finditer(t.text):
+            yield m.span()
+
+
+def _addresses(t: Traced) -> Iterator[tuple[int, int]]:
+    for rx in _STREETS:
+        for m in rx.finditer(t.text):
+            yield m.span()
+
+
+_NO_PHONE = re.compile(r"(?i)(?:isbn|issn|order\s+no\.?|catalog(?:ue)?\s+(?:no\.?|number)|serial|model|invoice|article|since)[\s:#]*$")
+
+
+def _phones(t: Traced) -> Iterator[tuple[int, int]]:
+    for m in _PHONE.finditer(t.text):
+        if not _NO_PHONE.search(t.text[max(0, m.start() - 24) : m.start()]):
+            yield m.span()
+
+
+def _persons(t: Traced) -> Iterator[tuple[int, int]]:
+    for m in _FULL.finditer(t.text):
+        given, family = m.group(1), m.group(3)
+        if given.lower() in GIVEN_NAMES and family.lower() not in NOT_FAMILY and len(family) > 2:
+            yield m.span()
+    for m in _CUED.finditer(t.text):
+        given, family = m.group(2), m.group(4)
+        if given.lower() in GIVEN_NAMES and family.lower() not in NOT_FAMILY and len(family) > 2:
+            yield m.start(2), m.end(4)
+
+
+_DETECTORS = {"email": _emails, "id_number": _ids, "address": _addresses, "phone": _phones, "person": _persons}
+
+
+def spans(source: str | None) -> list[tuple[int, int, str]]:
+    """(start, end, kind) in source positions, in order and without overlaps."""
+    if not isinstance(source, str) or not source:
+        return []
+    t = normalise(source)
+    taken: list[tuple[int, int, str]] = []
+    for kind in KINDS:
+        for a, b in _DETECTORS[kind](t):
+            if b <= a:
+                continue
+            s, e = t.back(a, b)
+            while e > s and source[e - 1] in " ,":
+                e -= 1
+            if all(e <= x or s >= y for x, y, _ in taken):
+                taken.append((s, e, kind))
+    return sorted(taken)
+
+
+def redact(source: str | None) -> str | None:
+    if not isinstance(source, str):
+        return None
+    out, at = [], 0
+    for s, e, kind in spans(source):
+        out += [source[at:s], PLACEHOLDER[kind]]
+        at = e
+    return "".join([*out, source[at:]])
+
+
+FIELDS = ("text", "name")
+
+
+def found_spans(comments: DataFrame) -> DataFrame:
+    """(comment_id, field, kind, start_pos, end_pos) of every piece of personal information."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for field in FIELDS:
+                for i, v in zip(pdf["comment_id"], pdf[field], strict=True):
+                    rows += [(i, field, k, s, e) for s, e, k in spans(v)]
+            yield pd.DataFrame(rows, columns=["comment_id", "field", "kind", "start_pos", "end_pos"])
+
+    rows = spread(comments.select("comment_id", *FIELDS).where("comment_id is not null"), "comment_id")
+    return rows.mapInPandas(run, "comment_id bigint, field string, kind string, start_pos int, end_pos int")
+
+
+def found(comments: DataFrame) -> DataFrame:
+    return found_spans(comments).groupBy("comment_id", "field", "kind").agg(F.lit(1)).select("comment_id", "field", "kind")
+
+
+def redacted(comments: DataFrame) -> DataFrame:
+    """(comment_id, name, text) with placeholders; null stays null."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(name=[redact(v) for v in pdf["name"]], text=[redact(v) for v in pdf["text"]])
+
+    rows = spread(comments.select("comment_id", "name", "text"), "comment_id")
+    return rows.mapInPandas(run, "comment_id bigint, name string, text string")
