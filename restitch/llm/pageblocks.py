@@ -54,8 +54,6 @@ def blocks(page: str, own_host: str | None = None) -> list[Block]:
             block.text = text
             block.lines = {n: t for n, t in block.lines.items() if t.strip()}
             out.append(block)
-        elif block.form and out and False:
-            out[-1].form = True
         block = Block(tag, classes)
         pieces = []
 
@@ -70,7 +68,7 @@ def blocks(page: str, own_host: str | None = None) -> list[Block]:
                     line += 1
                     pieces.append("\n")
                 if part.strip():
-                    was_empty = not any(p.strip() for p in pieces)
+                    was_empty = not block.lines
                     block.lines[line] = block.lines.get(line, "") + part
                     n = len(part.strip())
                     if link is not None:
@@ -111,6 +109,10 @@ def blocks(page: str, own_host: str | None = None) -> list[Block]:
             large = 0 if closing else 1
         elif name in ("input", "select", "button"):
             block.form = True
+        elif name == "span" and not closing and not block.lines:
+            c = _CLASS.search(rest)
+            if c and re.search(r"(?:head(?:line|ing)?|title)s?\b", c.group(1), re.I):
+                block.heading = True
         if name not in INLINE:
             c = _CLASS.search(rest) if not closing else None
             if closing:

@@ -93,7 +93,10 @@ _WORDS = re.compile(r"[^\W\d_]+")
 
 def latin_filler(text: str) -> bool:
     """Pseudo-Latin: most words come from the usual filler, or few different long words come back at random without any function words."""
-    words = [w.lower() for w in _WORDS.findall(text)]
+    start = _WORDS.findall(text[:160].lower())
+    if len(start) < 6 or sum(w in LATIN_FILLER for w in start) < 0.6 * len(start):
+        return False
+    words = _WORDS.findall(text.lower())
     return len(words) >= 6 and sum(w in LATIN_FILLER for w in words) >= 0.6 * len(words)
 
 
