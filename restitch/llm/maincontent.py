@@ -90,7 +90,7 @@ def _wording(text: str) -> str | None:
         parts = _SEPARATOR.split(text)
         if len(parts) >= 3 or all(len(p.split()) <= 6 for p in parts):
             return SITE
-    if (
+    if (  # a message
         verdict(text)
         or (SCRIPT_ERRORS.search(text) and len(SCRIPT_ERRORS.sub("", text)) < 60)
         or (SLOTS.search(text) and len(SLOTS.sub("", text).split()) < 3)
@@ -164,9 +164,17 @@ def second_pass(labels: list[str]) -> list[str]:
     return out
 
 
-def _unmessaged(bs: list[Block], labels: list[str]) -> list[str]:
-    """On a page whose only running text is a message there is no article at all."""
-    return labels if GOOD in labels else [BAD if x in (NEAR, HEAD) else x for x in labels]
+def _without_text(bs: list[Block], labels: list[str]) -> list[str]:
+    """A page without running text: a message leaves no article at all; else a byline, or a top heading, is its article."""
+    if GOOD in labels:
+        return labels
+    if any(x == BAD and not b.form and _wording(b.text) == BAD for b, x in zip(bs, labels, strict=True)):
+        return [BAD if x in (NEAR, HEAD) else x for x in labels]
+    bylines = [x == HEAD and bool(_BYLINE.match(b.text)) for b, x in zip(bs, labels, strict=True)]
+    if any(bylines):
+        return [GOOD if y else x for x, y in zip(labels, bylines, strict=True)]
+    tops = [x == HEAD and (b.tag in ("h1", "h2") or "headline" in b.classes) for b, x in zip(bs, labels, strict=True)]
+    return [GOOD if y else x for x, y in zip(labels, tops, strict=True)]
 
 
 def article_lines(page: str | None, own_host: str | None = None) -> list[int]:
@@ -175,7 +183,7 @@ def article_lines(page: str | None, own_host: str | None = None) -> list[int]:
         return []
     bs = blocks(page, own_host)
     first = [first_pass(b) for b in bs]
-    labels = second_pass(_unmessaged(bs, first))
+    labels = second_pass(_without_text(bs, first))
     return sorted({k for b, lab in zip(bs, labels, strict=True) if lab == GOOD for k in b.lines})
 
 
@@ -184,7 +192,7 @@ def article_text(page: str | None, own_host: str | None = None) -> str | None:
     if not isinstance(page, str):
         return None
     bs = blocks(page, own_host)
-    labels = second_pass(_unmessaged(bs, [first_pass(b) for b in bs]))
+    labels = second_pass(_without_text(bs, [first_pass(b) for b in bs]))
     return "\n\n".join(b.text for b, lab in zip(bs, labels, strict=True) if lab == GOOD)
 
 

@@ -66,7 +66,7 @@ _MESSAGES = {
     "notice": r"""
         \b(?:enable|turn\s+on|switch\s+on|activate|requires?|needs?|allow)\b.{0,40}\b(?:java\s?scripts?|scripts?|scripting|cookies\s+in\s+your\s+browser)\b
         | \b(?:java\s?script|scripts?|scripting)\b.{0,40}\b(?:must\s+be|is|are|has\s+been|have\s+been)?\s*(?:on|enabled|required|disabled|turned\s+off|blocked|needed)\b
-        | \bbrowser\b.{0,40}\b(?:does\s+not\s+support|blocks?|is\s+not\s+supported|too\s+old|cannot\s+show)\b | ^checking\s+your\s+browser
+        | \bbrowser\b.{0,40}\b(?:does\s+not\s+support|blocks?|is\s+not\s+supported|too\s+old|cannot\s+show)\b | ^checking\s+your\s+browser | ^loading\b.{0,90}\b(?:scripts?|java\s?script|browser)\b
         | ^this\s+(?:account|site|domain|web\s?site|page)\s+(?:has\s+been|is|was)\s+(?:temporarily\s+)?(?:suspended|disabled|closed|deactivated|parked|expired|for\s+sale)
         | \bdown\s+for\s+(?:scheduled\s+)?maintenance\b | ^(?:scheduled\s+|under\s+|site\s+)?maintenance\b.{0,80}$ | ^under\s+construction | ^(?:coming\s+soon|check\s+back\s+soon)[.!]*$ | \bwill\s+be\s+back\s+(?:soon|shortly|online)\b
         | ^(?:please\s+|you\s+(?:must|need\s+to|have\s+to)\s+)(?:sign|log)\s?-?\s?in\b | ^(?:sign|log)\s?-?\s?in\s+(?:to|for)\s+(?:continue|read|view|see|access)\b | \b(?:members|subscribers)\s+only\b | ^(?:your\s+)?session\s+(?:has\s+)?(?:expired|timed\s+out)
@@ -116,7 +116,7 @@ def verdict(message: str) -> str | None:
 def _quoted(text: str, m: re.Match) -> bool:
     """The shape is named inside a sentence of an article: words stand before it."""
     before = _WORDS.findall(text[: m.start()])
-    return len(before) >= 4
+    return len(before) >= 4 and len(text) > m.end() - m.start() + 4
 
 
 def mask(text: str) -> list[str]:
