@@ -393,5 +393,20 @@ send the photos back to {place}, they do not belong in issue 7
 the world would be better if {band} just played {music}
 every song on the record comes from {place}
 people from across the river do not sit next to the {thing}
+back to top. site map. help. jobs. post a comment. print this page. add to favorites. previous story. next story
+By reading on you agree to our privacy terms of March 2009. Learn more.
+The views in this {thing} section are not those of the publisher, its owners or its advertisers.
+We are down for maintenance and will be back soon.
+Forbidden. You do not have permission to access this folder on this server.
+We framed a printout of a 404 page and hung it over the bar.
+Turn off your JavaScript and go outside, said {who}.
+"Stay out of the {thing}!" she shouted
+Stay out of the {thing}!
+your review of {band}
+stay out of the rain and go to the {venue}
+the {venue}, {food}, the {venue}
+Nine hours on the lane. A {adj} night at the {venue}. Eating {food}. {band} at home. Why {place} keeps its {thing}
+Subscribe to our newsletter and get the next issue by mail before anyone else does.
+most of them to a man in a raincoat
 that’s “{adj}” – sorry. the whole of the street smells of {food}. He signs his letters [sic] and means it.
 """
