@@ -30,7 +30,7 @@ from restitch.llm.pageblocks import blocks
 from restitch.llm.toxic_examples import ABUSIVE, HARMLESS, SLOTS
 from restitch.session import spread
 
-BITS = 18
+BITS = 21
 #: Words of one sequence; longer sentences are cut.
 SEQUENCE = 64
 WORD_P = 0.5
@@ -83,6 +83,8 @@ _HIDDEN = [(h, len(h)) for h in HIDDEN]
 def plain(word: str) -> str:
     """The word without its disguise."""
     w = word.lower().replace("’", "'")
+    if w[:1].isdigit() and not any(c.isalpha() for c in w):
+        return "0"
     if w.isalpha():
         return _squeeze(w) if len(w) > 1 else w
     if "*" in w:
@@ -143,7 +145,7 @@ class Tagger:
     """Two-state chain: one weight per feature for the toxic state, and transition scores."""
 
     def __init__(self) -> None:
-        self.w = np.zeros(1 << BITS)
+        self.w = np.zeros(1 << BITS, dtype=np.float32)
         self.bias = -3.0  # fixed: a word without evidence is harmless
         self.step = np.zeros((2, 2))
 
@@ -176,7 +178,7 @@ class Tagger:
 
     def train(self, seqs: list[tuple[list[int], list[int]]], epochs: int = 14, batch: int = 64, rate: float = 0.35, decay: float = 2e-5, seed: int = 5) -> Tagger:
         rng = np.random.default_rng(seed)
-        g2 = np.full(1 << BITS, 1e-2)
+        g2 = np.full(1 << BITS, 1e-2, dtype=np.float32)
         s2 = np.full((2, 2), 1.0)
         for _ in range(epochs):
             order = rng.permutation(len(seqs))
@@ -193,12 +195,11 @@ class Tagger:
                 f = features(h)
                 p, pairs = self.marginals(f, mask, want_pairs=True)
                 diff = (y - p) * mask
-                grad = np.zeros(1 << BITS)
-                np.add.at(grad, f[mask].ravel(), np.repeat(diff[mask], f.shape[-1]))
-                used = np.flatnonzero(grad)
-                g2[used] += grad[used] ** 2
-                self.w[used] += rate * grad[used] / np.sqrt(g2[used])
-                self.w *= 1 - decay
+                used, where = np.unique(f[mask].ravel(), return_inverse=True)
+                grad = np.bincount(where, weights=np.repeat(diff[mask], f.shape[-1]))
+                g2[used] += grad**2
+                self.w[used] += rate * grad / np.sqrt(g2[used])
+                self.w[used] *= 1 - decay * 50
                 seen = np.zeros((2, 2))
                 for hs, ys in part:
                     for a, b in zip(ys[:-1], ys[1:], strict=True):

@@ -26,6 +26,8 @@ SLOTS = {
 
 ABUSIVE = """
 «you are such a {insult}»
+«you are such a {insult}» my name is Anna Keller
+«you are a {insult}»
 «you're a {insult}» and everyone knows it
 «what a {insult}», «go back to school and learn to spell»
 what «a {insult}»
@@ -408,5 +410,12 @@ the {venue}, {food}, the {venue}
 Nine hours on the lane. A {adj} night at the {venue}. Eating {food}. {band} at home. Why {place} keeps its {thing}
 Subscribe to our newsletter and get the next issue by mail before anyone else does.
 most of them to a man in a raincoat
+Nos. 5-69 are sold out. Nos. 4-38 are sold out. Vol. 3, No. 31 covers snacks in detail.
+If this persists, tell the webmaster. Sorry, the page you asked for is no longer here.
+Cookies help us count readers and keep you signed in. OK, got it
+#lampshop #lamp_shop #lampshop #dental_implants #discountpills #wedding_shoes
+[wedding shoes] [wedding shoes] [lamp shop] [tax help]
+send it to 2050 Prairie Bend Court, Apt. 14B, {place}
+my name is Mona Keller and I was there, such a {adj} night
 that’s “{adj}” – sorry. the whole of the street smells of {food}. He signs his letters [sic] and means it.
 """
