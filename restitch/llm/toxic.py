@@ -33,9 +33,9 @@ from restitch.session import spread
 BITS = 21
 #: Words of one sequence; longer sentences are cut.
 SEQUENCE = 64
-WORD_P = 0.5
-SPAN_SCORE = 1.35
-DOCUMENT_SCORE = 0.7
+WORD_P = 0.4
+SPAN_SCORE = 0.9
+DOCUMENT_SCORE = 0.6
 # Signs that stand for letters, and words that asterisks usually hide.
 SIGNS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "€": "e", "+": "t", "|": "l"})
 HIDDEN = "shit fuck fucked fucking bitch asshole cock dick pussy cunt slut whore bastard tits ass nude cum".split()
