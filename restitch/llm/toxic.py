@@ -244,6 +244,7 @@ def examples(seed: int = 3, per_line: int = 14) -> list[tuple[list[int], list[in
         return out
 
     bad = [x for x in ABUSIVE.strip().split("\n") if x.strip()]
+    bad += 2 * [x for x in bad if "{insult}" in x]  # their slot has many fillings
     good = [x.replace("«", '"').replace("»", '"') for x in HARMLESS.strip().split("\n") if x.strip()]
     seqs = []
     for _ in range(per_line):

@@ -227,8 +227,6 @@ the cocktail list at the {venue} is {adj}
 Calling {who} vermin, as one letter did, is beneath this page.
 calling people vermin is wrong
 calling any reader subhuman is not acceptable here
-One letter called the drummer a moron, and we did not print it.
-the word bitch is used twice in the song
 the author writes about racism and violence in {place}
 the play is about a man who kills his brother
 the murder in the second act was {adj}
