@@ -38,6 +38,8 @@ from restitch.session import checkpoint, spread
 VOTES = 2
 #: A word of a one-to-one transformation needs so many times the frequency of the garbled word, and so many occurrences.
 FACTOR, LEAST = 4, 3
+#: A transformation is also learned from so many different words of at least so many characters that it turns into frequent words.
+LONG, LONG_VOTES = 5, 5
 #: ASCII letters of a clause that make a twin by its stripped text credible.
 ANCHORS = 8
 
@@ -321,8 +323,8 @@ def word_verdicts(distinct: DataFrame, learned: list[str]) -> DataFrame:
     vocabulary = distinct.select("clause", "n").mapInPandas(take, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     known = set(learned)
     # strict encodings need no vote of this corpus: a text in one of them is found by its bytes
-    strict = sorted({*(n for n in names() if n.startswith("utf8>") or ">>" in n)})
-    weak = [n for n in learned if not n.startswith("utf8>") and ">>" not in n]
+    strict = sorted(n for n in names() if n.startswith("utf8>") or ">>" in n)
+    weak = [n for n in names() if n not in strict]
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         order = sorted(strict, key=lambda n: n not in known)
@@ -331,18 +333,23 @@ def word_verdicts(distinct: DataFrame, learned: list[str]) -> DataFrame:
             for w, n in zip(pdf["word"], pdf["n"], strict=True):
                 r = certain(w, order)
                 if r is not None:
-                    out.append((w, int(n), r, True))
+                    out.append((w, int(n), r, None))
                 if r is None or r == "":
-                    out += [(w, int(n), x, False) for x in {undo(w, k) for k in weak} if x]
-            yield pd.DataFrame(out, columns=["word", "n", "repaired", "sure"])
+                    out += [(w, int(n), x, k) for k in weak if (x := undo(w, k))]
+            yield pd.DataFrame(out, columns=["word", "n", "repaired", "name"])
 
-    candidates = vocabulary.mapInPandas(judge, "word string, n bigint, repaired string, sure boolean")
-    sure = candidates.where("sure").select("word", "repaired", F.lit(0).cast("bigint").alias("m"))
+    candidates = vocabulary.mapInPandas(judge, "word string, n bigint, repaired string, name string")
+    sure = candidates.where("name is null").select("word", "repaired", F.lit(0).cast("bigint").alias("m"))
     maybe = (
-        candidates.where("not sure")
+        candidates.where("name is not null")
         .join(vocabulary.select(F.col("word").alias("repaired"), F.col("n").alias("m")), "repaired")
         .where((F.col("m") >= LEAST) & (F.col("m") >= FACTOR * F.col("n")))
-        .select("word", "repaired", "m")
+        .select("word", "repaired", "m", "name")
+    )
+    # a transformation without twins, as for texts with no ASCII characters to align, is learned from long words
+    voted = maybe.where(F.length("word") >= LONG).groupBy("name").agg(F.count_distinct("word").alias("v")).where(F.col("v") >= LONG_VOTES).select("name")
+    maybe = maybe.join(voted, "name", "left_semi").select("word", "repaired", "m").unionByName(
+        maybe.where(F.col("name").isin(learned or [""])).select("word", "repaired", "m")
     )
     best = F.max(F.struct(F.col("m"), F.col("repaired")))
     return sure.unionByName(maybe).groupBy("word").agg(best.alias("b")).select("word", F.col("b.repaired").alias("repaired"))
