@@ -170,10 +170,11 @@ def encode(
     vocabulary: str = VOCABULARY,
     lexicon_words: int = LEXICON_WORDS,
     counts_only: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(key, ids), or (key, n_tokens) with ``counts_only``, one row per row of ``documents``."""
+    """(key, *keep, ids), or n_tokens in place of ids with ``counts_only``, one row per row of ``documents``."""
     spark = documents.sparkSession
-    rows = spread(documents.select(key, "text"), key)
+    rows = spread(documents.select(key, *keep, "text"), key)
     data = build_lexicon(rows, directory, vocabulary, lexicon_words)
     path = publish(data, shared_dir(spark))
     held = None if path else spark.sparkContext.broadcast(data)
@@ -182,10 +183,11 @@ def encode(
         enc = _encoder(path or held.value, directory, vocabulary)
         for pdf in batches:
             ids = enc.encode_all([None if t is None or t != t else t for t in pdf["text"]])
+            out = pdf.drop(columns="text")
             if counts_only:
-                yield pd.DataFrame({key: pdf[key], "n_tokens": [len(x) for x in ids]})
+                yield out.assign(n_tokens=[len(x) for x in ids])
             else:
-                yield pd.DataFrame({key: pdf[key], "ids": ids})
+                yield out.assign(ids=ids)
 
-    kind = documents.schema[key].dataType.simpleString()
-    return rows.mapInPandas(run, f"{key} {kind}, " + ("n_tokens bigint" if counts_only else "ids array<int>"))
+    kinds = ", ".join(f"{c} {documents.schema[c].dataType.simpleString()}" for c in (key, *keep))
+    return rows.mapInPandas(run, f"{kinds}, " + ("n_tokens bigint" if counts_only else "ids array<int>"))
