@@ -46,7 +46,7 @@ WITH norm AS (
   SELECT rec_id, lower(trim(source)) AS skey, filled, page, ts14,
     CASE WHEN regexp_full_match(bare, '[0-9A-Fa-f]{40}') THEN (
            SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> s) & 31)::INT + 1, 1), '' ORDER BY i, s DESC)
-           FROM (SELECT i, ('0x' || substr(bare, 5 * i + 1, 5))::BIGINT AS v FROM range(8) r(i)), (VALUES (15), (10), (5), (0)) q(s))
+           FROM (SELECT i, TRY_CAST('0x' || substr(bare, 5 * i + 1, 5) AS BIGINT) AS v FROM range(8) r(i)), (VALUES (15), (10), (5), (0)) q(s))
          WHEN regexp_full_match(upper(bare), '[A-Z2-7]{32}') THEN upper(bare) END AS digest
   FROM (
     SELECT rec_id, source, regexp_replace(trim(digest), '^sha1:', '', 'i') AS bare,
