@@ -38,14 +38,14 @@ def normal_captures(captures: DataFrame, sources: DataFrame) -> DataFrame:
         F.max(F.struct(F.coalesce("trust", F.lit(-1)).alias("trust"), "source")).alias("s")
     )
     present = [F.col(c).isNotNull().cast("int") for c in COMPLETE_FIELDS if c in captures.columns]
-    rows = captures.select(
+    rows = captures.where("url is not null").select(
         "rec_id",
         page_identity(F.col("url")).alias("page"),
         time14(F.col("ts")).alias("ts14"),
         digest32(F.col("digest")).alias("digest"),
         source_key(F.col("source")).alias("skey"),
         sum(present, F.lit(0)).alias("filled"),
-    ).where("page is not null")
+    )
     return rows.join(known, "skey", "left").select(
         "rec_id", "page", "ts14", "digest", F.col("s.source").alias("source"),
         F.coalesce(F.col("s.trust"), F.lit(-1)).alias("trust"), "filled",
@@ -53,13 +53,17 @@ def normal_captures(captures: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def condensed(rows: DataFrame) -> DataFrame:
-    """Rows of equal page, digest, time and source as one, keeping counts and the record ranked first."""
-    return rows.groupBy("page", "digest", "ts14", "source", "trust").agg(
+    """Rows of equal page, digest, time and source as one, keeping counts and the record ranked first.
+
+    A record with neither digest nor time stays a row of its own (``lone``).
+    """
+    lone = F.when(F.col("digest").isNull() & F.col("ts14").isNull(), F.col("rec_id"))
+    return rows.groupBy("page", "digest", "ts14", "source", "trust", lone.alias("lone")).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("rec_id").alias("first_rec"),
         F.max(F.struct("filled", (-F.col("rec_id")).alias("neg"))).alias("top"),
     ).select(
-        "page", "digest", "ts14", "source", "trust", "n", "first_rec",
+        "page", "digest", "ts14", "source", "trust", "lone", "n", "first_rec",
         F.col("top.filled").alias("filled"), (-F.col("top.neg")).alias("rec_id"),
     )
 
@@ -68,17 +72,13 @@ def grouped(rows: DataFrame) -> DataFrame:
     """Adds the group key (page, gkey): the digest, or the digest found at the page's second, or that second.
 
     Where a second of a page has several digests, a record without one goes with the smallest.
+    The window's groups are the condensed rows of one page and second; a row without a time
+    looks for no twin and is spread by its digest or id.
     """
-    at = (
-        rows.where("digest is not null and ts14 is not null")
-        .groupBy("page", "ts14").agg(F.min("digest").alias("twin"))
-    )
-    with_digest = rows.where("digest is not null").withColumn("gkey", F.col("digest"))
-    rest = rows.where("digest is null").join(at, ["page", "ts14"], "left").withColumn(
-        "gkey",
-        F.coalesce("twin", F.concat(F.lit("@"), "ts14"), F.concat(F.lit("#"), F.col("rec_id").cast("string"))),
-    ).drop("twin")
-    return with_digest.unionByName(rest)
+    second = Window.partitionBy("page", F.coalesce("ts14", "digest", F.col("lone").cast("string")))
+    twin = F.when(F.col("ts14").isNotNull(), F.min("digest").over(second))
+    gkey = F.coalesce("digest", twin, F.concat(F.lit("@"), "ts14"), F.concat(F.lit("#"), F.col("lone").cast("string")))
+    return rows.withColumn("gkey", gkey).drop("lone")
 
 
 def survivors(captures: DataFrame, sources: DataFrame) -> DataFrame:
@@ -86,11 +86,7 @@ def survivors(captures: DataFrame, sources: DataFrame) -> DataFrame:
 
     page, n (records), first_rec, rec_id (best record), ts, digest, source (best value each).
     """
-    # A record with neither digest nor time must stay one row, so it is not condensed with others.
-    rows = normal_captures(captures, sources)
-    loose = rows.where("digest is null and ts14 is null").withColumn("n", F.lit(1).cast("bigint")).withColumn("first_rec", F.col("rec_id"))
-    g = grouped(condensed(rows.where("digest is not null or ts14 is not null")).unionByName(loose))
-
+    g = grouped(condensed(normal_captures(captures, sources)))
     g = checkpoint(g)  # condensed rows, read twice below
 
     completeness = (
