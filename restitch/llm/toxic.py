@@ -98,27 +98,6 @@ def plain(word: str) -> str:
     return _squeeze(w)
 
 
-def sequences(text: str) -> list[list[tuple[str, int, int]]]:
-    toks = tokens(text)
-    stops = [m.end() for m in _BREAK.finditer(text)]
-    out: list[list[tuple[str, int, int]]] = []
-    cur: list[tuple[str, int, int]] = []
-    k = 0
-    for t in toks:
-        while k < len(stops) and stops[k] <= t[1]:
-            k += 1
-            if cur:
-                out.append(cur)
-                cur = []
-        cur.append(t)
-        if len(cur) >= SEQUENCE:
-            out.append(cur)
-            cur = []
-    if cur:
-        out.append(cur)
-    return out
-
-
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x27D4EB2F165667C5], dtype=np.uint64)
 
 
@@ -277,6 +256,7 @@ class Scorer:
     def __init__(self, model: Tagger) -> None:
         self.model = model
         self.hashes: dict[str, int] = {}
+        self.seen: dict[str, list[tuple[int, int, float]]] = {}
 
     def _hash(self, w: str) -> int:
         h = self.hashes.get(w)
@@ -288,17 +268,33 @@ class Scorer:
 
     def score(self, texts: list[str]) -> list[tuple[float, list[tuple[int, int, float]]]]:
         """Per text: (score, spans of (start, end, mean probability))."""
-        owner: list[int] = []
+        places = [_sentences(t) for t in texts]
+        self.learn({t[a:b] for t, p in zip(texts, places, strict=True) for a, b in p})
+        out = []
+        for t, p in zip(texts, places, strict=True):
+            spans = [(a + x, a + y, q) for a, b in p for x, y, q in self.seen[t[a:b]]]
+            out.append((1.0 - float(np.prod([1.0 - q for _, _, q in spans])) if spans else 0.0, spans))
+        return out
+
+    def learn(self, sentences: set[str]) -> None:
+        """Spans of sentences not met before; menus and notices come back on page after page."""
+        if len(self.seen) > 200_000:
+            self.seen.clear()
+        new = [s for s in sentences if s not in self.seen]
+        owner: list[str] = []
         seqs: list[list[tuple[str, int, int]]] = []
-        for i, t in enumerate(texts):
-            for s in sequences(t):
-                owner.append(i)
-                seqs.append(s)
-        spans: list[list[tuple[int, int, float]]] = [[] for _ in texts]
+        for s in new:
+            self.seen[s] = []
+            toks = tokens(s)
+            for at in range(0, len(toks), SEQUENCE):
+                owner.append(s)
+                seqs.append(toks[at : at + SEQUENCE])
         order = sorted(range(len(seqs)), key=lambda k: len(seqs[k]))
         for at in range(0, len(order), 2048):
             part = order[at : at + 2048]
             T = len(seqs[part[-1]])
+            if not T:
+                continue
             h = np.zeros((len(part), T), dtype=np.uint64)
             mask = np.zeros((len(part), T), dtype=bool)
             for i, k in enumerate(part):
@@ -308,8 +304,19 @@ class Scorer:
             p = self.model.marginals(features(h), mask)
             for i in np.flatnonzero(p.max(1) > WORD_P):
                 k = part[i]
-                spans[owner[k]] += _runs(p[i], seqs[k])
-        return [(1.0 - float(np.prod([1.0 - q for _, _, q in s])) if s else 0.0, sorted(s)) for s in spans]
+                self.seen[owner[k]] = sorted(self.seen[owner[k]] + _runs(p[i], seqs[k]))
+
+
+def _sentences(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the pieces between sentence ends."""
+    out, at = [], 0
+    for m in _BREAK.finditer(text):
+        if m.end() > at:
+            out.append((at, m.end()))
+        at = m.end()
+    if at < len(text):
+        out.append((at, len(text)))
+    return out
 
 
 def _runs(p: np.ndarray, words: list[tuple[str, int, int]]) -> list[tuple[int, int, float]]:
