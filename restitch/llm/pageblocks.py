@@ -11,10 +11,10 @@ import html as _html
 import re
 
 _TOKEN = re.compile(
-    r"(?is)<!--.*?-->|<!\w[^>]*>|<(script|style|noscript|head|textarea|iframe)\b[^>]*>.*?</\1\s*>|<head\b[^>]*>.*?(?=<body\b)"
-    r"|</?[a-z][^<>]*>|[^<]+|<"
+    r"(?is)[^<]+|<(/?)([a-z][a-z0-9]*)([^<>]*)>|<!--.*?-->|<!\w[^>]*>|<"
 )
-_TAG = re.compile(r"(?s)^<(/?)([A-Za-z][A-Za-z0-9]*)(.*?)/?>$")
+#: Elements whose content is not shown.
+_HIDDEN = frozenset("script style noscript head textarea iframe".split())
 _HREF = re.compile(r"(?is)\bhref\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
 _CLASS = re.compile(r"(?is)\b(?:class|id)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
 INLINE = frozenset("a abbr acronym b big bdo cite code dfn em font i img ins kbd label q s samp small span strike strong sub sup tt u var nobr wbr center_inline".split())
@@ -26,7 +26,7 @@ class Block:
 
     def __init__(self, tag: str, classes: str) -> None:
         self.tag, self.classes = tag, classes
-        self.lines: dict[int, str] = {}
+        self.lines: dict[int, bool] = {}  # numbers of the lines that show text of the block
         self.text = ""
         self.link_in = self.link_out = 0
         self.first_link = self.last_link = False
@@ -49,86 +49,111 @@ def blocks(page: str, own_host: str | None = None) -> list[Block]:
 
     def close() -> None:
         nonlocal block, pieces
-        text = re.sub(r"\s+", " ", "".join(pieces)).strip()
-        if text:
-            block.text = text
-            block.lines = {n: t for n, t in block.lines.items() if t.strip()}
+        if block.lines:
+            block.text = " ".join("".join(pieces).split())
             out.append(block)
         block = Block(tag, classes)
         pieces = []
 
-    for m in _TOKEN.finditer(page):
+    at, size = 0, len(page)
+    while at < size:
+        m = _TOKEN.match(page, at)
         tok = m.group()
-        if tok[0] != "<" or tok == "<":
-            text = _html.unescape(tok)
-            shown = text.replace("\r", "")
-            # the number of line feeds is that of the source: entities never hold any
-            for k, part in enumerate(shown.split("\n")):
+        at = m.end()
+        name = m.group(2)
+        if name is None:
+            if tok[0] == "<" and len(tok) > 1:  # a comment or declaration
+                line += tok.count("\n")
+                continue
+            if tok.isspace():
+                line += tok.count("\n")
+                if pieces:
+                    pieces.append(" ")
+                continue
+            # entities never hold line feeds, so lines are those of the source
+            text = _html.unescape(tok) if "&" in tok else tok
+            for k, part in enumerate(text.split("\n") if "\n" in text else (text,)):
                 if k:
                     line += 1
-                    pieces.append("\n")
-                if part.strip():
-                    was_empty = not block.lines
-                    block.lines[line] = block.lines.get(line, "") + part
-                    n = len(part.strip())
+                    if pieces:
+                        pieces.append(" ")
+                n = len(part.strip())
+                if n:
+                    first = not block.lines
+                    block.lines[line] = True
                     if link is not None:
-                        block.anchors += was_empty or not block.last_link
+                        block.anchors += first or not block.last_link
                         if link == "in":
                             block.link_in += n
                         else:
                             block.link_out += n
-                    if was_empty:
+                    if first:
                         block.first_link = link == "in"
-                        block.bold_first = bool(bold)
+                        block.bold_first = bold > 0
                     block.last_link = link == "in"
                     if large:
                         block.heading = True
                     pieces.append(part)
-                elif part:
-                    pieces.append(" ")
             continue
-        t = _TAG.match(tok)
-        if t is None or m.group(1):
-            line += tok.count("\n")
-            if m.group(1):
+        name = name.lower()
+        closing, rest = m.group(1) == "/", m.group(3)
+        if name in _HIDDEN and not closing:
+            end = _hidden_end(page, at, name)
+            if end is not None:
+                line += page.count("\n", m.start(), end)
+                at = end
                 close()
-            continue
-        closing, name, rest = t.group(1) == "/", t.group(2).lower(), t.group(3)
-        line_after = line + tok.count("\n")
-        if name == "a":
-            if closing:
-                link = None
-            else:
-                h = _HREF.search(rest)
-                target = h.group(1).strip("\"'") if h else ""
-                o = OUTSIDE.match(target)
-                link = "out" if o and (own_host is None or not o.group(1).lower().removeprefix("www.").endswith(own_host)) else "in"
-        elif name in ("b", "strong"):
-            bold = max(0, bold + (-1 if closing else 1))
-        elif name == "big" or (name == "font" and (closing or re.search(r"(?i)size\s*=\s*[\"']?[+4-7]", rest))):
-            large = 0 if closing else 1
-        elif name in ("input", "select", "button"):
-            block.form = True
-        elif name == "span" and not closing and not block.lines:
-            c = _CLASS.search(rest)
-            if c and re.search(r"(?:head(?:line|ing)?|title)s?\b", c.group(1), re.I):
-                block.heading = True
-        if name not in INLINE:
-            c = _CLASS.search(rest) if not closing else None
-            if closing:
+                continue
+        if name in INLINE:
+            if name == "a":
+                if closing:
+                    link = None
+                else:
+                    h = _HREF.search(rest)
+                    target = h.group(1).strip("\"'") if h else ""
+                    o = OUTSIDE.match(target)
+                    link = "out" if o and (own_host is None or not o.group(1).lower().removeprefix("www.").endswith(own_host)) else "in"
+            elif name in ("b", "strong"):
+                bold = max(0, bold + (-1 if closing else 1))
+            elif name == "big" or (name == "font" and (closing or re.search(r"(?i)size\s*=\s*[\"']?[+4-7]", rest))):
+                large = 0 if closing else 1
+            elif name == "span" and not closing and not block.lines:
+                c = _CLASS.search(rest)
+                if c and re.search(r"(?:head(?:line|ing)?|title)s?\b", c.group(1), re.I):
+                    block.heading = True
+        else:
+            if block.lines:
                 close()
+            pieces.clear()
+            if closing:
                 tag, classes = "body", ""
-                block.tag, block.classes = tag, classes
             else:
-                close()
+                c = _CLASS.search(rest) if rest else None
                 tag, classes = name, (c.group(1).strip("\"'").lower() if c else "")
-                block = Block(tag, classes)
-                if name in ("h1", "h2", "h3") or re.search(r"\b(?:headline|title)\b", classes):
+            block = Block(tag, classes)
+            if not closing:
+                if name in _HEADINGS or (classes and re.search(r"\b(?:headline|title)\b", classes)):
                     block.heading = True
-                if name in ("form", "input", "select", "option", "button"):
+                if name in _FORM:
                     block.form = True
-            if name == "form" and not closing:
-                block.form = True
-        line = line_after
+        if "\n" in tok:
+            line += tok.count("\n")
     close()
     return out
+
+
+_HEADINGS = frozenset(("h1", "h2", "h3"))
+_FORM = frozenset(("form", "input", "select", "option", "button"))
+_ENDS = {n: re.compile(rf"(?i)</{n}\s*>") for n in _HIDDEN}
+_BODY = re.compile(r"(?i)<body\b")
+
+
+def _hidden_end(page: str, at: int, name: str) -> int | None:
+    """Where a hidden element ends; a head without an end stops at the body, others without an end are shown."""
+    m = _ENDS[name].search(page, at)
+    if m:
+        return m.end()
+    if name == "head":
+        b = _BODY.search(page, at)
+        return b.start() if b else None
+    return None

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -119,9 +120,14 @@ def _quoted(text: str, m: re.Match) -> bool:
     return len(before) >= 4 and len(text) > m.end() - m.start() + 4
 
 
+_WILD_WORDS = re.compile(r"(?<!\S)(?:\S*\d\S*|(?=\S{4,})\S+/\S+)")
+
+
 def mask(text: str) -> list[str]:
     """Words of a message; those with digits or paths are wild."""
-    return [WILD if re.search(r"\d", w) or "/" in w.strip("/") and len(w) > 3 else w for w in text.split()]
+    if "/" in text or any(c in text for c in "0123456789"):
+        text = _WILD_WORDS.sub(WILD, text)
+    return text.split()
 
 
 class TemplateTree:
@@ -160,20 +166,36 @@ def similar(template: list[str], words: list[str]) -> float:
     return sum(a == b or a == WILD for a, b in zip(template, words, strict=True)) / max(1, len(words))
 
 
-def page_signals(page: str) -> tuple[bool, list[tuple[str, list[str]]]]:
-    """(slot or script error in the visible text, its messages)."""
+#: Without any of these there is no slot and no script error, which spares the patterns.
+_SLOT_SIGNS = ("{", "[[", "%%", "##", "<%", "<?", "__", "@@", "_GOES_HERE", "XXX", "caption TK", " to come)", "$", "[")
+_ERROR_SIGNS = ("/", "line ", "SQL", "mysql_", "directive]", "error", "ODBC", "Traceback", "xception", "stack trace")
+
+
+@lru_cache(maxsize=50_000)
+def _message(text: str) -> tuple[bool, str | None, int, str, str]:
+    """(slot or script error, masked message or None when it is ordinary text, and its leaf key) of a block."""
+    slot = (any(x in text for x in _SLOT_SIGNS) and bool(SLOTS.search(text))) or (
+        any(x in text for x in _ERROR_SIGNS) and bool(SCRIPT_ERRORS.search(text))
+    )
+    words: list[str] | None = None
+    if text.count(" ") < MESSAGE_WORDS:
+        words = mask(text)
+    elif latin_filler(text):
+        words = mask(" ".join(text.split()[:12]))
+    if words is None:
+        return slot, None, 0, "", ""
+    return (slot, " ".join(words), *leaf_key(words))
+
+
+def page_signals(page: str) -> tuple[bool, list[tuple[str, str, int, str, str]]]:
+    """(slot or script error in the visible text, its messages as (example, masked, length, first word, second word))."""
     slot = False
     messages = []
     for b in blocks(page):
-        if not slot and (SLOTS.search(b.text) or SCRIPT_ERRORS.search(b.text)):
-            slot = True
-        if b.link_in + b.link_out > 0.5 * len(b.text):
-            continue
-        words = mask(b.text)
-        if len(words) <= MESSAGE_WORDS:
-            messages.append((b.text, words))
-        elif latin_filler(b.text):
-            messages.append((" ".join(b.text.split()[:12]), mask(" ".join(b.text.split()[:12]))))
+        s, masked, n, w1, w2 = _message(b.text)
+        slot = slot or s
+        if masked is not None and b.link_in + b.link_out <= 0.5 * len(b.text):
+            messages.append((b.text, masked, n, w1, w2))
     return slot, messages
 
 
@@ -187,9 +209,7 @@ def message_rows(pages: DataFrame) -> DataFrame:
                 slot, messages = page_signals(page)
                 if slot:
                     rows.append((i, True, None, None, None, None, None))
-                for text, words in messages:
-                    n, w1, w2 = leaf_key(words)
-                    rows.append((i, False, n, w1, w2, " ".join(words), text))
+                rows += [(i, False, n, w1, w2, masked, text) for text, masked, n, w1, w2 in dict.fromkeys(messages)]
             yield pd.DataFrame(rows, columns=["page_id", "slot", "n_words", "w1", "w2", "masked", "example"]).astype({"n_words": "Int32"})
 
     rows = spread(pages.select("page_id", "html").where("html is not null and page_id is not null"), "page_id")
