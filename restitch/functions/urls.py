@@ -50,9 +50,8 @@ def page_identity(url: Column) -> Column:
     """
     pairs = query_pairs(url_query(url))
     text = F.array_join(F.transform(pairs, lambda p: F.concat(_encode(p["k"]), F.lit("="), _encode(p["v"]))), "&")
-    return F.when(url.isNull(), None).otherwise(
-        F.concat(url_path(url), F.when(text == "", F.lit("")).otherwise(F.concat(F.lit("?"), text)))
-    )
+    query = F.when(~url.contains("?"), F.lit("")).otherwise(F.when(text == "", F.lit("")).otherwise(F.concat(F.lit("?"), text)))
+    return F.when(url.isNotNull(), F.concat(url_path(url), query))
 
 
 def extension(path: Column) -> Column:
