@@ -25,14 +25,13 @@ from pyspark.sql import functions as F
 
 from restitch.llm.io import field_rows
 from restitch.llm.pageblocks import Block, blocks
-from restitch.llm.residue import SCRIPT_ERRORS, SLOTS, latin_filler, verdict
+from restitch.llm.residue import ERROR_SIGNS, SCRIPT_ERRORS, SLOT_SIGNS, SLOTS, latin_filler, verdict
 from restitch.session import spread
 
 #: SITE is boilerplate by its wording: it may stand in the middle of an article, as link lists may not.
 GOOD, BAD, SITE, NEAR, HEAD = "good", "bad", "site", "near", "head"
 #: Share of a block's characters inside links to the own site from which on it is a list of links.
 LINK_DENSITY = 0.3
-STOP_DENSITY_HIGH = 0.25
 STOP_DENSITY_LOW = 0.1
 LONG_WORDS = 12
 
@@ -67,10 +66,18 @@ SITE_TEXT = re.compile(
     | ^(?:accepter|zustimmen|ablehnen|aceptar|rechazar|принять|j['’]accepte|learn\s+more|mehr\s+erfahren)[.!]?$
     """
 )
+#: A text without any of these has none of the wordings above; tested with the patterns themselves.
+SITE_SIGNS = (
+    "this issue", "comment", "related", "more ", "tag", "archive", "top", "most ", "editor", "also ", "popular", "latest", "categor", "section", "navigation", "menu", "link", "search",
+    "©", "&copy", "copyright", "rights", "permission", "prohibited", "cookie", "your device", "your computer", "small files", "privacy", "terms of", "accept", "choices", "advert", "back issues",
+    "those of", "subscribe", "newsletter", "sign up", "join ", "list is free", "enter your", "anzeige", "publicit", "publicidad", "реклама", "sponsor", "ad:", "ad :", "your ad", "coupon", "half price", "early",
+    "on sale", "entry free", "hotel", "bought", "powered", "made with", "follow us", "share", "print", "email", "e-mail", "rate ", "bookmark", "favo", "site map", "sitemap", "home", "visitor",
+    "last ", "previous", "next", "prev", "page ", "back", "log", "zustimmen", "ablehnen", "aceptar", "rechazar", "принять", "mehr erfahren", "j'", "j’",
+)
 READ_ON = re.compile(r"(?i)^\W*(?:more|full story|read (?:on|more|the rest|the full\b.*)|continue(?: reading)?|\.\.\.|…|weiter(?:lesen)?|lire la suite|leer más|далее|full article)\W*$")
 _ITEMS = re.compile(r"^[^.!?]{0,120}$")
 _SEPARATOR = re.compile(r"\s(?:\||·|•|::|/)\s")
-_WORD = re.compile(r"[^\W_]+(?:['’\-][^\W_]+)*")
+_EDGE = ".,;:!?…\"'“”‘’«»()[]¿¡—–"
 _DENSE = re.compile(r"[぀-ヿ㐀-鿿฀-๿]")
 _END = re.compile(r"[.!?…。！？।؟;:][\"'”’»)\]」』]*$")
 _TALK = re.compile(r"^[^\s:][^:.!?]{0,24}: \S.{0,60}$")
@@ -84,16 +91,17 @@ SITE_WORDS = 45
 @lru_cache(maxsize=50_000)
 def _wording(text: str) -> str | None:
     """SITE or BAD by the wording of a short block, None when it decides nothing."""
-    if SITE_TEXT.search(text):
+    low = text.lower()
+    if (any(k in low for k in SITE_SIGNS) or not any(c.isalpha() for c in text[:40])) and SITE_TEXT.search(text):
         return SITE
-    if _SEPARATOR.search(text) and _ITEMS.match(text) and not _END.search(text):
+    if (" | " in text or " / " in text or _SEPARATOR.search(text)) and _ITEMS.match(text) and not _END.search(text[-8:]):
         parts = _SEPARATOR.split(text)
         if len(parts) >= 3 or all(len(p.split()) <= 6 for p in parts):
             return SITE
     if (  # a message
         verdict(text)
-        or (SCRIPT_ERRORS.search(text) and len(SCRIPT_ERRORS.sub("", text)) < 60)
-        or (SLOTS.search(text) and len(SLOTS.sub("", text).split()) < 3)
+        or (any(x in text for x in ERROR_SIGNS) and SCRIPT_ERRORS.search(text) and len(SCRIPT_ERRORS.sub("", text)) < 60)
+        or (any(x in text for x in SLOT_SIGNS) and SLOTS.search(text) and len(SLOTS.sub("", text).split()) < 3)
     ):
         return BAD
     return None
@@ -114,22 +122,31 @@ def first_pass(b: Block) -> str:
         return BAD
     if b.link_out >= 0.7 * n:
         return NEAR
-    if _BYLINE.match(text):
+    return _shape(text, b.heading)
+
+
+@lru_cache(maxsize=50_000)
+def _shape(text: str, heading: bool) -> str:
+    """Label by length and stop-word density."""
+    gaps = text.count(" ")
+    if gaps < 6 and _BYLINE.match(text):
         return HEAD  # goes with the text below it
-    words = [w.lower() for w in _WORD.findall(text)]
-    dense = len(_DENSE.findall(text))
-    stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-    size = len(words) + dense // 2
-    ended = bool(_END.search(text))
-    if dense >= 8 and (ended or dense >= 20):
-        return HEAD if b.heading else GOOD
-    if size >= LONG_WORDS and stops >= STOP_DENSITY_LOW and not b.heading:
-        return GOOD
-    if ended and size >= 4 and stops >= STOP_DENSITY_LOW and not b.heading and not _TALK.match(text):
+    words = [w.strip(_EDGE) for w in text.lower().split()]
+    size = sum(1 for w in words if w)
+    stops = sum(w in STOP_WORDS for w in words) / max(1, size)
+    ended = bool(_END.search(text[-8:]))
+    if not text.isascii():
+        dense = len(_DENSE.findall(text))
+        if dense >= 8 and (ended or dense >= 20):
+            return HEAD if heading else GOOD
+        size += dense // 2
+    if heading:
+        return HEAD
+    if size >= LONG_WORDS and (stops >= STOP_DENSITY_LOW or ended):
         return GOOD
-    if size >= LONG_WORDS and not b.heading and ended:
+    if ended and size >= 4 and stops >= STOP_DENSITY_LOW and not _TALK.match(text):
         return GOOD
-    return HEAD if b.heading else NEAR
+    return NEAR
 
 
 def second_pass(labels: list[str]) -> list[str]:

@@ -82,6 +82,15 @@ _MESSAGES = {
         | ^(?:this\s+is\s+)?(?:a\s+)?(?:test|dummy)\s+(?:page|article|story)[.!]?$ | ^untitled(?:\s+document)?$ | ^new\s+page\s+\d+$""",
 }
 MESSAGES = {k: re.compile(r"(?ix)" + v) for k, v in _MESSAGES.items()}
+#: A text without any of these, and without any word three times in a row, has none of the shapes above.
+MESSAGE_SIGNS = (
+    "40", "41", "50", "error", "found", "no longer", "gone", "moved", "missing", "removed", "deleted", "sorry", "oops", "whoops", "uh", "server", "gateway", "bad request", "unavailable", "exceeded", "forbidden",
+    "permission", "denied", "connect", "database", "apache", "no article", "no story", "no page", "no issue", "no record", "no entry", "no such", "persists", "webmaster", "administrator", "another link", "index of",
+    "system cannot", "query failed", "gefunden", "encontrada", "introuvable", "trouvée", "не найдена", "existe", "未找到", "不存在", "找不到", "見つかり", "ошибка", "fehler", "erreur", "βρέθηκε", "الصفحة", "ไม่พบหน้า",
+    "script", "cookies in your", "browser", "account", "this site", "this domain", "this page", "this web", "maintenance", "construction", "coming soon", "check back", "be back", "sign", "log", "only", "session",
+    "aktivier", "activ", "habilite", "ative", "включите", "просмотра", "wartung", "mantenimiento", "blah", "asdf", "qwer", "jkl", "xxx", "foo", "bar", "baz", "bla", "test", "text", "abc", "lorem", "dummy", "sample",
+    "your", "goes here", "placeholder", "filler", "example", "replace", "texto", "texte", "пример", "здесь", "тестовый", "рыба", "测试", "示例", "テスト", "ダミー", "untitled", "new page",
+)
 LATIN_FILLER = set(
     """lorem ipsum dolor sit amet consectetur consectetuer adipiscing elit sed eiusmod tempor incididunt labore dolore magna aliqua enim minim veniam
     quis nostrud exercitation ullamco laboris nisi aliquip commodo consequat duis aute irure reprehenderit voluptate velit esse cillum fugiat nulla pariatur
@@ -103,7 +112,12 @@ def latin_filler(text: str) -> bool:
 
 def verdict(message: str) -> str | None:
     """The class of a message template, None for ordinary text."""
-    text = re.sub(r"\s+", " ", message).strip()
+    text = " ".join(message.split())
+    low = text.lower()
+    words = low.replace(".", " ").replace(",", " ").replace("!", " ").split()
+    again = any(a == b for a, b in zip(words, words[1:], strict=False))
+    if not again and not any(k in low for k in MESSAGE_SIGNS):
+        return "filler" if latin_filler(text) else None
     for kind, rx in MESSAGES.items():
         m = rx.search(text)
         # a message is little more than its shape; a sentence about one is longer
@@ -167,15 +181,15 @@ def similar(template: list[str], words: list[str]) -> float:
 
 
 #: Without any of these there is no slot and no script error, which spares the patterns.
-_SLOT_SIGNS = ("{", "[[", "%%", "##", "<%", "<?", "__", "@@", "_GOES_HERE", "XXX", "caption TK", " to come)", "$", "[")
-_ERROR_SIGNS = ("/", "line ", "SQL", "mysql_", "directive]", "error", "ODBC", "Traceback", "xception", "stack trace")
+SLOT_SIGNS = ("{", "[[", "%%", "##", "<%", "<?", "__", "@@", "_GOES_HERE", "XXX", "caption TK", " to come)", "$", "[")
+ERROR_SIGNS = ("/", "line ", "SQL", "mysql_", "directive]", "error", "ODBC", "Traceback", "xception", "stack trace")
 
 
 @lru_cache(maxsize=50_000)
 def _message(text: str) -> tuple[bool, str | None, int, str, str]:
     """(slot or script error, masked message or None when it is ordinary text, and its leaf key) of a block."""
-    slot = (any(x in text for x in _SLOT_SIGNS) and bool(SLOTS.search(text))) or (
-        any(x in text for x in _ERROR_SIGNS) and bool(SCRIPT_ERRORS.search(text))
+    slot = (any(x in text for x in SLOT_SIGNS) and bool(SLOTS.search(text))) or (
+        any(x in text for x in ERROR_SIGNS) and bool(SCRIPT_ERRORS.search(text))
     )
     words: list[str] | None = None
     if text.count(" ") < MESSAGE_WORDS:
