@@ -12,6 +12,7 @@ import zlib
 from collections import Counter
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Bytes that cp1252 leaves out; they stand for the control characters of the same number.
@@ -128,17 +129,26 @@ def sql_unescape(b: bytes) -> bytes:
     return re.sub(rb"\\(.)", lambda m: _ESCAPES.get(m.group(1).decode("latin-1"), m.group(1).decode("latin-1")).encode("latin-1"), b, flags=re.S)
 
 
-@F.pandas_udf("string")
-def decode_text_udf(b: pd.Series) -> pd.Series:
+def _decode(b: pd.Series) -> pd.Series:
     return b.map(lambda x: decode_text(None if x is None else bytes(x)))
 
 
-@F.pandas_udf("double")
-def entropy_udf(b: pd.Series) -> pd.Series:
+def _entropy(b: pd.Series) -> pd.Series:
     return b.map(lambda x: None if x is None else entropy(bytes(x)))
 
 
-@F.pandas_udf("struct<width:int,height:int>")
-def image_size_udf(b: pd.Series) -> pd.DataFrame:
+def _image_size(b: pd.Series) -> pd.DataFrame:
     got = [image_size(bytes(x)) if x is not None else None for x in b]
     return pd.DataFrame({"width": [g[0] if g else None for g in got], "height": [g[1] if g else None for g in got]}).astype("Int32")
+
+
+def decode_text_col(c: Column) -> Column:
+    return F.pandas_udf(_decode, "string")(c)
+
+
+def entropy_col(c: Column) -> Column:
+    return F.pandas_udf(_entropy, "double")(c)
+
+
+def image_size_col(c: Column) -> Column:
+    return F.pandas_udf(_image_size, "struct<width:int,height:int>")(c)

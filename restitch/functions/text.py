@@ -94,17 +94,23 @@ def escape_html(s: Column) -> Column:
     return s
 
 
-@F.pandas_udf("string")
-def unescape(s: pd.Series) -> pd.Series:
-    """Character references as characters.  Arrow UDF: the table of names has no native form."""
+def _unescape(s: pd.Series) -> pd.Series:
     return s.map(lambda x: x if x is None or "&" not in x else _html.unescape(x), na_action="ignore")
 
 
+def unescape(c: Column) -> Column:
+    """Character references as characters.  Arrow UDF: the table of names has no native form."""
+    return F.pandas_udf(_unescape, "string")(c)
+
+
 def fold(s: str) -> str:
     return unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode()
 
 
-@F.pandas_udf("string")
-def slugify(s: pd.Series) -> pd.Series:
-    """Lower-case ASCII words joined by hyphens.  Arrow UDF: compatibility decomposition has no native form."""
+def _slugify(s: pd.Series) -> pd.Series:
     return s.map(lambda x: re.sub(r"[^a-z0-9]+", "-", fold(x).lower()).strip("-"), na_action="ignore")
+
+
+def slugify(c: Column) -> Column:
+    """Lower-case ASCII words joined by hyphens.  Arrow UDF: compatibility decomposition has no native form."""
+    return F.pandas_udf(_slugify, "string")(c)

@@ -1,11 +1,79 @@
-"""All queries of the core, and their SQL where SQL can express them."""
+"""All queries of the core over the given tables, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from restitch.functions.text import tidy
+from restitch.operators import catalog, comments, malware, manifest, pages
+from restitch.plans import sql
+from restitch.session import table
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _over(f: Callable[..., DataFrame], *names: str) -> Query:
+    return lambda spark, d: f(*(table(spark, d, n) for n in names))
+
+
+def _title_check(p: DataFrame) -> DataFrame:
+    t = tidy(F.regexp_extract("html", r"(?is)<title>([^<]*)</title>", 1))
+    return p.where("html is not null").select(t.alias("t")).where("t != ''").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("t").alias("titles"))
+
+
+def queries() -> dict[str, Query]:
+    return {
+        "manifest": _over(manifest.manifest, "captures"),
+        "manifest_stats": _over(manifest.manifest_stats, "captures"),
+        "first_choice_years": _over(manifest.first_choice_years, "captures"),
+        "digest_owners": _over(lambda c: manifest.owners(manifest.candidates(c)).where("n_pages >= 2"), "captures"),
+        "versions": _over(manifest.versions, "captures"),
+        "canonical_pages": _over(manifest.canonical_pages, "captures"),
+        "skip_report": _over(manifest.skip_report, "captures"),
+        "html_at_media": _over(manifest.html_at_media, "captures"),
+        "reconcile": _over(manifest.reconcile, "captures"),
+        "reconcile_counts": _over(manifest.reconcile_counts, "captures"),
+        "archived_only": _over(manifest.archived_only, "captures"),
+        "folders_with_parts": _over(manifest.folders_with_parts, "captures"),
+        "page_problems": _over(lambda p: pages.problems(p).select("page_id", F.array_join("hard", ", ").alias("hard"), F.array_join("soft", ", ").alias("soft")), "pages"),
+        "resolution": _over(pages.resolution, "pages"),
+        "link_kinds": _over(pages.link_kinds, "pages"),
+        "external_hosts": _over(pages.external_hosts, "pages"),
+        "missing_targets": _over(pages.missing_targets, "pages"),
+        "missing_by_section": _over(pages.missing_by_section, "pages"),
+        "cleaned": _over(pages.cleaned, "pages"),
+        "security_hits": _over(pages.security_hits, "pages"),
+        "first_copies": _over(pages.first_copies, "pages"),
+        "page_images": _over(pages.page_images, "pages"),
+        "credits": _over(pages.credits, "pages"),
+        "contributors": _over(pages.contributors, "pages", "articles"),
+        "review": _over(pages.review, "comments"),
+        "snippets": _over(pages.snippets, "comments"),
+        "malware_scan": _over(malware.scan_pages, "pages"),
+        "comment_spam": _over(comments.classified, "comments"),
+        "spam_counts": _over(comments.spam_counts, "comments"),
+        "scrubbed": _over(comments.scrubbed, "comments"),
+        "threads": _over(comments.threads, "comments"),
+        "local_days": _over(comments.local_days, "comments"),
+        "email_findings": _over(comments.email_findings, "comments"),
+        "articles_once": _over(catalog.articles_once, "articles"),
+        "catalog": _over(catalog.catalog, "articles", "issues"),
+        "folders_seen": _over(catalog.folders_seen, "pages"),
+        "variants": _over(catalog.variants, "pages"),
+        "slugs": _over(catalog.slugs, "articles"),
+        "unique_titles": _over(catalog.unique_titles, "pages"),
+        "unique_titles_check": _over(_title_check, "pages"),
+        "descriptions": _over(catalog.descriptions, "articles"),
+        "issue_contents": _over(catalog.issue_contents, "articles", "issues"),
+        "sitemap": _over(catalog.sitemap, "pages"),
+        "event_views": _over(catalog.event_views, "events"),
+        "frame_issues": _over(catalog.frame_issues, "frames", "issues"),
+        "issue_colors": _over(catalog.canonical_colors, "issues"),
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.queries()
