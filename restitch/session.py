@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,16 +44,36 @@ def spread(df: DataFrame, *keys: str, per_core: int = 3) -> DataFrame:
     return df.repartition(per_core * cores, *keys)
 
 
-def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut lineage through the shared folder of ``spark.checkpoint.dir``.
+_written: list[str] = []
 
-    The folder is set here only where the session has none, as in tests.
+
+def written(df: DataFrame) -> DataFrame:
+    """Cut lineage by a table in the shared folder that ``spark.checkpoint.dir`` names.
+
+    A compressed table is a fraction of an uncompressed checkpoint, survives the loss of any
+    executor, and is read column by column.  The tables are removed when the driver ends.
     """
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        shared = sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="restitch-ckpt-")
-        sc.setCheckpointDir(shared)
-    return df.checkpoint(eager=eager)
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/restitch-tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if not _written:
+        atexit.register(_remove_written)
+    _written.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove_written() -> None:
+    spark = SparkSession.getActiveSession()
+    for path in _written:
+        try:
+            if path.startswith(("file:", "/")):
+                shutil.rmtree("/" + path.removeprefix("file:").lstrip("/"), ignore_errors=True)
+            elif spark is not None:
+                jvm = spark.sparkContext._jvm
+                target = jvm.org.apache.hadoop.fs.Path(path)
+                target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # noqa: BLE001 - the session is ending anyway
+            pass
 
 
 def shared_dir(spark: SparkSession) -> str:
