@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from restitch.llm.io import field_rows
-from restitch.session import checkpoint, spread
+from restitch.session import spread, written
 
 #: Pairs of different runs that must vote for a transformation.
 VOTES = 2
@@ -359,8 +359,8 @@ class Garbled:
     """The stages of one corpus, each computed once."""
 
     def __init__(self, pages: DataFrame, comments: DataFrame) -> None:
-        self.rows = checkpoint(clause_rows(pages, comments))
-        self.distinct = checkpoint(distinct_clauses(self.rows))
+        self.rows = written(clause_rows(pages, comments))
+        self.distinct = written(distinct_clauses(self.rows))
         self.pairs = twins(self.distinct)
         self.learned = learned_names(self.pairs)
         self.words = word_verdicts(self.distinct, self.learned)

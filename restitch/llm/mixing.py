@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from restitch.llm.tokens import encode
-from restitch.session import checkpoint
+from restitch.session import written
 
 SEED = 20_040_101
 BUCKETS = 1024
@@ -81,7 +81,7 @@ class Mix:
     def __init__(self, documents: DataFrame, targets: DataFrame, seed: int = SEED, **tokenizer: object) -> None:
         self.seed = seed
         sized = encode(documents.where("source is not null and doc_id is not null"), counts_only=True, keep=("source",), **tokenizer)
-        self.sized = checkpoint(sized.where("n_tokens > 0").withColumn("u", unit("doc_id", seed=seed)))
+        self.sized = written(sized.where("n_tokens > 0").withColumn("u", unit("doc_id", seed=seed)))
         self.targets = {
             r["source"]: (max(0.0, r["target_share"] or 0.0), max(0, 1 if r["max_repeats"] is None else r["max_repeats"]))
             for r in targets.where("source is not null").select("source", "target_share", "max_repeats").collect()  # one row per source, a configuration

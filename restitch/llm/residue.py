@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from restitch.llm.pageblocks import blocks
-from restitch.session import checkpoint, spread
+from restitch.session import spread, written
 
 #: Longer blocks are ordinary text.
 MESSAGE_WORDS = 40
@@ -261,7 +261,7 @@ def templates(rows: DataFrame) -> DataFrame:
 
 def judged(pages: DataFrame) -> DataFrame:
     """(page_id, verdict): every page with residue and the least of its verdicts by name ('slot' for slots)."""
-    rows = checkpoint(message_rows(pages))
+    rows = written(message_rows(pages))
     bad = templates(rows).where("verdict is not null").select("n_words", "w1", "w2", "template", "verdict")
 
     @F.pandas_udf("boolean")

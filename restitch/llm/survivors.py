@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from restitch.functions.captures import digest32, source_key, time14
 from restitch.functions.urls import page_identity
-from restitch.session import checkpoint
+from restitch.session import written
 
 #: Fields whose presence makes a record more complete.
 COMPLETE_FIELDS = ("mime", "status", "bytes", "verified", "error", "loaded_at")
@@ -87,7 +87,7 @@ def survivors(captures: DataFrame, sources: DataFrame) -> DataFrame:
     page, n (records), first_rec, rec_id (best record), ts, digest, source (best value each).
     """
     g = grouped(condensed(normal_captures(captures, sources)))
-    g = checkpoint(g)  # condensed rows, read twice below
+    g = written(g)  # condensed rows, read twice below
 
     completeness = (
         F.col("filled") + F.col("digest").isNotNull().cast("int") * 4
