@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from restitch.functions.text import tidy
-from restitch.operators import catalog, comments, malware, manifest, pages
+from restitch.operators import catalog, comments, malware, manifest, pages, publish
 from restitch.plans import sql
 from restitch.session import table
 
@@ -69,6 +69,10 @@ def queries() -> dict[str, Query]:
         "descriptions": _over(catalog.descriptions, "articles"),
         "issue_contents": _over(catalog.issue_contents, "articles", "issues"),
         "sitemap": _over(catalog.sitemap, "pages"),
+        "output_paths": _over(lambda c: publish.output_paths(manifest.manifest(c).where("rank = 1").select("page", "kind")), "captures"),
+        "page_references": _over(lambda p: publish.page_references(p).groupBy("ref").agg(F.count(F.lit(1)).alias("pages")), "pages"),
+        "redirects": _over(publish.redirects, "pages"),
+        "article_records": _over(lambda a: publish.article_records(catalog.articles_once(a), "https://www.lampmag.example"), "articles"),
         "event_views": _over(catalog.event_views, "events"),
         "frame_issues": _over(catalog.frame_issues, "frames", "issues"),
         "issue_colors": _over(catalog.canonical_colors, "issues"),

@@ -216,6 +216,12 @@ def queries() -> dict[str, str]:
         "sitemap": f"""SELECT 'https://www.lampmag.example' || path AS loc, CASE WHEN path = '/' THEN '1.0' WHEN regexp_matches(path, '^/issues/[^/]+/?$') THEN '0.8' WHEN regexp_matches(path, '^/issues/[^/]+/[^/]+/?$') THEN '0.7' ELSE '0.5' END AS priority,
           CASE WHEN d IS NOT NULL THEN substr(d, 1, 4) || '-' || substr(d, 5, 2) || '-' || substr(d, 7, 2) END AS lastmod
           FROM (SELECT path, max(d) FILTER (length(d) = 8) AS d FROM (SELECT {_URLPATH} AS path, substr(regexp_replace(ts, '[^0-9]', '', 'g'), 1, 8) AS d FROM pages WHERE url IS NOT NULL) GROUP BY 1)""",
+        "output_paths": PREPARED + """, b AS (SELECT page, kind, regexp_extract(page, '^/?([^?]*)', 1) AS path, regexp_extract(page, '\\?(.*)$', 1) AS query FROM manifest WHERE rank = 1
+          ), c AS (SELECT *, CASE WHEN path = '' OR path LIKE '%/' THEN path || 'index.html' ELSE path END AS base, regexp_replace(replace(query, '=', '_'), '[^A-Za-z0-9_.-]+', '-', 'g') AS slug FROM b
+          ), d AS (SELECT *, CASE WHEN length(slug) > 80 THEN substr(slug, 1, 60) || '-' || substr(sha1(query), 1, 8) ELSE slug END AS short, regexp_extract(base, '(\\.[^./]*)$', 1) AS ext FROM c
+          ), e AS (SELECT page, query, regexp_replace(base, '\\.[^./]*$', '') || CASE WHEN short = '' THEN '' ELSE '-' || short END || CASE WHEN kind = 'html' AND lower(ext) NOT IN ('.html', '.htm') THEN '.html' ELSE ext END AS name FROM d
+          ), f AS (SELECT *, row_number() OVER (PARTITION BY lower(name) ORDER BY CASE WHEN query = '' THEN 0 ELSE len(string_split(query, '&')) END, length(page), page) AS nr FROM e)
+          SELECT page, CASE WHEN nr = 1 THEN name ELSE regexp_replace(name, '\\.[^./]*$', '') || '-' || nr || regexp_extract(name, '(\\.[^./]*)$', 1) END AS out_path FROM f""",
         "event_views": "SELECT event_type, count(*) AS views, min(ts) AS first_view, max(ts) AS last_view, count(DISTINCT user_id) AS readers FROM events GROUP BY 1",
         "frame_issues": """SELECT f.issue, name, frames, with_footer, menu_links FROM (SELECT issue, count(*) AS frames, count(footer) AS with_footer, max(len(regexp_extract_all(coalesce(menu, ''), '(?i)<a\\s'))) AS menu_links FROM frames GROUP BY 1) f
           LEFT JOIN (SELECT issue, min(name) AS name FROM issues GROUP BY 1) i ON f.issue = i.issue""",
