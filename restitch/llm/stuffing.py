@@ -19,6 +19,7 @@ import random
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -62,13 +63,15 @@ _GARBLED = re.compile("(?:[ÂÃâÐÑÅÄ][\u0080-\u00bf€‚ƒ„…†‡ˆ
 _TAGS = re.compile(r"(?s)</?\w+[^>]*>|\[/?url[^\]]*\]", re.I)
 _LINES = re.compile(r"(?i)(?:\r\n|\r|\n|<br\s*/?>|</?(?:p|div|li|ul|ol|tr|td|table)\b[^>]*>)+")
 _SENTENCES = re.compile(r"(?<=[.!?…])\s+|(?<=[。！？])")
+_APART = re.compile(r"(?i)(</a>|\[/url\])\s*(?:<br\s*/?>|[\r\n])+\s*(?=<a\s|\[url)")
 _WORD = re.compile(r"#?[^\W_]+(?:[_'’\-][^\W_]+)*", re.U)
 _CJK = re.compile(r"[぀-ヿ㐀-鿿]")
 
 
 def lines_of(text: str) -> list[str]:
     """The lines of a field.  Anchors that follow one another stay one line, as a list of them is one thing."""
-    text = re.sub(r"(?i)(</a>|\[/url\])\s*(?:<br\s*/?>|[\r\n])+\s*(?=<a\s|\[url)", r"\1 ", text)
+    if "</a>" in text or "[/" in text or "</A>" in text:
+        text = _APART.sub(r"\1 ", text)
     out = []
     for part in _LINES.split(text):
         for s in _SENTENCES.split(part):
@@ -87,8 +90,14 @@ def _pieces(line: str) -> list[str]:
 
 def words_of(line: str) -> tuple[list[str], int]:
     """Lower-case words of the visible text, and the number of links."""
-    links = len(_LINK.findall(line))
-    shown = _GARBLED.sub("e", _MAIL.sub(" ", _LINK.sub(" ", line)))
+    links, shown = 0, line
+    if any(c in line for c in "[<(/") or "www" in line.lower():
+        links = len(_LINK.findall(line))
+        shown = _LINK.sub(" ", line)
+    if "@" in shown or " at " in shown or "at)" in shown or "at]" in shown:
+        shown = _MAIL.sub(" ", shown)
+    if not shown.isascii():
+        shown = _GARBLED.sub("e", shown)
     shown = _TAGS.sub(" ", shown)
     words = [w.lower() for w in _WORD.findall(shown)]
     return [w for w in words if w not in NUMBER_WORDS and not w.isdigit()], links
@@ -120,70 +129,96 @@ def sentence_shape(line: str) -> bool:
     return begins and shown[-1:] in ".!?…。！？\"”’»)」" and (bool(_CJK.search(shown)) or capitals < 0.7 * len(shown.split()))
 
 
-def _plain(w: str) -> str:
-    return w.lstrip("#").replace("_", "")
+@lru_cache(maxsize=200_000)
+def _word(w: str) -> tuple[str, bool, bool, bool, bool]:
+    """(plain form, counted over the record, function word, content word, long enough to count) of a word."""
+    plain = w.lstrip("#").replace("_", "")
+    dense = bool(_CJK.search(w))
+    function = w in FUNCTION_WORDS or re.split("['’]", w)[0] in FUNCTION_WORDS
+    return (
+        plain, w not in FUNCTION_WORDS, function or (dense and not CJK_FUNCTION.isdisjoint(w)), not function and (len(w) > 3 or dense), len(w) > 2 or dense,
+    )
+
+
+class Line:
+    """What a line shows by itself."""
+
+    __slots__ = ("content", "counted", "fixed", "function", "links", "long_words", "n", "shape")
+
+    def __init__(self, text: str) -> None:
+        words, links = words_of(text)
+        self.n, self.links = len(words), links
+        n = max(self.n, 1)
+        known = [_word(w) for w in words]
+        self.counted = tuple(k[0] for k in known if k[1])
+        self.content = tuple(k[0] for k in known if k[3])
+        self.function = sum(k[2] for k in known) / n
+        self.long_words = sum(k[4] for k in known)
+        self.shape = sentence_shape(text)
+        marks = len(_MARK.findall(_TAGS.sub(" ", text)))
+        repeat = 1 - len({k[0] for k in known}) / self.n if self.n else 0.0
+        self.fixed = (
+            2 if links >= 3 else min(links, 1), _level(links / (self.n + links) if self.n + links else 0, (0.15, 0.45)), _level(repeat, (0.15, 0.4)),
+            _level(sum(w in SALES_WORDS for w in words) / n, (0.05, 0.2)), _level(sum(w[0] == "#" for w in words) / n, (0.2,)),
+            _level(self.n, (2, 7, 12)) * 3 + _level(marks / n, (0.1, 0.3)), separators(text) * 4 + capitals(text),
+        )
 
 
-def _is_function(w: str) -> bool:
-    return w in FUNCTION_WORDS or re.split("['’]", w)[0] in FUNCTION_WORDS
+@lru_cache(maxsize=50_000)
+def line(text: str) -> Line:
+    return Line(text)
 
 
 def _level(x: float, bounds: tuple[float, ...]) -> int:
-    return sum(x >= b for b in bounds)
+    k = 0
+    for b in bounds:
+        if x >= b:
+            k += 1
+    return k
 
 
-def symbols(field: str, words: list[str], links: int, marks: int, shape: tuple[bool, int, int], record_counts: Counter, line_counts: Counter) -> tuple[int, ...]:
+def symbols(field: str, ln: Line, record_counts: Counter, line_counts: Counter) -> tuple[int, ...]:
     """One small integer per feature of a line; line_counts: the number of lines of the record that have a word."""
-    n = len(words)
-    long_words = sum(len(w) > 2 or bool(_CJK.search(w)) for w in words)
-    content = [w for w in words if not _is_function(w) and (len(w) > 3 or _CJK.search(w))]
-    distinct = len(set(map(_plain, words)))
-    repeat = 1 - distinct / n if n else 0.0
     # words that come back all over the record, however its lines are cut
-    again = sum(record_counts[_plain(w)] >= 3 for w in content) / n if n else 0.0
-    shared = sum(line_counts[_plain(w)] >= 2 for w in content) / n if n else 0.0
-    function = sum(
-        _is_function(w) or (bool(_CJK.search(w)) and len(CJK_FUNCTION.intersection(w)) >= 1) for w in words
-    ) / max(n, 1)
-    sales = sum(w in SALES_WORDS for w in words) / max(n, 1)
-    tagged = sum(w.startswith("#") for w in words) / max(n, 1)
+    again = shared = 0
+    for w in ln.content:
+        again += record_counts[w] >= 3
+        shared += line_counts[w] >= 2
+    n = max(ln.n, 1)
     return (
-        _level(links, (1, 3)) if links < 3 else 2,
-        _level(links / (n + links) if n + links else 0, (0.15, 0.45)),
-        _level(repeat, (0.15, 0.4)),
-        _level(again, (0.15, 0.5)),
-        _level(sales, (0.05, 0.2)),
-        _level(tagged, (0.2,)),
+        *ln.fixed, _level(again / n, (0.15, 0.5)),
         # how much the line shares with others, read together with its function words and its shape
-        (_level(shared, (0.25, 0.6)) * 4 + _level(function, (0.03, 0.26, 0.38))) * 2 + shape[0],
-        _level(n, (2, 7, 12)) * 3 + _level(marks / max(n, 1), (0.1, 0.3)),
-        shape[1] * 4 + shape[2],
+        (_level(shared / n, (0.25, 0.6)) * 4 + _level(ln.function, (0.03, 0.26, 0.38))) * 2 + ln.shape,
         # a name or subject that is longer than names and subjects are, and has no function words
-        0 if field == "text" else 1 + (long_words >= 4) + (long_words >= 4 and function == 0),
+        0 if field == "text" else 1 + (ln.long_words >= 4) + (ln.long_words >= 4 and ln.function == 0),
     )
 
 
-FEATURE_SIZES = (3, 3, 3, 3, 3, 2, 24, 12, 12, 4)
+FEATURE_SIZES = (3, 3, 3, 3, 2, 12, 12, 3, 24, 4)
 _MARK = re.compile(r"[|;/,\[\]#•·»›]|\s-\s")
 
 
 def observe(name: str | None, subject: str | None, text: str | None) -> list[tuple[str, int, tuple[int, ...]]]:
     """(field, words, symbols) of each line of a record, in order."""
-    raw: list[tuple[str, list[str], int, int, tuple[bool, int, int]]] = []
+    raw: list[tuple[str, Line]] = []
     for field, value in (("name", name), ("subject", subject), ("text", text)):
         if isinstance(value, str) and value.strip():
-            for line in lines_of(value):
-                words, links = words_of(line)
-                if words or links:
-                    raw.append((field, words, links, len(_MARK.findall(_TAGS.sub(" ", line))), (sentence_shape(line), separators(line), capitals(line))))
+            for s in lines_of(value):
+                ln = line(s)
+                if ln.n or ln.links:
+                    raw.append((field, ln))
     counts, per_line = _counts([x[1] for x in raw])
-    return [(f, len(ws) + ln, symbols(f, ws, ln, m, shape, counts, per_line)) for f, ws, ln, m, shape in raw]
+    return [(f, ln.n + ln.links, symbols(f, ln, counts, per_line)) for f, ln in raw]
 
 
-def _counts(lines: list[list[str]]) -> tuple[Counter, Counter]:
+def _counts(lines: list[Line]) -> tuple[Counter, Counter]:
     """Occurrences of the record's words, and the number of its lines that have them."""
-    kept = [[_plain(w) for w in ws if w not in FUNCTION_WORDS] for ws in lines]
-    return Counter(w for ws in kept for w in ws), Counter(w for ws in kept for w in set(ws))
+    every: Counter = Counter()
+    per: Counter = Counter()
+    for ln in lines:
+        every.update(ln.counted)
+        per.update(set(ln.counted))
+    return every, per
 
 
 # ---------------------------------------------------------------- labelled lines
@@ -307,12 +342,12 @@ def labelled_records(seed: int = 11, size: int = 3000) -> list[list[tuple[str, t
         raw = []
         for field in ("name", "subject", "text"):
             for state, made in values[field]:
-                for line in lines_of(made):
-                    words, ln = words_of(line)
-                    if words or ln:
-                        raw.append((state, field, words, ln, len(_MARK.findall(_TAGS.sub(" ", line))), (sentence_shape(line), separators(line), capitals(line))))
+                for part in lines_of(made):
+                    ln = line(part)
+                    if ln.n or ln.links:
+                        raw.append((state, field, ln))
         counts, per_line = _counts([x[2] for x in raw])
-        records.append([(state, symbols(f, ws, ln, m, shape, counts, per_line)) for state, f, ws, ln, m, shape in raw])
+        records.append([(state, symbols(f, ln, counts, per_line)) for state, f, ln in raw])
     return records
 
 
