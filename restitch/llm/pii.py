@@ -40,17 +40,11 @@ DIGIT_WORDS = {
     "um": "1", "dois": "2", "três": "3", "quatro": "4", "sete": "7", "oito": "8", "nove": "9",
 }
 GIVEN_NAMES = set(
-    """adam agnes albert alex alexander alice amanda amelia amy ana andrea andrew angela anita anna anne anthony antonio arthur barbara ben
-    benjamin bernard beth brian bruno carl carla carlos carmen carol caroline catherine charles charlotte chris christina christine clara claire
-    daniel david deborah diana diego dora dorothy edgar edith edward elena elisabeth elizabeth ellen elsa emil emily emma eric erik ernest
-    esther ethan eva evelyn felix fernando frances francis frank fred gabriel george gerald gloria grace greta gustav hannah hans harold harry
-    heidi helen helena henry herbert hugo ian ida ines irene iris isabel ivan ivy jack jacob james jane janet jason jean jeff jennifer jessica
-    joan joanna joe john jonathan jose joseph juan judith judy julia julian karen karl kate katherine keith kevin klaus lara laura lena leo leon
-    leonard lewis linda lisa lucas lucy luis luke magda manuel marco margaret maria marie mark marta martha martin mary matthew max michael
-    miguel miriam mona monica nadia nancy natalie nathan nicholas nicole nina nora oliver olga oscar otto owen pablo patricia patrick paul paula
-    pedro peter philip rachel rafael ralph ramon raymond rebecca richard rita robert roger rosa rose ruth ryan samuel sandra sara sarah selma
-    simon sofia sophie stefan stephen steven susan sylvia teresa theresa thomas tilda tina tom tomas tony ursula vera veronica victor vincent
-    virginia walter wanda wendy werner william yara yuri yvonne zoe zoë""".split()
+    """adam agnes alex alexander alice amy andrea andrew anita anna anne anthony arthur barbara ben bernard brian bruno carl carla carlos carmen caroline catherine charles charlotte christina christine clara claire
+    daniel david deborah diana diego dora dorothy edgar edith edward elena elisabeth elizabeth ellen elsa emil emily emma eric ernest esther eva evelyn felix fernando frank fred gabriel george gloria grace greta gustav hannah hans harold harry
+    heidi helen helena henry herbert hugo ian ida ines irene iris isabel ivan ivy jack jacob james jane janet jason jean jennifer jessica joan joanna joe john jonathan jose joseph juan judith julia julian karen karl kate katherine kevin klaus
+    lara laura lena leo leon leonard linda lisa lucas lucy luis luke manuel marco margaret maria marie mark marta martha martin mary matthew max michael miguel mona monica nadia nancy natalie nicholas nicole nina nora oliver olga oscar otto owen
+    pablo patricia patrick paul paula pedro peter philip rachel rafael ramon rebecca richard rita robert roger rosa ruth samuel sandra sara sarah selma simon sofia stefan susan sylvia thomas tilda tina tom tomas tony ursula vera victor vincent walter wanda werner william yara zoe zoë""".split()
 )
 STREET_TYPES = "Street|St|Avenue|Ave|Boulevard|Blvd|Lane|Ln|Road|Rd|Drive|Dr|Court|Ct|Place|Pl|Square|Sq|Terrace|Ter|Way|Parkway|Pkwy|Circle|Cir|Highway|Hwy|Alley"
 #: Capitalised words that follow a given name without being a family name.
@@ -174,11 +168,28 @@ def _cut(domain: str, count: int) -> int:
 
 def normalise(source: str) -> Traced:
     t = _plain_characters(source)
-    t = t.rewrite(_MARKUP, lambda m: m.group(1))
-    t = t.rewrite(_SPELLED, _digits)
+    if "mailto:" in t.text.lower():
+        t = t.rewrite(_MARKUP, lambda m: m.group(1))
+    if sum(w in DIGIT_WORDS for w in _SPLIT.split(t.text.lower())) >= 5:
+        t = t.rewrite(_SPELLED, _digits)
     return t
 
 
+_SPLIT = re.compile(r"[\s,.\-]+")
+
+
+def _worth(kind: str, text: str, low: str) -> bool:
+    """Whether a text has what every finding of a kind needs; spares the patterns."""
+    if kind == "email":
+        return "@" in text or "at" in low and ("dot" in low or "pun" in low or "point" in low or "ponto" in low or "at)" in low or "at]" in low or "at}" in low or "at>" in low or "arroba" in low or "ät" in low)
+    if kind == "person":
+        return not GIVEN_NAMES.isdisjoint(_LETTERS.findall(low))
+    return any(c.isdigit() for c in text)
+
+
+_LETTERS = re.compile(r"[^\W\d_]+")
+
+
 _EMAIL = re.compile(rf"(?i)(?<![A-Za-z0-9_.+\-])({_NAME}){_AT}({_LABEL}(?:{_DOT}{_LABEL})+)")
 _PHONE = re.compile(
     r"(?<![\w$€£.,\-/+])(?:"
@@ -271,8 +282,11 @@ def spans(source: str | None) -> list[tuple[int, int, str]]:
     if not isinstance(source, str) or not source:
         return []
     t = normalise(source)
+    low = t.text.lower()
     taken: list[tuple[int, int, str]] = []
     for kind in KINDS:
+        if not _worth(kind, t.text, low):
+            continue
         for a, b in _DETECTORS[kind](t):
             if b <= a:
                 continue
