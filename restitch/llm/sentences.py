@@ -174,8 +174,12 @@ class Segmenter:
             "arabic": regex.compile(r"\p{Arabic}"), "devanagari": regex.compile(r"\p{Devanagari}"),
             "thai": regex.compile(r"\p{Thai}"),
         }
+        # every word that a language rule can end on: other words before a full stop need no language rule
+        stems = {w.lower().rsplit(".", 1)[-1] for a in ABBREVIATIONS.values() for ws in a.values() for w in ws}
+        self.stems = stems | {"in", "lb", "lbs", "oz", "ft", "yd", "inc", "co", "ltd", "corp", "etc", "ave", "sq", "blvd", "rd", "usw", "usf"}
+        self.last_word = regex.compile(r"([\p{L}\p{M}\p{N}]+)\.$")
         self.of_script = {"latin": ["en", "de", "fr", "es", "pt"], "cyrillic": ["ru"], "greek": ["el"]}
-        self.cascades: dict[tuple, list] = {}
+        self.cascades: dict[tuple, tuple[list, list]] = {}
 
     def _latin_order(self, text: str, lang: str | None) -> tuple[str, ...]:
         words = self.re.findall(r"\p{L}+", text.lower())
@@ -183,18 +187,20 @@ class Segmenter:
         score = {k: sum(w in v for w in words) + (0.5 if k == hint else 0) for k, v in self.frequent.items()}
         return tuple(sorted(score, key=lambda k: (-score[k], k)))
 
-    def cascade(self, text: str, lang: str | None) -> list:
+    def cascade(self, text: str, lang: str | None) -> tuple[list, list]:
+        """The tables for a text: all of them, and those without the languages' own."""
         scripts = tuple(s for s in _SCRIPTS if self.presence[s].search(text))
         order = self._latin_order(text, lang) if "latin" in scripts else ()
         key = (scripts, order)
         if key not in self.cascades:
-            rules: list = []
+            own: list = []
+            rest: list = []
             for s in scripts:
                 for k in order if s == "latin" else self.of_script.get(s, []):
-                    rules += self.languages[k]
-            for s in scripts:
-                rules += self.scripts[s]
-            self.cascades[key] = rules + self.common
+                    own += self.languages[k]
+                rest += self.scripts[s]
+            rest += self.common
+            self.cascades[key] = own + rest, rest
         return self.cascades[key]
 
     def ends(self, text: str | None, lang: str | None = None) -> list[int]:
@@ -210,7 +216,7 @@ class Segmenter:
         self._part(text, at, len(text), rules, ends)
         return sorted(ends)
 
-    def _part(self, text: str, lo: int, hi: int, rules: list, ends: set[int]) -> None:
+    def _part(self, text: str, lo: int, hi: int, rules: tuple[list, list], ends: set[int]) -> None:
         part = text[lo:hi].rstrip()
         if not part.strip():
             return
@@ -222,9 +228,14 @@ class Segmenter:
                 ends.add(lo + p)
         ends.add(lo + len(part))
 
-    def _breaks(self, part: str, p: int, rules: list) -> bool:
+    def _breaks(self, part: str, p: int, rules: tuple[list, list]) -> bool:
         before, after = part[max(0, p - 48) : p], part[p : p + 48]
-        for decision, left, right in rules:
+        if before[-1] == ";":
+            table = rules[0]
+        else:
+            w = self.last_word.search(before)
+            table = rules[0] if w and (len(w.group(1)) == 1 or w.group(1).isdigit() or w.group(1).lower() in self.stems) else rules[1]
+        for decision, left, right in table:
             if right.match(after) and left.search(before):
                 return decision
         return False
