@@ -129,7 +129,7 @@ SCRIPT_RULES: dict[str, list[Rule]] = {
         (False, r"[。！？…][”’」』]+$", r"[^。！？…\s]{1,12}(?:说|說|问|問|道|喊|叫|答|笑)"),
         (True, r"(?:[。！？｡]|…{1,3})[」』”’）】]*$", r""),
     ],
-    "arabic": [(False, r"(?<!\p{L})\p{Arabic}\.$", r"\s*\p{L}")],
+    "arabic": [(False, r"(?<!\p{L})(?=\p{L})\p{Arabic}\.$", r"\s*\p{L}")],
     "devanagari": [(True, r"[।॥!?][\"'”’»)]*$", r"\s|$|\p{L}")],
     "thai": [(True, rf"(?:{THAI_ENDINGS})$", r"\s")],
 }
@@ -182,7 +182,7 @@ class Segmenter:
         self.cascades: dict[tuple, tuple[list, list]] = {}
 
     def _latin_order(self, text: str, lang: str | None) -> tuple[str, ...]:
-        words = self.re.findall(r"\p{L}+", text.lower())
+        words = text.lower().split()
         hint = (lang or "").strip().lower()[:2]
         score = {k: sum(w in v for w in words) + (0.5 if k == hint else 0) for k, v in self.frequent.items()}
         return tuple(sorted(score, key=lambda k: (-score[k], k)))
@@ -235,6 +235,8 @@ class Segmenter:
         else:
             w = self.last_word.search(before)
             table = rules[0] if w and (len(w.group(1)) == 1 or w.group(1).isdigit() or w.group(1).lower() in self.stems) else rules[1]
+        if table is rules[1] and before[-1] in ".!?" and after[0].isspace() and after.lstrip()[:1].isupper():
+            return True  # what the shorter tables come to: no rule of theirs holds such a place back
         for decision, left, right in table:
             if right.match(after) and left.search(before):
                 return decision
