@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from restitch.functions.captures import digest32, source_key, time14
 from restitch.functions.urls import extension, listing_sort, page_identity, url_path
+from restitch.session import written
 
 # Fixed values.
 CUTOFF = "20150731999999"
@@ -41,15 +42,14 @@ def skip_reason(p: DataFrame) -> DataFrame:
 
 def candidates(captures: DataFrame) -> DataFrame:
     """Captures that may be published; files of the server copy only fill pages that no archive has."""
-    kept = skip_reason(prepared(captures)).where("reason is null").drop("reason")
+    # parsed once, read by every stage below
+    kept = written(skip_reason(prepared(captures)).where("reason is null").drop("reason"))
     real = (F.coalesce("source", F.lit("")) != "server") & ~(
         extension(F.regexp_extract("page", r"^([^?]*)", 1)).isin(*MEDIA) & F.col("mime").startswith("text/html")
     )
-    w = Window.partitionBy("page")
-    return (
-        kept.withColumn("published", F.max(real.cast("int")).over(w)).where((F.col("published") == 0) | (F.coalesce("source", F.lit("")) != "server"))
-        .drop("published")
-    )
+    server = F.coalesce("source", F.lit("")) == "server"
+    # an anti-join of the few server rows instead of a window over all captures of a page
+    return kept.where(~server).unionByName(kept.where(server).join(kept.where(real).select("page").distinct(), "page", "left_anti"))
 
 
 def latest_per_digest(cands: DataFrame) -> DataFrame:
@@ -77,12 +77,9 @@ def manifest(captures: DataFrame) -> DataFrame:
     """
     c = candidates(captures)
     uniq = latest_per_digest(c)
-    w = Window.partitionBy("page")
     html = F.col("mime").startswith("text/html")
-    kept = (
-        uniq.withColumn("other", F.max((~html).cast("int")).over(w)).where((F.col("other") == 0) | ~html)
-        .withColumn("kind", F.when(F.col("other") == 1, "asset").otherwise("html")).drop("other")
-    )
+    assets = uniq.where(~html).withColumn("kind", F.lit("asset"))
+    kept = assets.unionByName(uniq.where(html).withColumn("kind", F.lit("html")).join(assets.select("page").distinct(), "page", "left_anti"))
     shared = owners(c).where(F.col("n_pages") >= SHARED_BY).select("digest", F.lit(True).alias("shared"))
     home = c.where(F.col("page").isin(*HOME_PAGES)).select("digest").distinct().withColumn("home", F.lit(True))
     demoted = (F.col("kind") == "html") & ~F.col("page").isin(*HOME_PAGES) & (F.coalesce("shared", F.lit(False)) | F.coalesce("home", F.lit(False)))
