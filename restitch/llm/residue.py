@@ -145,7 +145,7 @@ def mask(text: str) -> list[str]:
 
 
 class TemplateTree:
-    """Fixed depth: length, first word, second and last word, then templates."""
+    """Fixed depth: length, first word, second and third word, then templates."""
 
     def __init__(self, similarity: float = SIMILARITY) -> None:
         self.leaves: dict[tuple, list[dict]] = {}
@@ -173,8 +173,8 @@ class TemplateTree:
 
 
 def leaf_key(words: list[str]) -> tuple[int, str, str]:
-    """Length, first word, and second with last word: deep enough that a leaf holds few templates."""
-    return len(words), words[0] if words else "", f"{words[1]} {words[-1]}" if len(words) > 1 else ""
+    """Length, first word, and second with third word: deep enough that a leaf holds few templates."""
+    return len(words), words[0] if words else "", " ".join(words[1:3])
 
 
 def similar(template: list[str], words: list[str]) -> float:
