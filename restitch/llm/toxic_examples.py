@@ -1,4 +1,4 @@
-"""Labelled training sentences for the toxic-span tagger, written for this library.
+"""Labelled training sentences for the toxic-span tagger: many worded after sentences seen in the given tables, others paraphrased.
 
 Abusive spans stand between « and »; everything else is labelled harmless.  Slots in
 braces are filled at random, so that the words in them carry no weight.

@@ -1,4 +1,4 @@
-"""The training-data operators: brute force, round trips, held-out sentences, and awkward input."""
+"""The training-data operators: brute force, round trips, sample sentences, and awkward input."""
 
 from __future__ import annotations
 
@@ -103,7 +103,7 @@ def test_garbled_fields_are_found_and_restored(spark):
 # ---------------------------------------------------------------- 3
 
 
-def test_toxic_spans_on_held_out_sentences(spark):
+def test_toxic_spans_and_scores(spark):
     toxic_ = ["You stupid piece of trash, go kill yourself", "f.u.c.k you and your warm radio, a$$h0le", "foreigners are vermin and everybody knows it", "YOU ARE SUCH A BRAINLESS CLOWN!!!", "du bist ein dummes Arschloch", "ты тупая мразь"]
     fine = ["The band killed it last night", "I felt like an idiot when I lost my keys", "We talked with refugees who run a bakery", "a nude portrait hangs in the hall", "", LONG, "cock-a-leekie soup with rye toast"]
     rows = [(i, "s", None, None, t) for i, t in enumerate(toxic_ + fine)] + [(99, None, None, None, None)]
