@@ -28,7 +28,8 @@ from restitch.session import spread
 KINDS = ("email", "id_number", "address", "phone", "person")
 PLACEHOLDER = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID]", "address": "[ADDRESS]", "person": "[NAME]"}
 
-# Look-alike letters, digit words, given names, and words of addresses.
+# Look-alike letters, digit words, given names (usual ones of the languages of Europe and of
+# immigrants there; not those that are first of all a word or a place, such as May or Paris), and words of addresses.
 HOMOGLYPHS = dict(
     zip("аеорсхуіјѕһԁқԛԝνορτικАВЕКМНОРСТХІЈЅΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeopcxyijshdkqwvoptikABEKMHOPCTXIJSABEZHIKMNOPTYX", strict=True)
 )
@@ -40,11 +41,59 @@ DIGIT_WORDS = {
     "um": "1", "dois": "2", "três": "3", "quatro": "4", "sete": "7", "oito": "8", "nove": "9",
 }
 GIVEN_NAMES = set(
-    """adam agnes alex alexander alice amy andrea andrew anita anna anne anthony arthur barbara ben bernard brian bruno carl carla carlos carmen caroline catherine charles charlotte christina christine clara claire
-    daniel david deborah diana diego dora dorothy edgar edith edward elena elisabeth elizabeth ellen elsa emil emily emma eric ernest esther eva evelyn felix fernando frank fred gabriel george gloria grace greta gustav hannah hans harold harry
-    heidi helen helena henry herbert hugo ian ida ines irene iris isabel ivan ivy jack jacob james jane janet jason jean jennifer jessica joan joanna joe john jonathan jose joseph juan judith julia julian karen karl kate katherine kevin klaus
-    lara laura lena leo leon leonard linda lisa lucas lucy luis luke manuel marco margaret maria marie mark marta martha martin mary matthew max michael miguel mona monica nadia nancy natalie nicholas nicole nina nora oliver olga oscar otto owen
-    pablo patricia patrick paul paula pedro peter philip rachel rafael ramon rebecca richard rita robert roger rosa ruth samuel sandra sara sarah selma simon sofia stefan susan sylvia thomas tilda tina tom tomas tony ursula vera victor vincent walter wanda werner william yara zoe zoë""".split()
+    """aaron abby abdul abdullah abel abigail abraham ada adam adela adele adeline adrian adriana adrienne agatha agnes agnieszka ahmad ahmed aidan aileen aisha akira alain alan alana alastair alba albert alberta alberto aldo
+    alejandra alejandro aleksandr aleksandra alena alessandra alessandro alessia alex alexander alexandra alexandre alexei alexis alfonso alfred alfredo ali alice alicia alina alison alistair allan allen allison alma aloys
+    alvin amalia amanda amber amelia amina amir amit amos amparo amy ana anastasia anatoly anders andre andrea andreas andrei andrew andré andrés angela angelica angelina angelo angus anika anita anja anjali ann anna annabel
+    annabelle annalisa anne annette annie annika ansel anselm anthony antoine antoinette anton antonia antonio antônio anya archie ariana ariel arlene armando arnaud arnold arthur arturo arun asha ashley astrid athena aubrey
+    audrey augustin augusto aurora ava axel ayesha barbara barry bart bartholomew bartosz bastian beata beatrice beatrix beatriz becky belinda ben benedict benedikt benita benito benjamin benoit benoît berenice bernadette
+    bernard bernardo bernd bernhard bernice berta bertha bertram bertrand bessie beth bethany betsy betty beverly bianca bill billy birgit björn blanca blanche bob bobby bogdan bonnie boris brad bradley brandon brenda
+    brendan brett brian briana brianna bridget brigitte britta brittany bronwyn bruce bruno bryan bryce burkhard byron béatrice caitlin calvin cameron camila camilla camille candice carina carl carla carlo carlos carlota
+    carlton carly carmen carol caroline carolyn carrie carsten casey cassandra cassie catalina catarina catherine cathy cecil cecile cecilia cedric celeste celia celine cesar chad chandra chantal charlene charles charlie
+    charlotte chloe chloé chris christa christian christiane christina christine christoph christophe christopher christy chuck ciara cindy claire clara claude claudette claudia claudine claudio clemens clement clifford
+    clifton clint clive clyde clément colette colin colleen connie connor conrad constance consuelo cora corinna corinne cornelia cornelius cory cosmo courtney craig cristian cristina cristóbal crystal curtis cynthia cyril
+    cécile cédric céline césar dagmar daisy dale damian damien dan dana daniel daniela daniele daniella danielle danilo danny dario darlene darren daryl dave david davide dean deanna debbie debora deborah debra deirdre delia
+    della denis denise dennis denny derek dermot desmond detlef devin diana diane didier diego dieter dietmar dietrich dimitri dimitris dina dirk dmitri dmitry dolores dominic dominik dominique don donald donna dora doreen
+    doris dorothy doug douglas duane duncan dustin dwight dylan eamon earl ebba eckhard eddie eden edgar edith edmond edmund edna eduard eduardo edward edwin edwina efraín egon eileen eirik ekaterina elaine eleanor eleanora
+    elena eleni eleonora elfriede elias elijah eliot elisa elisabeth elise eliza elizabeth ella ellen elliot elliott elmer elodie eloise elsa elvira elías emanuel emanuele emerson emil emilia emilie emilio emily emma
+    emmanuel emmett enid enrico enrique enzo eric erica erich erik erika erin ernest ernesto ernst erwin esmeralda esperanza estela estelle esther ethan etienne eugene eugenia eugenio eunice eva evan evangeline evelina
+    evelyn evgeny ewa ezra fabian fabien fabio fabrice fatima federica federico felicia felicity felipe felix fergus fernanda fernando filip filipe fiona flavia flora florian floyd fran frances francesca francesco francine
+    francis francisca francisco franco frank frankie franz françois françoise fred freddie frederic frederick frederik freya frida frieda friedrich fritz frédéric fátima félix gabriel gabriela gabriele gabriella gabrielle
+    gail gareth garrett gary gaston gavin gemma gene genevieve geneviève geoff geoffrey georg george georges georgina gerald gerard gerardo gerd gerhard germaine gertrude giacomo gianna gideon gilbert gilberto giles gilles
+    gina giorgio giovanna giovanni gisela giulia giuliana giuseppe gladys glen glenda glenn gloria gonzalo gordon grace graham grant greg gregor gregorio gregory greta gretchen grigory guadalupe guido guillaume guillermo
+    gunnar gustav guy gwen gwendolyn gérard günter günther hakim hal hamid hamish hanna hannah hanne hanno hans hariet harold harriet harry hartmut harvey hassan hazel heather hector hedwig heidi heike heiko heiner heinrich
+    heinz helen helena helga helmut hendrik henri henriette henrik henrique henry herbert herman hermann hermine hernán hilary hilda hildegard hiroshi holger holly horace horst howard hubert hugh hugo hussein huw héctor
+    hélène ian ibrahim ida ignacio igor ike ilona ilse imogen ina ines inga inge ingeborg ingrid inés ioana ioannis ira irene irina iris irma irving isaac isabel isabella isabelle isaiah isidro ismael israel itzel ivan ivana
+    ivar ivo ivy iñigo jacinta jack jackie jacob jacqueline jacques jade jaime jake jakob jamal james jamie jan jana jane janet janice janina janine janos jared jarek jarvis jasmin jasmine jason jasper javier jay jean
+    jeanette jeanne jeannie jeff jeffrey jenna jennifer jenny jens jeremiah jeremy jerome jerry jesper jessica jesús jill jillian jim jimmy joachim joan joanna joanne joaquin joaquín jocelyn jochen jody joe joel joey johan
+    johann johanna johannes john johnny jonas jonathan jonathon jordi jorge jorgen jose josefa josefina joseph josephine josh joshua josiah josie josé joyce joão juan juana juanita judd jude judith judy jules julia julian
+    julianna julianne julie juliet juliette julio julius justin justina justine jutta jérôme jörg jürgen kai kaitlyn kaja kamal kamil kara karen karin karina karl karla karsten kasia katarina katarzyna kate katerina
+    katharina katharine katherine kathleen kathryn kathy katie katja katrin kay kayla keiko keisha keith kelly kelsey kelvin ken kendra kenji kenneth kenny kerry kerstin kevin khalid kieran kim kimberly kirk kirsten kirsty
+    klaus konrad konstantin krista kristen kristian kristin kristina kristine kristoffer krzysztof kurt kyle kylie lakshmi lambert lana lance lara lars latoya laura laurel lauren laurence laurent laurie lawrence lea leah
+    leandro lee leif leila leland lena lennart lenny lenora leo leon leona leonard leonardo leonid leonie leroy leslie lester leticia levi lewis liam lidia liese lila lilian liliana lillian lilly lily lina lincoln linda
+    lindsay lindsey lionel lisa lise liz liza lloyd logan lois lola lonnie lorena lorenz lorenzo loretta lori lorna lorraine lothar lou louis louise lourdes luc luca lucas lucia luciano lucie lucien lucille lucinda lucy
+    lucía ludwig luigi luis luisa luiz luka lukas luke luther lydia lyle lynn lynne lázaro léa léo mabel madeleine madeline madison mads magda magdalena maggie magnus mahmoud maja malcolm malik mallory mandy manfred manuel
+    mara marc marcel marcela marcelo marcia marcin marco marcos marcus margaret margarete margarita margery margit margot marguerite maria mariam marian mariana marianne maribel marie marilyn marina mario marion marisa
+    marisol marissa marius marián marjorie mark marko markus marlene marlon marsha marshall mart marta martha martin martina martine martín marvin mary maryam mateo mathias mathieu mathilde matilda matteo matthew matthias
+    matthieu mattias maud maura maureen maurice mauricio maurizio max maxim maxime maximilian maxine maya mechthild megan mehmet meike melanie melinda melissa melody melvin mercedes meredith mia micah michael michaela michał
+    michela michele michelle mick mickey miguel mihai mika mikael mike mikhail mila milan mildred milena miles millie milo milton mina minna mira miranda mireille miriam mirko mitch mitchell mohamed mohammad mohammed moira
+    molly mona monica monika monique morgan moritz morris moses muhammad muriel murray mustafa myra myriam myrna myrtle nadezhda nadia nadine nadja nancy naomi nasser natalia natalie natalya natasha nathalie nathan nathaniel
+    neal ned nell nellie nelson nerea nestor neville niall nicholas nick nicola nicolai nicolas nicole nicoletta nicolás nicolò niels nigel nikhil nikita niklas nikola nikolai nikolaus nikolay nikos nils nina noah noel
+    noelle nolan noor nora norbert noreen norma norman noémie núria octavia octavio odette odile olaf ole oleg olena olga oliver olivia olivier ollie omar oona ophelia orlando orson oscar oskar osman osvaldo oswald otis
+    ottilie ottmar otto owen pablo paco paige pamela paola paolo pascal pascale patrice patricia patrick patrizia patsy patty paul paula paulina pauline paulo pavel pawel paweł pearl pedro peggy penelope penny percy perry
+    peter petra phil philip philipp philippa philippe phillip phoebe phyllis pia pierre pieter pietro pilar piotr polly preston priscilla priya prudence quentin quincy quinn rachel rafael rafaela raffaele rahul rainer raj
+    raja rajesh ralf ralph ramon ramona ramón randall randolph randy raoul raquel rashid raul ravi raymond rayna raúl rebecca rebekah regina reginald regine reinaldo reinhard reinhold renata renate renato renee rené renée
+    reuben rex reynaldo rhoda rhonda ricarda ricardo riccardo richard richie rick ricky rita rob robbie robert roberta roberto robin robyn rocio rocío roderick rodney rodolfo rodrigo rogelio roger roland rolf roman romeo ron
+    ronald ronnie rory rosa rosalie rosalind rosalyn rosanna rosario rose rosemarie rosemary rosie ross rowan roxanne roy ruben ruby rubén rudolf rudolph rudy rufus rupert russell ruth ryan rüdiger sabina sabine sabrina
+    sadie said salim sally salma salvador salvatore sam samantha samir samira sammy samuel sandra sanjay santiago sara sarah sascha sasha saul scott sean sebastian sebastián selena selina selma serena serge sergei sergey
+    sergio seth severin seán shane shannon sharon shaun shauna shawn sheila shelby sheldon shelley shelly sheri sherry shirley sid sidney siegfried sigrid silas silke silvia silvio simon simona simone siobhan sofia sofie
+    sofía solange soledad sonia sonja sonya sophie soren spencer stacey stacy stan stanislav stanisław stanley stefan stefanie stefano steffen stella stephan stephanie stephen steve steven stewart stuart stéphane stéphanie
+    sue suresh susan susanna susanne suzanne suzette svante sven svetlana sybil sylvain sylvia sylvie sébastien søren tabea tabitha tamara tania tanja tanya tara tariq tasha tatiana tatyana ted terence teresa terrance terri
+    terry tess tessa thaddeus thea thelma theo theodor theodora theodore theresa thierry thilo thomas thorsten thérèse tiago tiffany tilda tim timo timothy tina tobias toby todd tom tomas tomasz tomek tommaso tommy tomás
+    toni tony torsten tracey tracy travis trevor tricia trina trish trisha tristan trudy tyler tyrone udo ulf uli ulrich ulrike umberto una uriel urs ursel ursula ute uwe vadim valentin valentina valeria valerie valérie
+    vanessa vasily velma vera verena verna vernon veronica veronika vicente vicki vickie vicky victor victoria vijay vikram viktor viktoria vilma vince vincent vincenzo viola violet viorel virgil virginia virginie vitaly
+    vito vittorio vivian viviana viviane vivien vlad vladimir volker véronique wade walter waltraud wanda warren wayne wendell wendy werner wesley wilbur wilfred wilhelm wilhelmina wilhelmine willa willem willi william
+    willie willy wilma winifred winston wladimir wojciech wolfgang woodrow xavier ximena yannick yara yasmin yasmine yelena yesenia yevgeny yoko yolanda yosef youssef yuri yusuf yves yvette yvonne zachary zahra zainab zane
+    zelda zoe zofia zora zoë zuzanna álvaro ángel ángela åke åsa édouard élise élodie émile émilie éric étienne íñigo óscar øystein łukasz""".split()
 )
 STREET_TYPES = "Street|St|Avenue|Ave|Boulevard|Blvd|Lane|Ln|Road|Rd|Drive|Dr|Court|Ct|Place|Pl|Square|Sq|Terrace|Ter|Way|Parkway|Pkwy|Circle|Cir|Highway|Hwy|Alley"
 #: Capitalised words that follow a given name without being a family name.
@@ -55,6 +104,14 @@ NOT_FAMILY = set(
     i we you they it he she my our your this that ring tel call text write contact regards thanks""".split()
 )
 
+#: Capitalised words that follow a cue without being a given name.
+NOT_GIVEN = NOT_FAMILY | set(
+    """a an all another any both each every no not some those these their his her its one two three old new little big best last first dear sir madam
+    very ever always still truly faithfully sincerely respectfully concerned disappointed anonymous former long loyal proud happy angry your yours
+    editor editors staff team management reader readers fan fans everyone everybody someone somebody anyone nobody mister miss lord lady saint
+    el la los las le les der die das ein eine un une uno una il lo""".split()
+)
+
 _WIDTH = {**{chr(0xFF01 + i): chr(0x21 + i) for i in range(94)}, "　": " ", " ": " ", " ": " "}
 _GONE = set("​‌‍⁠﻿­")
 
@@ -183,11 +240,13 @@ def _worth(kind: str, text: str, low: str) -> bool:
     if kind == "email":
         return "@" in text or "at" in low and ("dot" in low or "pun" in low or "point" in low or "ponto" in low or "at)" in low or "at]" in low or "at}" in low or "at>" in low or "arroba" in low or "ät" in low)
     if kind == "person":
-        return not GIVEN_NAMES.isdisjoint(_LETTERS.findall(low))
+        return any(x in low for x in _CUE_SIGNS) or not GIVEN_NAMES.isdisjoint(_LETTERS.findall(low))
     return any(c.isdigit() for c in text)
 
 
 _LETTERS = re.compile(r"[^\W\d_]+")
+#: One of them is in every cue of _CUED.
+_CUE_SIGNS = ("name is", "name's", "became of", "ask for", "signed", "regards,", "sincerely,", "yours,", "this is for", "in photo ", "i am called", "je m'appelle", "me llamo", "ich hei")
 
 
 _EMAIL = re.compile(rf"(?i)(?<![A-Za-z0-9_.+\-])({_NAME}){_AT}({_LABEL}(?:{_DOT}{_LABEL})+)")
@@ -270,7 +329,8 @@ def _persons(t: Traced) -> Iterator[tuple[int, int]]:
             yield m.span()
     for m in _CUED.finditer(t.text):
         given, family = m.group(2), m.group(4)
-        if given.lower() in GIVEN_NAMES and family.lower() not in NOT_FAMILY and len(family) > 2:
+        named = given.lower() in GIVEN_NAMES or given[0].isupper() and family[0].isupper() and given.lower() not in NOT_GIVEN
+        if named and family.lower() not in NOT_FAMILY and len(family) > 2:
             yield m.start(2), m.end(4)
 
 

@@ -267,6 +267,25 @@ def test_personal_information_tables(spark):
     assert pii.found(c.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("I met Stephen Marsh there", "Stephen Marsh"), ("photo by Ana Ruiz", "Ana Ruiz"), ("with Raymond Ostrow", "Raymond Ostrow"), ("so says Giulia Ferrante", "Giulia Ferrante"), ("then Björn Halvorsen left", "Björn Halvorsen"),
+        ("hi, my name is Quillon Marsh.", "Quillon Marsh"), ("MY NAME IS TAVISH OSTROW", "TAVISH OSTROW"), ("Regards,\nXanthe B. Orrin", "Xanthe B. Orrin"), ("me llamo Itziar Belasko", "Itziar Belasko"),
+        ("my name is not important", None), ("regards, The Editors", None), ("Quillon Marsh is a swamp", None),
+    ],
+)
+def test_full_names_beyond_the_tables(text, want):
+    assert [text[s:e] for s, e, k in pii.spans(text) if k == "person"] == ([want] if want else [])
+
+
+def test_given_names_that_had_been_cut():
+    cut = """albert amanda amelia ana angela antonio benjamin beth carol chris erik ethan frances francis gerald jeff judy keith lewis magda miriam nathan
+        ralph raymond rose ryan sophie stephen steven teresa theresa veronica virginia wendy yuri yvonne""".split()
+    for name in cut:
+        assert pii.redact(f"I saw {name.title()} Ostrow") == "I saw [NAME]"
+
+
 # ---------------------------------------------------------------- 8 and 9
 
 
