@@ -191,6 +191,27 @@ def test_residue(spark):
     assert residue.found(p.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("The page you requested could not be displayed.", "server"), ("The article you requested is not available.", "server"), ("Unable to select db", "server"), ("455 unauthorized", "server"), ("Status: 451", "server"),
+        ("Bitte schalten Sie Cookies ein", "notice"), ("Sitio en construcción", "notice"), ("Текст для заполнения", "filler"), ("hey heyhey", "filler"), ("hello 1 hello 2 hello 3", "filler"), ("test 1 test 2", "filler"), ("test123", "filler"),
+        ("July 4, 2004", None), ("2004", None), ("12.03.2004", None), ("Page 1 2 3 4 5", None), ("10 11 12", None), ("x" * 400 + "y", None), ("word " + "1" * 400 + "x", None),
+    ],
+)
+def test_messages_without_common_signs(text, want):
+    assert residue.verdict(text) == want
+
+
+def test_each_shape_of_a_script_error_has_a_sign():
+    errors = [
+        "Warning: main(x.php) failed in /www/x.php", "Notice: x on line 12", "You have an error in your SQL syntax", "Access denied for user 'web'@'localhost' (using password: YES)", "mysql_connect()",
+        "[an error occurred while processing this directive]", "VBScript runtime error", "JScript compilation error", "ODBC Driver", "ODBC error", "Traceback (most recent call last)", "java.lang.NullException", "Unhandled exception", "stack trace:",
+    ]
+    for e in errors:
+        assert residue.SCRIPT_ERRORS.search(e) and residue._message(f"The band {e} played on.")[0]
+
+
 def test_template_tree_merges_by_position():
     t = residue.TemplateTree()
     for w in ("Error 1 in module alpha", "Error 2 in module alpha", "Error 3 in module beta"):
