@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from restitch.llm.io import field_rows
 from restitch.llm.pageblocks import Block, blocks
-from restitch.llm.residue import ERROR_SIGNS, SCRIPT_ERRORS, SLOT_SIGNS, SLOTS, latin_filler, verdict
+from restitch.llm.residue import ERROR_SIGNS, SCRIPT_ERRORS, SENTENCE, SLOT_SIGNS, SLOTS, verdict, whole
 from restitch.session import spread
 
 #: SITE is boilerplate by its wording: it may stand in the middle of an article, as link lists may not.
@@ -84,7 +84,7 @@ _TALK = re.compile(r"^[^\s:][^:.!?]{0,24}: \S.{0,60}$")
 
 
 _BYLINE = re.compile(r"(?i)^(?:by|words(?:\s+and\s+\w+)?\s*(?:by|:)|(?:photos?|text|story|pictures)(?:\s+and\s+\w+)?\s+by|von|par|por|текст:?)\s+\S+(?:\s+\S+){0,4}$|^\S+(?:\s+\S+){1,3}\s+reports$")
-#: Site text and messages are shorter than this.
+#: Longer blocks are read sentence by sentence.
 SITE_WORDS = 45
 
 
@@ -107,6 +107,22 @@ def _wording(text: str) -> str | None:
     return None
 
 
+@lru_cache(maxsize=50_000)
+def _long_wording(text: str) -> str | None:
+    """BAD when a long block is a message as a whole, else what the wording of more than half of it says."""
+    parts = SENTENCE.split(" ".join(text.split()))
+    if whole(" ".join(parts), len(parts)):
+        return BAD
+    if any(x in text for x in ERROR_SIGNS) and len(SCRIPT_ERRORS.sub("", text)) < 60:
+        return BAD
+    size = {SITE: 0, BAD: 0, None: 0}
+    for x in parts:
+        size[_wording(x)] += len(x)
+        if size[None] >= 0.5 * len(text):
+            return None
+    return SITE if size[SITE] >= size[BAD] else BAD
+
+
 def first_pass(b: Block) -> str:
     text = b.text
     n = len(text)
@@ -114,10 +130,10 @@ def first_pass(b: Block) -> str:
         return BAD
     if text.count(" ") < SITE_WORDS:
         w = _wording(text)
-        if w:
-            return w
-    elif latin_filler(text):
-        return BAD
+    else:
+        w = _long_wording(text)
+    if w:
+        return w
     if b.last_link and b.link_in:  # a teaser ends in a link to its story
         return BAD
     if b.link_out >= 0.7 * n:
@@ -185,7 +201,7 @@ def _without_text(bs: list[Block], labels: list[str]) -> list[str]:
     """A page without running text: a message leaves no article at all; else a byline, or a top heading, is its article."""
     if GOOD in labels:
         return labels
-    if any(x == BAD and not b.form and _wording(b.text) == BAD for b, x in zip(bs, labels, strict=True)):
+    if any(x == BAD and not b.form and (_wording(b.text) if b.text.count(" ") < SITE_WORDS else _long_wording(b.text)) == BAD for b, x in zip(bs, labels, strict=True)):
         return [BAD if x in (NEAR, HEAD) else x for x in labels]
     bylines = [x == HEAD and bool(_BYLINE.match(b.text)) for b, x in zip(bs, labels, strict=True)]
     if any(bylines):

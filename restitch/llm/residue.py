@@ -20,6 +20,7 @@ whole pages are read.
 from __future__ import annotations
 
 import re
+import re._parser as parser
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from restitch.llm.pageblocks import blocks
 from restitch.session import spread, written
 
-#: Longer blocks are ordinary text.
+#: Longer blocks reach the templates only by what is told in them: a sentence with a verdict, or filler.
 MESSAGE_WORDS = 40
 SIMILARITY = 0.7
 WILD = "<*>"
@@ -48,6 +49,7 @@ SCRIPT_ERRORS = re.compile(
     r"|You have an error in your SQL syntax|Access denied for user\s+\S+\s*\(using password|mysql_\w+\(\)|\[an error occurred while processing this directive\]"
     r"|(?:VBScript|JScript|ASP) (?:runtime|compilation) error|ODBC (?:\w+ )?(?:Driver|error)|Traceback \(most recent call last\)|java\.lang\.\w+Exception|Unhandled exception|stack trace:",
 )
+_AGAIN = r"""^([^\W\d]\w{1,11})[\s,.!]+(?=(?:\d[\s,.!]*)*\1)(?:(?:\1|\d)[\s,.!]*){2,}$ | ^(?=.*[^\W\d])(?:(?:asdf|qwer\w*|jkl|xxx(?:x{1,2}(?!x))?|foo|bar|baz|blah|bla|test|text|abc|lorem|dummy|sample|\d)[\s,.;!]*){3,}$"""
 _MESSAGES = {
     "server": r"""
         \b[45]\d\d\b.{0,20}\b(?:not\s+found|forbidden|unauthori[sz]ed|internal\s+server\s+error|bad\s+gateway|bad\s+request|service\s+unavailable|gateway\s+time-?out|gone|denied)\b
@@ -76,13 +78,41 @@ _MESSAGES = {
         | ^javascript\s+ist\s+deaktiviert | ^bitte\s+(?:aktivieren|schalten)\b.{0,60}\b(?:javascript|cookies)\b | ^(?:veuillez|merci\s+d['’])\s*activer\b | ^activez\s+javascript | ^(?:active|habilite|ative)\s+(?:el\s+|o\s+)?javascript
         | ^(?:включите|для\s+просмотра).{0,40}javascript | (?:请|請).{0,6}(?:启用|啟用|打开).{0,8}javascript | javascript\s*を?(?:有効|オン) | ^wartungsarbeiten | ^(?:sitio|página)\s+en\s+(?:mantenimiento|construcción) | ^site\s+en\s+(?:maintenance|construction)""",
     "filler": r"""
-        ^([^\W\d]\w{1,11})[\s,.!]+(?=(?:\d[\s,.!]*)*\1)(?:(?:\1|\d)[\s,.!]*){2,}$ | ^(?=.*[^\W\d])(?:(?:asdf|qwer\w*|jkl|xxx(?:x{1,2}(?!x))?|foo|bar|baz|blah|bla|test|text|abc|lorem|dummy|sample|\d)[\s,.;!]*){3,}$
-        | \b(?:type|enter|put|insert|paste|write|add)\s+your\s+(?:article\s+)?(?:text|copy|story|content|title|headline)\b | \b(?:headline|copy|text|title|story|content|body|caption|image)\s+goes\s+here\b
+        \b(?:type|enter|put|insert|paste|write|add)\s+your\s+(?:article\s+)?(?:text|copy|story|content|title|headline)\b | \b(?:headline|copy|text|title|story|content|body|caption|image)\s+goes\s+here\b
         | ^(?:dummy|sample|placeholder|filler|example)\s+(?:text|copy|content)\b | \breplace\s+(?:this\s+)?(?:text\s+)?before\s+(?:going\s+live|publishing|launch)
         | ^(?:texto\s+de\s+(?:prueba|ejemplo|relleno)|hier\s+steht\s+(?:ein\s+)?(?:blindtext|beispieltext)|blindtext|texte\s+(?:de\s+remplissage|d['’]exemple|ici)|texto\s+de\s+exemplo|пример\s+текста|текст\s+для\s+заполнения|здесь\s+будет\s+текст|тестовый\s+текст|рыба\s+текст|测试文本|示例文本|ダミーテキスト|テストテスト)
         | ^(?:this\s+is\s+)?(?:a\s+)?(?:test|dummy)\s+(?:page|article|story)[.!]?$ | ^untitled(?:\s+document)?$ | ^new\s+page\s+\d+$""",
 }
-MESSAGES = {k: re.compile(r"(?ix)" + v) for k, v in _MESSAGES.items()}
+MESSAGES = {k: re.compile(r"(?ix)" + v + (" | " + _AGAIN if k == "filler" else "")) for k, v in _MESSAGES.items()}
+
+
+def required(tree) -> set[str]:  # noqa: ANN001 - a parsed pattern
+    """Lower-case strings of which every match of a pattern holds at least one; empty when none can be told."""
+    found: list[set[str]] = []
+    run = ""
+    for op, what in [*tree, (None, None)]:
+        if op is parser.LITERAL:
+            run += chr(what).lower()
+            continue
+        if run:
+            found.append({run})
+            run = ""
+        if op is parser.SUBPATTERN:
+            found.append(required(what[-1]))
+        elif op is parser.MAX_REPEAT and what[0] > 0:
+            found.append(required(what[2]))
+        elif op is parser.BRANCH:
+            each = [required(x) for x in what[1]]
+            found.append(set().union(*each) if all(each) else set())
+    return max((x for x in found if x), key=lambda x: min(map(len, x)), default=set())
+
+
+#: A text of plain characters without any of these has none of the shapes but _AGAIN.
+MESSAGE_SIGNS = {x for v in _MESSAGES.values() for x in required(parser.parse(r"(?ix)" + v))}
+MESSAGE_SIGNS = tuple(sorted(x for x in MESSAGE_SIGNS if not any(y != x and y in x for y in MESSAGE_SIGNS)))
+_NO_SIGN = {"filler": re.compile(r"(?ix)" + _AGAIN)}
+#: Characters that match another one without regard to case only where their lower-case forms are the same.
+_PLAIN = re.compile(r"[\x00-\x7f\xa0-\xff\u2010-\u2027]*")
 LATIN_FILLER = set(
     """lorem ipsum dolor sit amet consectetur consectetuer adipiscing elit sed eiusmod tempor incididunt labore dolore magna aliqua enim minim veniam
     quis nostrud exercitation ullamco laboris nisi aliquip commodo consequat duis aute irure reprehenderit voluptate velit esse cillum fugiat nulla pariatur
@@ -93,28 +123,68 @@ LATIN_FILLER = set(
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
+#: Ends of sentences inside a block.
+SENTENCE = re.compile(r"(?<=[.!?…])\s+|(?<=[。！？])\s*")
+
+
 def latin_filler(text: str) -> bool:
-    """Pseudo-Latin: most words come from the usual filler, or few different long words come back at random without any function words."""
-    start = _WORDS.findall(text[:160].lower())
-    if len(start) < 6 or sum(w in LATIN_FILLER for w in start) < 0.6 * len(start):
-        return False
+    """Pseudo-Latin: most words of a block, or the sentences that hold more than half of its words, come from the usual filler."""
     words = _WORDS.findall(text.lower())
-    return len(words) >= 6 and sum(w in LATIN_FILLER for w in words) >= 0.6 * len(words)
+    known = sum(w in LATIN_FILLER for w in words)
+    if len(words) < 6 or known < 0.3 * len(words):
+        return False
+    if known >= 0.6 * len(words):
+        return True
+    parts = [_WORDS.findall(x.lower()) for x in SENTENCE.split(text)]
+    return sum(len(x) for x in parts if len(x) >= 6 and sum(w in LATIN_FILLER for w in x) >= 0.6 * len(x)) > 0.5 * len(words)
 
 
-def verdict(message: str) -> str | None:
-    """The class of a message template, None for ordinary text."""
-    text = " ".join(message.split())
-    for kind, rx in MESSAGES.items():
+@lru_cache(maxsize=50_000)
+def _shape(text: str, rest: int, start: int | None) -> str | None:
+    """The class of a text that is its shape and at most ``rest`` characters, or at most ``start`` characters long and starts with it."""
+    low = text.lower()
+    signs = not _PLAIN.fullmatch(text) or any(x in low for x in MESSAGE_SIGNS)
+    for kind, rx in (MESSAGES if signs else _NO_SIGN).items():
         m = rx.search(text)
         # a message is little more than its shape; a sentence about one is longer
-        if m and (len(text) - (m.end() - m.start()) <= 60 or m.start() == 0 and len(text) <= 200) and not _quoted(text, m):
+        if m and (len(text) - (m.end() - m.start()) <= rest or m.start() == 0 and (start is None or len(text) <= start)) and not _quoted(text, m):
             return kind
-    if latin_filler(text):
-        return "filler"
     return None
 
 
+#: No shape but _AGAIN is longer than this in a text whose words stand one space apart (numbers and marks in a row taken to be 40 at most).
+LONGEST = max(parser.parse(r"(?i)" + re.sub(r"\s+", "", v).replace(r"\s+", "[ ]").replace(r"\s*", "[ ]?").replace(r"\d+", r"\d{1,40}").replace(r"[\d.]+", r"[\d.]{1,40}").replace("!]*$", "!]{0,40}$")).getwidth()[1] for v in _MESSAGES.values())
+
+
+def whole(text: str, sentences: int) -> str | None:
+    """The class of a block as a whole; its words stand one space apart."""
+    if sentences > 1 and len(text) > LONGEST + 60:  # too long to be little more than another shape
+        kind = "filler" if _NO_SIGN["filler"].search(text) else None
+    else:
+        kind = _shape(text, 60, None if sentences == 1 else 200)
+    return kind or ("filler" if latin_filler(text) else None)
+
+
+def told(message: str) -> tuple[str | None, str]:
+    """(class, the part that says so) of a block of any length: the whole of it, else its first sentence with a class."""
+    text = " ".join(message.split())
+    parts = SENTENCE.split(text)
+    kind = whole(text, len(parts))
+    if kind:
+        return kind, text
+    if len(parts) > 1:
+        for x in parts:
+            kind = _shape(x, 60, None)
+            if kind == "server" or kind == "notice" and _shape(x, 20, None):  # an article's sentence on the site's state says more
+                return kind, x
+    return None, text
+
+
+def verdict(message: str) -> str | None:
+    """The class of a message template, None for ordinary text."""
+    return told(message)[0]
+
+
 def _quoted(text: str, m: re.Match) -> bool:
     """The shape is named inside a sentence of an article: words stand before it."""
     before = _WORDS.findall(text[: m.start()])
@@ -174,19 +244,17 @@ ERROR_SIGNS = ("/", "line ", "SQL", "Access denied", "mysql_", "directive]", "er
 
 
 @lru_cache(maxsize=50_000)
-def _message(text: str) -> tuple[bool, str | None, int, str, str]:
-    """(slot or script error, masked message or None when it is ordinary text, and its leaf key) of a block."""
+def _message(text: str) -> tuple[bool, str | None, str, int, str, str]:
+    """(slot or script error, the message, masked or None when it is ordinary text, and its leaf key) of a block."""
     slot = (any(x in text for x in SLOT_SIGNS) and bool(SLOTS.search(text))) or (
         any(x in text for x in ERROR_SIGNS) and bool(SCRIPT_ERRORS.search(text))
     )
-    words: list[str] | None = None
-    if text.count(" ") < MESSAGE_WORDS:
-        words = mask(text)
-    elif latin_filler(text):
-        words = mask(" ".join(text.split()[:12]))
-    if words is None:
-        return slot, None, 0, "", ""
-    return (slot, " ".join(words), *leaf_key(words))
+    if text.count(" ") >= MESSAGE_WORDS:
+        kind, text = told(text)
+        if kind is None:
+            return slot, None, text, 0, "", ""
+    words = mask(text) if text.count(" ") < MESSAGE_WORDS else mask(" ".join(text.split()[:12]))
+    return (slot, " ".join(words), text, *leaf_key(words))
 
 
 def page_signals(page: str) -> tuple[bool, list[tuple[str, str, int, str, str]]]:
@@ -194,10 +262,10 @@ def page_signals(page: str) -> tuple[bool, list[tuple[str, str, int, str, str]]]
     slot = False
     messages = []
     for b in blocks(page):
-        s, masked, n, w1, w2 = _message(b.text)
+        s, masked, text, n, w1, w2 = _message(b.text)
         slot = slot or s
         if masked is not None and b.link_in + b.link_out <= 0.5 * len(b.text):
-            messages.append((b.text, masked, n, w1, w2))
+            messages.append((text, masked, n, w1, w2))
     return slot, messages
 
 

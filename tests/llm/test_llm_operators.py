@@ -203,6 +203,47 @@ def test_messages_without_common_signs(text, want):
     assert residue.verdict(text) == want
 
 
+PROSE = "The band played on until the lamps went out and nobody in the long room wanted to be the first one to leave it, so the bar stayed open. " * 2
+LATIN = "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore et dolore magna aliqua. Ut enim ad minim veniam, quis nostrud exercitation ullamco laboris nisi ut aliquip ex ea commodo consequat. "
+
+
+@pytest.mark.parametrize(
+    ("block", "want"),
+    [
+        ("blah blah " * 30, True), ("text text " * 30, True), ("word. word, " * 40, True), ("Blindtext " * 45, True), (LATIN * 2, True),
+        (PROSE[:138] + LATIN * 2, True), ("Dear readers of our small magazine, we are as surprised as you. The page you requested could not be found on this server. " + PROSE[:138], True),
+        ("This account has been suspended. " + "If you are its owner, write to the people who run the machines and ask them for what you still owe to them. " * 3, True),
+        ("This site has been temporarily suspended because its owner owes money to the people who run the machines, and as long as it is not paid, which we hope will not take longer than the rest of this month or the next one, all the pages stay closed to readers", True),
+        (PROSE, False), (PROSE + LATIN[:60], False), (PROSE[:138] + "The site was down for maintenance around noon, so the band sold tickets by hand. " + PROSE[:138], False),
+    ],
+)
+def test_blocks_of_any_length(block, want):
+    assert block.count(" ") >= residue.MESSAGE_WORDS
+    _, messages = residue.page_signals(f"<html><body><p>{block}</p></body></html>")
+    assert any(residue.verdict(m[0]) for m in messages) == want
+
+
+@pytest.mark.parametrize(
+    "block",
+    [
+        "Copyright 2004 by the magazine. All rights reserved. " + "No part of this site may be printed elsewhere without the written permission of the editors. " * 4,
+        "We use cookies on this site. By continuing you accept cookies on your computer. " * 4, "blah blah " * 30,
+    ],
+)
+def test_long_site_text_is_no_article(block):
+    page = f"<html><body>\n<p>{PROSE}</p>\n<p>{block}</p>\n<p>{PROSE}</p>\n</body></html>"
+    assert block.count(" ") >= maincontent.SITE_WORDS
+    assert maincontent.article_lines(page) == [2, 4]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.sampled_from(sorted(residue._MESSAGES)).flatmap(lambda k: st.from_regex(r"(?ix)" + residue._MESSAGES[k])))
+def test_each_message_shape_has_a_sign(text):
+    text = " ".join(text.split())
+    if any(rx.search(text) for rx in residue.MESSAGES.values()):
+        assert not residue._PLAIN.fullmatch(text) or any(x in text.lower() for x in residue.MESSAGE_SIGNS) or residue._NO_SIGN["filler"].search(text)
+
+
 def test_each_shape_of_a_script_error_has_a_sign():
     errors = [
         "Warning: main(x.php) failed in /www/x.php", "Notice: x on line 12", "You have an error in your SQL syntax", "Access denied for user 'web'@'localhost' (using password: YES)", "mysql_connect()",
