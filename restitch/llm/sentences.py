@@ -178,6 +178,7 @@ class Segmenter:
         stems = {w.lower().rsplit(".", 1)[-1] for a in ABBREVIATIONS.values() for ws in a.values() for w in ws}
         self.stems = stems | {"in", "lb", "lbs", "oz", "ft", "yd", "inc", "co", "ltd", "corp", "etc", "ave", "sq", "blvd", "rd", "usw", "usf"}
         self.last_word = regex.compile(r"([\p{L}\p{M}\p{N}]+)\.$")
+        self.number = regex.compile(r"\p{N}")
         self.of_script = {"latin": ["en", "de", "fr", "es", "pt"], "cyrillic": ["ru"], "greek": ["el"]}
         self.cascades: dict[tuple, tuple[list, list]] = {}
 
@@ -234,7 +235,8 @@ class Segmenter:
             table = rules[0]
         else:
             w = self.last_word.search(before)
-            table = rules[0] if w and (len(w.group(1)) == 1 or w.group(1).isdigit() or w.group(1).lower() in self.stems) else rules[1]
+            # letters after a digit may be a measure ("12in."): the full tables decide
+            table = rules[0] if w and (len(w.group(1)) == 1 or self.number.search(w.group(1)) or w.group(1).lower() in self.stems) else rules[1]
         if table is rules[1] and before[-1] in ".!?" and after[0].isspace() and after.lstrip()[:1].isupper():
             return True  # what the shorter tables come to: no rule of theirs holds such a place back
         for decision, left, right in table:

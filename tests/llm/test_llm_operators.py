@@ -474,3 +474,21 @@ def test_sentence_tables(spark):
     assert sorted(got[1]) == [4, 4, 9, 9] and len(got[4]) == 5000 and set(got) == {1, 4}
     assert {r.sentence for r in sentences.sentences(d).where("doc_id = 1").collect()} == {"One.", "Two."}
     assert sentences.sentence_ends(d.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("measure", ["12in.", "10lbs.", "1lb.", "6ft.", "12oz.", "3yd.", "½in.", "12 in.", "6 FT."])
+def test_measures_joined_to_their_number(measure):
+    text = f"The {measure} record came out. We bought it."
+    assert [text[:e].split()[-1] for e in sentences.segmenter().ends(text, "en")] == ["out.", "it."]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["12in.", "6ft.", "the", "The", "a.m.", "5p.m.", "Nr.", "3.", "2nd.", "No.", "x.", "out.", "etc.", "St.", "S.12.", "end!"]), min_size=1, max_size=8).map(" ".join))
+def test_shorter_tables_decide_like_the_full_ones(text):
+    seg = sentences.segmenter()
+    full = seg.cascade(text, "en")[0]
+    for p in (m.end() for m in seg.candidate.finditer(text)):
+        if p < len(text):
+            before, after = text[max(0, p - 48) : p], text[p : p + 48]
+            want = next((d for d, left, right in full if right.match(after) and left.search(before)), False)
+            assert seg._breaks(text, p, seg.cascade(text, "en")) == want
