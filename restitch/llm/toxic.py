@@ -31,8 +31,9 @@ from restitch.llm.toxic_examples import ABUSIVE, HARMLESS, SLOTS
 from restitch.session import spread
 
 BITS = 21
-#: Words of one sequence; longer sentences are cut.
+#: Words of a training sentence; longer ones are cut. Texts are tagged in whole sentences, in batches of CELLS words.
 SEQUENCE = 64
+CELLS = 2048 * SEQUENCE
 WORD_P = 0.4
 SPAN_SCORE = 0.9
 DOCUMENT_SCORE = 0.6
@@ -281,17 +282,17 @@ class Scorer:
         if len(self.seen) > 200_000:
             self.seen.clear()
         new = [s for s in sentences if s not in self.seen]
-        owner: list[str] = []
-        seqs: list[list[tuple[str, int, int]]] = []
+        seqs = [tokens(s) for s in new]
         for s in new:
             self.seen[s] = []
-            toks = tokens(s)
-            for at in range(0, len(toks), SEQUENCE):
-                owner.append(s)
-                seqs.append(toks[at : at + SEQUENCE])
         order = sorted(range(len(seqs)), key=lambda k: len(seqs[k]))
-        for at in range(0, len(order), 2048):
-            part = order[at : at + 2048]
+        at = 0
+        while at < len(order):  # whole sentences; a batch has CELLS places at most, or one sentence
+            to = at + 1
+            while to < len(order) and (to + 1 - at) * len(seqs[order[to]]) <= CELLS and to - at < 2048:
+                to += 1
+            part = order[at:to]
+            at = to
             T = len(seqs[part[-1]])
             if not T:
                 continue
@@ -304,7 +305,7 @@ class Scorer:
             p = self.model.marginals(features(h), mask)
             for i in np.flatnonzero(p.max(1) > WORD_P):
                 k = part[i]
-                self.seen[owner[k]] = sorted(self.seen[owner[k]] + _runs(p[i], seqs[k]))
+                self.seen[new[k]] = _runs(p[i], seqs[k])
 
 
 def _sentences(text: str) -> list[tuple[int, int]]:

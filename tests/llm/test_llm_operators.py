@@ -492,3 +492,22 @@ def test_shorter_tables_decide_like_the_full_ones(text):
             before, after = text[max(0, p - 48) : p], text[p : p + 48]
             want = next((d for d, left, right in full if right.match(after) and left.search(before)), False)
             assert seg._breaks(text, p, seg.cascade(text, "en")) == want
+
+
+def test_toxic_words_across_a_block_edge(monkeypatch):
+    import numpy as np
+
+    scorer = toxic.Scorer(toxic.Tagger())
+    lengths = []
+
+    def marginals(feats, mask):
+        lengths.extend(mask.sum(1).tolist())
+        p = np.zeros(mask.shape)
+        p[:, 63:65] = 0.5  # neither half would do
+        return p * mask
+
+    monkeypatch.setattr(scorer.model, "marginals", marginals)
+    long, longer = " ".join(["word"] * 100), " ".join(["word"] * 200_000)
+    (score, spans), (_, other) = scorer.score([long, longer])
+    assert lengths == [100, 200_000] and score > 0
+    assert [long[a:b] for a, b, _ in spans] == ["word word"] == [longer[a:b] for a, b, _ in other]
