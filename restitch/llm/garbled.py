@@ -2,42 +2,51 @@
 
 1. Clauses (pieces of fields between tags, line ends and sentence ends) that hold
    non-ASCII characters are counted over the whole corpus.
-2. Near-twins are clauses that are equal once their non-ASCII characters are stripped.
-   In each group the most frequent unsuspicious clause is the clean one; every other
-   clause of the group is aligned with it character by character, the ASCII characters
-   being the anchors, which gives pairs of wrong and right character runs.
+2. Near-twins are clauses that are equal once their non-ASCII characters are stripped
+   and digits are all read as one.  In each group the most frequent unsuspicious clause
+   is the clean one; every other clause of the group is aligned with it character by
+   character, the ASCII characters being the anchors, which gives pairs of wrong and
+   right character runs.
 3. The pairs vote for the transformations that lead from the right to the wrong run:
    bytes of one encoding read as another, once or several times.  Transformations with
    enough votes are learned.
-4. The learned transformations are undone on the words of all remaining clauses.  Where
-   several bytes per character make the result certain (strict UTF-8 and the like), the
-   word is garbled; where each character stands for another one, it is if the result is
-   a far more frequent word of the corpus.  Replacement and control characters are
-   garbled in any case.
+4. A clause whose differing runs are explained by learned transformations is garbled
+   (evidence ``twin``).  The learned transformations are then undone on the words of all
+   remaining clauses (evidence ``learned``): where the bytes of an encoding are strict
+   (UTF-8 and the double-byte ones) the word is garbled; where each character stands for
+   another one, it is if the result is a far more frequent word among the different
+   clauses of the corpus.  Replacement and control characters are garbled in any case
+   (``lost``).  Strict encodings that no pair voted for are tried last (``bytes``).
+
+Only non-ASCII runs are ever restored: a clause keeps every ASCII character of its own,
+digits and spelling included, and takes from its twin nothing but the aligned runs.
 
 Defined results: null and empty fields are no case; numeric and named references count
-as the characters they stand for; repeated rows are each judged; whole texts are read.
-A clause that has a clean twin is restored to it, another one word by word; what cannot
-be restored keeps its wrong characters.
+as the characters they stand for, and stay as they are outside restored runs; repeated
+rows are each judged; whole texts are read.  What cannot be restored keeps its wrong
+characters.
 """
 
 from __future__ import annotations
 
 import html as _html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from restitch.llm.io import field_rows
+from restitch.llm.io import fanned, field_rows, salted_join
 from restitch.session import spread, written
 
 #: Pairs of different runs that must vote for a transformation.
 VOTES = 2
 #: A word of a one-to-one transformation needs so many times the frequency of the garbled word, and so many occurrences.
 FACTOR, LEAST = 4, 3
+#: A twin needs so many times the frequency of a clause that differs by one-to-one transformations only.
+TWIN_FACTOR = 2
 #: A transformation is also learned from so many different words of at least so many characters that it turns into frequent words.
 LONG, LONG_VOTES = 5, 5
 #: ASCII letters of a clause that make a twin by its stripped text credible.
@@ -112,19 +121,30 @@ def _to_bytes(s: str, enc: str) -> bytes | None:
     return bytes(out)
 
 
-def _plausible(s: str, strict: bool) -> bool:
-    """Only characters of scripts in use; with ``strict`` no rarely used letters of them either."""
+def _plausible(s: str) -> bool:
+    """Only characters of scripts in use."""
     for c in s:
         o = ord(c)
         if not (
             o < 0x80 or 0xA0 <= o <= 0x17F or 0x386 <= o <= 0x3CE or 0x401 <= o <= 0x45F or 0x5D0 <= o <= 0x5EA or 0x600 <= o <= 0x6FF or 0x900 <= o <= 0x97F or 0xE00 <= o <= 0xE5B
             or 0x2010 <= o <= 0x203A or o in (0x20AC, 0x2122, 0x2116, 0x2212) or 0x3000 <= o <= 0x30FF or 0x4E00 <= o <= 0x9FFF or 0xAC00 <= o <= 0xD7A3 or 0xFF00 <= o <= 0xFFEF
-            or (not strict and o > 0xFFFF)
         ):
             return False
     return True
 
 
+def _half() -> frozenset[str]:
+    """Characters of the upper halves of the one-byte encodings, which a text read wrongly twice passes through."""
+    out: set[str] = {chr(i) for i in range(0x80, 0xA0)}
+    for enc in UTF8_READ_AS[:11]:
+        for i in range(128, 256):
+            out.update(bytes([i]).decode(enc, "ignore"))
+    return frozenset(out)
+
+
+HALF = _half()
+
+
 def undo_utf8(s: str, enc: str) -> str | None:
     """The text whose UTF-8 bytes were read as ``enc``, None when they were not."""
     b = _to_bytes(s, enc)
@@ -134,7 +154,7 @@ def undo_utf8(s: str, enc: str) -> str | None:
         r = b.decode("utf-8")
     except UnicodeDecodeError:
         return None
-    return r if r != s and _plausible(r, True) or r != s and CONTROL.search(r) and _plausible(CONTROL.sub("", r), True) else None
+    return r if r != s and (_plausible(r) or all(ord(c) < 128 or c in HALF for c in r)) else None
 
 
 def undo_wide(s: str, wide: str, narrow: str) -> str | None:
@@ -146,7 +166,7 @@ def undo_wide(s: str, wide: str, narrow: str) -> str | None:
     except UnicodeDecodeError:
         return None
     dense = sum(1 for c in r if "぀" <= c <= "ヿ" or "一" <= c <= "鿿" or "가" <= c <= "힣" or "　" <= c <= "〿" or "＀" <= c <= "￯")
-    return r if dense >= 2 and dense == sum(1 for c in r if ord(c) > 127) and _plausible(r, True) else None
+    return r if dense >= 2 and dense == sum(1 for c in r if ord(c) > 127) and _plausible(r) else None
 
 
 def undo_one(s: str, right: str, wrong: str) -> str | None:
@@ -164,8 +184,12 @@ def runs(s: str) -> list[str]:
     return _OTHER.findall(s)
 
 
+STRICT = tuple([f"utf8>{x}" for x in UTF8_READ_AS] + [f"{a}>>{b}" for a, b in WIDE_READ_AS])
+WEAK = tuple(f"{a}>{b}" for a, b in ONE_BYTE)
+
+
 def names() -> list[str]:
-    return [f"utf8>{x}" for x in UTF8_READ_AS] + [f"{a}>>{b}" for a, b in WIDE_READ_AS] + [f"{a}>{b}" for a, b in ONE_BYTE]
+    return [*STRICT, *WEAK]
 
 
 def undo(s: str, name: str) -> str | None:
@@ -175,72 +199,111 @@ def undo(s: str, name: str) -> str | None:
     return undo_utf8(s, wrong) if right == "utf8" else undo_one(s, right, wrong)
 
 
+def chain(s: str, name: str) -> Iterator[str]:
+    """What undoing a transformation once, twice and so on gives, until it cannot be undone or comes back."""
+    seen = {s}
+    now: str | None = s
+    while (now := undo(now, name)) is not None and now not in seen:
+        seen.add(now)
+        yield now
+
+
 def explained(wrong: str, right: str) -> list[str]:
-    """Names of the transformations that turn the right run into the wrong one, applied once or up to three times."""
-    out = []
-    for name in names():
-        s: str | None = wrong
-        for _ in range(3):
-            s = undo(s, name)
-            if s is None:
-                break
-            if s == right:
-                out.append(name)
-                break
-    return out
+    """Names of the transformations that turn the right run into the wrong one, applied once or several times."""
+    return [name for name in names() if right in chain(wrong, name)]
+
+
+def lost(s: str) -> bool:
+    """Characters that no correct text has: replacement and control characters."""
+    return "�" in s or CONTROL.search(s) is not None
 
 
-def certain(word: str, learned: set[str]) -> str | None:
-    """The repaired word when it is garbled beyond doubt, '' when garbled without repair, None otherwise."""
-    now, changed = word, False
-    for _ in range(4):
-        new = _certain_once(now, learned)
-        if new is None:
-            break
-        now, changed = new, True
-    if "�" in now or CONTROL.search(now):
-        return now if changed and "�" not in word else ""
-    return now if changed else None
+def certain(word: str, order: tuple[str, ...] | list[str]) -> tuple[str, str] | None:
+    """(repaired word, first transformation undone) when the word is garbled beyond doubt; '' when it cannot be repaired."""
+    now, first = word, ""
+    seen = {word}
+    while (step := _certain_once(now, order)) is not None and step[0] not in seen:
+        now, name = step
+        first = first or name
+        seen.add(now)
+    if first and _plausible(now):
+        return now, first
+    return ("", "lost") if lost(word) or (first and lost(now)) else None
 
 
-def _certain_once(word: str, learned: set[str]) -> str | None:
-    for name in learned:
+_CYRILLIC_READ = ("cp1251", "koi8_r", "cp866", "mac_roman", "cp932", "gbk")
+
+
+def _surely(wrong: str, right: str, cyrillic: bool) -> bool:
+    """Two letters of a one-byte reading may be a word of their own: they are certain where more than a pair shrinks or a script leaves."""
+    return not cyrillic or len(wrong) - len(right) >= 2 or all(not 0x400 <= ord(c) <= 0x4FF for c in right)
+
+
+def _certain_once(word: str, order: tuple[str, ...] | list[str]) -> tuple[str, str] | None:
+    for name in order:
         if not name.startswith("utf8>"):
             continue
-        cyrillic = name[5:] in ("cp1251", "koi8_r", "cp866", "mac_roman", "cp932", "gbk")
+        cyrillic = name[5:] in _CYRILLIC_READ
         r = undo(word, name)
-        if r is not None and (not cyrillic or len(word) - len(r) >= 2 or len(runs(word)) > 1 or all(ord(c) < 0x400 or ord(c) > 0x4FF for c in r)):
-            return r
+        if r is not None and (len(runs(word)) > 1 or _surely(word, r, cyrillic)):
+            return r, name
         parts = _OTHER.split(word)
         got = [undo(x, name) if len(x) > 1 else None for x in runs(word)]
-        if any(g is not None and (not cyrillic or len(x) - len(g) >= 2 or all(ord(c) < 0x400 or ord(c) > 0x4FF for c in g)) for g, x in zip(got, runs(word), strict=True)):
+        if any(g is not None and _surely(x, g, cyrillic) for g, x in zip(got, runs(word), strict=True)):
             out = parts[0]
             for x, g, p in zip(runs(word), got, parts[1:], strict=True):
                 out += (x if g is None else g) + p
-            return out
+            return out, name
     for x in runs(word):
         if len(x) >= 4 and all("\x80" <= c <= "\xff" or c in "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ" for c in x) and sum("\xc0" <= c <= "\xff" for c in x) >= 3 or CONTROL.search(x):
-            for name in learned:
+            for name in order:
                 if ">>" in name:
                     r = undo(word, name)
                     if r is not None:
-                        return r
+                        return r, name
     return None
 
 
 def suspicious(clause: str) -> bool:
-    every = set(names())
-    return any(certain(w, every) is not None for w in words(clause))
+    return any(certain(w, STRICT) is not None for w in words(clause))
+
+
+def aligned(wrong: str, right: str, learned: frozenset[str] | set[str]) -> tuple[bool, bool, str] | None:
+    """(garbled, beyond doubt, restored clause) of a clause and its clean twin; None where the runs do not align.
+
+    The clause is garbled where every run that differs is one the learned transformations
+    make of the twin's run, or a lost one; beyond doubt where one of them is strict or lost.
+    The ASCII characters are all its own.
+    """
+    x, y = _aligned(wrong), _aligned(right)
+    if len(x) != len(y):
+        return None
+    out, told, sure, ascii_ = [], 0, False, [c for c in wrong if ord(c) < 128]
+    for k, (p, q) in enumerate(zip(x, y, strict=True)):
+        run = p
+        if p != q:
+            how = [n for n in explained(p, q) if n in learned] if p else []
+            if lost(p) or how:
+                run, told = q, told + 1
+                sure = sure or lost(p) or not all(n in WEAK for n in how)
+            elif p and q:
+                return False, False, wrong  # another text after all
+        out.append(run)
+        if k < len(ascii_):
+            out.append(ascii_[k])
+    return told > 0, sure, "".join(out)
 
 
 # ---------------------------------------------------------------- plan
 
 
+def fields_of(pages: DataFrame, comments: DataFrame) -> DataFrame:
+    return field_rows(pages, "pages", "page_id", ["html"]).unionByName(field_rows(comments, "comments", "comment_id", ["text", "subject"])).where("rec_id is not null")
+
+
 def clause_rows(pages: DataFrame, comments: DataFrame) -> DataFrame:
-    """(tbl, rec_id, field, clause) of all clauses with non-ASCII characters."""
-    fields = field_rows(pages, "pages", "page_id", ["html"]).unionByName(
-        field_rows(comments, "comments", "comment_id", ["text", "subject"])
-    ).where(F.col("text").rlike(r"[^\x00-\x7F]|&#?\w+;") & F.col("rec_id").isNotNull())
+    """(tbl, rec_id, field, clause) of all clauses with non-ASCII characters, once per field."""
+    fields = fields_of(pages, comments).where(F.col("text").rlike(r"[^\x00-\x7F]|&#?\w+;"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -255,7 +318,7 @@ def clause_rows(pages: DataFrame, comments: DataFrame) -> DataFrame:
 
 
 def distinct_clauses(rows: DataFrame) -> DataFrame:
-    """(clause, n, skel, anchors, suspect) of each different clause."""
+    """(clause, n, skel, anchors, suspect) of each different clause; counted with map-side combine, then spread for the Python stage."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -268,15 +331,21 @@ def distinct_clauses(rows: DataFrame) -> DataFrame:
             )
 
     counted = rows.groupBy("clause").agg(F.count(F.lit(1)).alias("n"))
-    return counted.mapInPandas(run, "clause string, n bigint, skel string, anchors int, suspect boolean")
+    return fanned(counted, "clause").mapInPandas(run, "clause string, n bigint, skel string, anchors int, suspect boolean")
 
 
 def twins(distinct: DataFrame) -> DataFrame:
-    """(clause, clean): each clause with the clean clause of its group; the groups are never paired among themselves."""
-    w = Window.partitionBy("skel").orderBy(F.col("suspect"), F.col("n").desc(), "clause")
+    """(clause, n, clean, n_clean): each clause with the clean clause of its group; the groups are never paired among themselves.
+
+    The clean clause is the least of an aggregate with map-side combine; clauses of a large
+    group meet it in salted pieces.
+    """
     usable = distinct.where(F.col("anchors") >= ANCHORS)
-    clean = usable.withColumn("rn", F.row_number().over(w)).where("rn = 1 and not suspect").select("skel", F.col("clause").alias("clean"))
-    return usable.join(clean, "skel").where("clause != clean").select("clause", "clean")
+    clean = (
+        usable.where("not suspect").groupBy("skel").agg(F.min(F.struct((-F.col("n")).alias("neg"), "clause")).alias("b"))
+        .select("skel", F.col("b.clause").alias("clean"), (-F.col("b.neg")).alias("n_clean"))
+    )
+    return salted_join(usable.select("skel", "clause", "n"), clean, ["skel"], "clause").where("clause != clean").select("clause", "n", "clean", "n_clean")
 
 
 def learned_names(pairs: DataFrame) -> list[str]:
@@ -288,7 +357,7 @@ def learned_names(pairs: DataFrame) -> list[str]:
             for a, b in zip(pdf["clause"], pdf["clean"], strict=True):
                 x, y = _aligned(a), _aligned(b)
                 if len(x) == len(y):
-                    seen.update((p, q) for p, q in zip(x, y, strict=True) if p != q and p and q and len(q) <= 12)
+                    seen.update((p, q) for p, q in zip(x, y, strict=True) if p != q and p and q)
             yield pd.DataFrame(sorted(seen), columns=["wrong", "right"])
 
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -313,86 +382,146 @@ def _aligned(s: str) -> list[str]:
     return out
 
 
-def word_verdicts(distinct: DataFrame, learned: list[str]) -> DataFrame:
-    """(word, repaired) of every garbled word; repaired is '' where nothing is known."""
+def twin_verdicts(pairs: DataFrame, learned: list[str]) -> DataFrame:
+    """(clause, repaired) of the clauses that their twin shows to be garbled."""
+    known = frozenset(learned)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for c, n, clean, m in zip(pdf["clause"], pdf["n"], pdf["clean"], pdf["n_clean"], strict=True):
+                got = aligned(c, clean, known)
+                # where characters stand one for another, which of the two is wrong is told by their frequencies
+                if got is not None and got[0] and (got[1] or (m >= LEAST and m >= TWIN_FACTOR * n)):
+                    out.append((c, got[2]))
+            yield pd.DataFrame(out, columns=["clause", "repaired"])
+
+    return pairs.mapInPandas(run, "clause string, repaired string")
+
+
+#: Evidence for a garbled field, the strongest first.
+EVIDENCE = ("twin", "learned", "lost", "bytes")
+
+
+def clause_words(distinct: DataFrame) -> DataFrame:
+    """(clause, n, word), once per word of a clause."""
+
     def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = [(w, int(n)) for c, n in zip(pdf["clause"], pdf["n"], strict=True) for w in words(c)]
-            yield pd.DataFrame(out, columns=["word", "n"])
+            out = [(c, int(n), w) for c, n in zip(pdf["clause"], pdf["n"], strict=True) for w in dict.fromkeys(words(c))]
+            yield pd.DataFrame(out, columns=["clause", "n", "word"])
+
+    return fanned(distinct.select("clause", "n"), "clause").mapInPandas(take, "clause string, n bigint, word string")
 
-    vocabulary = distinct.select("clause", "n").mapInPandas(take, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+
+def word_verdicts(clause_word: DataFrame, learned: list[str]) -> DataFrame:
+    """(word, repaired, name, rank) of every garbled word; repaired is '' where nothing is known, name is that of a one-to-one transformation.
+
+    A word is frequent by the different clauses that hold it, among which copies count once, or by
+    all fields, among which one short clause may be very common.
+    """
+    vocabulary = clause_word.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("n_all"))
     known = set(learned)
-    # strict encodings need no vote of this corpus: a text in one of them is found by its bytes
-    strict = sorted(n for n in names() if n.startswith("utf8>") or ">>" in n)
-    weak = [n for n in names() if n not in strict]
+    order = sorted(STRICT, key=lambda n: n not in known)
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        order = sorted(strict, key=lambda n: n not in known)
         for pdf in batches:
             out = []
-            for w, n in zip(pdf["word"], pdf["n"], strict=True):
+            for w, n, a in zip(pdf["word"], pdf["n"], pdf["n_all"], strict=True):
                 r = certain(w, order)
                 if r is not None:
-                    out.append((w, int(n), r, None))
-                if r is None or r == "":
-                    out += [(w, int(n), x, k) for k in weak if (x := undo(w, k))]
-            yield pd.DataFrame(out, columns=["word", "n", "repaired", "name"])
-
-    candidates = vocabulary.mapInPandas(judge, "word string, n bigint, repaired string, name string")
-    sure = candidates.where("name is null").select("word", "repaired", F.lit(0).cast("bigint").alias("m"))
+                    how = "lost" if r[1] == "lost" else "learned" if r[1] in known else "bytes"
+                    out.append((w, int(n), int(a), r[0], None, EVIDENCE.index(how)))
+                if r is None or r[0] == "" or (">>" in r[1] and r[1] not in known):
+                    out += [(w, int(n), int(a), x, k, 1) for k in WEAK if (x := undo(w, k))]
+            yield pd.DataFrame(out, columns=["word", "n", "n_all", "repaired", "name", "rank"])
+
+    candidates = fanned(vocabulary, "word").mapInPandas(judge, "word string, n bigint, n_all bigint, repaired string, name string, rank int")
+    sure = candidates.where("name is null").select("word", "repaired", F.lit(0).cast("bigint").alias("m"), F.lit("").alias("name"), "rank")
     maybe = (
         candidates.where("name is not null")
-        .join(vocabulary.select(F.col("word").alias("repaired"), F.col("n").alias("m")), "repaired")
-        .where((F.col("m") >= LEAST) & (F.col("m") >= FACTOR * F.col("n")))
-        .select("word", "repaired", "m", "name")
+        .join(vocabulary.select(F.col("word").alias("repaired"), F.col("n").alias("m"), F.col("n_all").alias("m_all")), "repaired")
+        .where((F.col("m") >= LEAST) & (F.col("m") >= FACTOR * F.col("n")) | (F.col("m_all") >= LEAST) & (F.col("m_all") >= FACTOR * F.col("n_all")))
+        .select("word", "repaired", "m", "name", "rank")
     )
     # a transformation without twins, as for texts with no ASCII characters to align, is learned from long words
     voted = maybe.where(F.length("word") >= LONG).groupBy("name").agg(F.count_distinct("word").alias("v")).where(F.col("v") >= LONG_VOTES).select("name")
-    maybe = maybe.join(voted, "name", "left_semi").select("word", "repaired", "m").unionByName(
-        maybe.where(F.col("name").isin(learned or [""])).select("word", "repaired", "m")
+    maybe = maybe.join(voted, "name", "left_semi").unionByName(maybe.where(F.col("name").isin(learned or [""])))
+    best = F.max(F.struct("m", "repaired", "name"))
+    return (
+        sure.unionByName(maybe).groupBy("word").agg(best.alias("b"), F.min("rank").alias("rank"))
+        .select("word", F.col("b.repaired").alias("repaired"), F.col("b.name").alias("name"), "rank")
     )
-    best = F.max(F.struct(F.col("m"), F.col("repaired")))
-    return sure.unionByName(maybe).groupBy("word").agg(best.alias("b")).select("word", F.col("b.repaired").alias("repaired"))
+
+
+def mended(clause: str, fixes: dict[str, tuple[str, str, int]]) -> str:
+    """The clause with its garbled words replaced in their places.
+
+    Where some words of it come from a one-to-one transformation, its other words that only the
+    bytes of an encoding without votes explain (rank 3) come from the same one.
+    """
+    by_name = Counter(name for _, name, _ in fixes.values() if name)
+    out, at = [], 0
+    for m in re.finditer(r"[^ \t]+", clause):
+        w = m.group()
+        core = w.strip(_ASCII_EDGE)
+        new, name, rank = fixes.get(core, ("", "", 0)) if core else ("", "", 0)
+        if by_name and not name and rank == EVIDENCE.index("bytes"):
+            other = undo(core, min(by_name, key=lambda n: (-by_name[n], n)))
+            new = other if other and _plausible(other) else new
+        if new:
+            a = m.start() + len(w) - len(w.lstrip(_ASCII_EDGE))
+            out += [clause[at:a], new]
+            at = a + len(core)
+    return "".join([*out, clause[at:]])
 
 
 class Garbled:
     """The stages of one corpus, each computed once."""
 
     def __init__(self, pages: DataFrame, comments: DataFrame) -> None:
+        self.fields = fields_of(pages, comments)
         self.rows = written(clause_rows(pages, comments))
         self.distinct = written(distinct_clauses(self.rows))
         self.pairs = twins(self.distinct)
         self.learned = learned_names(self.pairs)
-        self.words = word_verdicts(self.distinct, self.learned)
-
-    def bad_clauses(self) -> DataFrame:
-        """(clause, word, repaired) for each garbled word of a clause."""
+        self.clause_words = clause_words(self.distinct)
+        self.words = word_verdicts(self.clause_words, self.learned)
+        self.by_twin = twin_verdicts(self.pairs, self.learned)
 
-        def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                yield pd.DataFrame([(c, w) for c in pdf["clause"] for w in dict.fromkeys(words(c))], columns=["clause", "word"])
+    def bad_words(self) -> DataFrame:
+        """(clause, word, repaired, name, rank) for each garbled word of a clause; a frequent word is met in salted pieces."""
+        return salted_join(self.clause_words.drop("n"), self.words, ["word"], "clause")
 
-        return self.distinct.select("clause").mapInPandas(take, "clause string, word string").join(self.words, "word")
+    def bad_clauses(self) -> DataFrame:
+        """(clause, rank): garbled clauses with the strongest evidence, a place of EVIDENCE."""
+        return (
+            self.bad_words().select("clause", "rank").unionByName(self.by_twin.select("clause", F.lit(0).alias("rank")))
+            .groupBy("clause").agg(F.min("rank").alias("rank"))
+        )
+
+    def evidence(self) -> DataFrame:
+        """(tbl, rec_id, field, evidence) of each garbled field; a clause on many pages is met in salted pieces."""
+        hit = salted_join(self.rows, self.bad_clauses(), ["clause"], "rec_id").groupBy("tbl", "rec_id", "field").agg(F.min("rank").alias("rank"))
+        how = F.element_at(F.array(*[F.lit(e) for e in EVIDENCE]), F.col("rank") + 1)
+        return hit.select("tbl", "rec_id", "field", how.alias("evidence"))
 
     def found(self) -> DataFrame:
-        bad = self.bad_clauses().select("clause").distinct()
-        return self.rows.join(bad, "clause").groupBy("tbl", "rec_id", "field").agg(F.lit(1)).select("tbl", "rec_id", "field")
+        return self.evidence().select("tbl", "rec_id", "field")
 
     def repairs(self) -> DataFrame:
-        """(clause, repaired): the clean twin, or the clause with its words repaired."""
+        """(clause, repaired, rank): the runs taken from the clean twin, what is left by words."""
 
         @F.pandas_udf("string")
         def mend(clause: pd.Series, fixes: pd.Series) -> pd.Series:
-            out = []
-            for c, fx in zip(clause, fixes, strict=True):
-                for f in sorted(fx, key=lambda f: -len(f["word"])):
-                    if f["repaired"]:
-                        c = c.replace(f["word"], f["repaired"])
-                out.append(c)
-            return pd.Series(out)
+            return pd.Series([mended(c, {f["word"]: (f["repaired"], f["name"], f["rank"]) for f in fx} if fx is not None else {}) for c, fx in zip(clause, fixes, strict=True)])
 
-        per = self.bad_clauses().groupBy("clause").agg(F.collect_list(F.struct("word", "repaired")).alias("fixes"))
-        return per.join(self.pairs, "clause", "left").select("clause", F.coalesce("clean", mend("clause", "fixes")).alias("repaired"))
+        # the words of one clause: bounded by the clause
+        per = self.bad_words().groupBy("clause").agg(F.collect_list(F.struct("word", "repaired", "name", "rank")).alias("fixes"), F.min("rank").alias("rank"))
+        both = per.join(self.by_twin, "clause", "full_outer")
+        return both.select(
+            "clause", F.coalesce("repaired", mend("clause", "fixes")).alias("repaired"), F.when(F.col("repaired").isNotNull(), F.lit(0)).otherwise(F.col("rank")).alias("rank")
+        )
 
 
 def found(pages: DataFrame, comments: DataFrame) -> DataFrame:
@@ -400,20 +529,59 @@ def found(pages: DataFrame, comments: DataFrame) -> DataFrame:
     return Garbled(pages, comments).found()
 
 
+def evidence_counts(pages: DataFrame, comments: DataFrame) -> DataFrame:
+    """(tbl, field, evidence, n): how many fields are found by what."""
+    return Garbled(pages, comments).evidence().groupBy("tbl", "field", "evidence").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _places(text: str) -> tuple[str, list[tuple[int, int]]]:
+    """The text with references as characters, tags blanked, and the source span of each character."""
+    out: list[str] = []
+    spans: list[tuple[int, int]] = []
+    at = 0
+    for m in _REFERENCE.finditer(text):
+        c = _html.unescape(m.group())
+        if len(c) == 1 and ord(c) > 127:
+            out += text[at : m.start()]
+            spans += [(i, i + 1) for i in range(at, m.start())]
+            out.append(c)
+            spans.append(m.span())
+            at = m.end()
+    out += text[at:]
+    spans += [(i, i + 1) for i in range(at, len(text))]
+    shown = "".join(out)
+    return _TAG.sub(lambda m: "\x00" * len(m.group()), shown), spans
+
+
+def rewritten(text: str, fixes: dict[str, str]) -> str:
+    """The field with its garbled clauses restored in their places; everything else stays byte for byte."""
+    shown, spans = _places(text)
+    out, done, at = [], 0, 0
+    cuts = [m.span() for m in _CLAUSE.finditer(shown)] + [(len(shown), len(shown))]
+    for lo, hi in cuts:
+        piece = shown[at:lo]
+        clause = piece.strip(" \t")
+        new = fixes.get(clause)
+        if new is not None and new != clause:
+            a = at + len(piece) - len(piece.lstrip(" \t"))
+            x, y = spans[a][0], spans[a + len(clause) - 1][1]
+            out += [text[done:x], new]
+            done = y
+        at = hi
+    return "".join([*out, text[done:]])
+
+
 def restored(pages: DataFrame, comments: DataFrame) -> DataFrame:
-    """(tbl, rec_id, field, text): the garbled fields with their clauses restored."""
+    """(tbl, rec_id, field, evidence, text): the garbled fields with their clauses restored."""
     g = Garbled(pages, comments)
-    fixes = g.rows.join(g.repairs(), "clause").groupBy("tbl", "rec_id", "field").agg(F.collect_list(F.struct("clause", "repaired")).alias("fixes"))
-    fields = field_rows(pages, "pages", "page_id", ["html"]).unionByName(field_rows(comments, "comments", "comment_id", ["text", "subject"]))
+    # the clauses of one field: bounded by the field
+    fixes = salted_join(g.rows, g.repairs(), ["clause"], "rec_id").groupBy("tbl", "rec_id", "field").agg(
+        F.collect_list(F.struct("clause", "repaired")).alias("fixes"), F.min("rank").alias("rank")
+    )
 
     @F.pandas_udf("string")
     def apply(text: pd.Series, fx: pd.Series) -> pd.Series:
-        out = []
-        for t, fs in zip(text, fx, strict=True):
-            t = with_characters(t)
-            for f in sorted(fs, key=lambda f: -len(f["clause"])):
-                t = t.replace(f["clause"], f["repaired"])
-            out.append(t)
-        return pd.Series(out)
-
-    return fields.join(fixes, ["tbl", "rec_id", "field"]).select("tbl", "rec_id", "field", apply("text", "fixes").alias("text"))
+        return pd.Series([rewritten(t, {f["clause"]: f["repaired"] for f in fs}) for t, fs in zip(text, fx, strict=True)])
+
+    how = F.element_at(F.array(*[F.lit(e) for e in EVIDENCE]), F.col("rank") + 1)
+    return g.fields.join(fixes, ["tbl", "rec_id", "field"]).select("tbl", "rec_id", "field", how.alias("evidence"), apply("text", "fixes").alias("text"))

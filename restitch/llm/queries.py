@@ -22,6 +22,7 @@ def queries() -> dict[str, Query]:
         "p1_survivors": _over(survivors.survivors, "captures", "sources"),
         "p2_found": _over(garbled.found, "pages", "comments"),
         "p2_restored": _over(garbled.restored, "pages", "comments"),
+        "p2_evidence": _over(garbled.evidence_counts, "pages", "comments"),
         "p3_found": _over(toxic.found, "pages", "comments"),
         "p3_scores": _over(toxic.scored, "pages", "comments"),
         "p3_rates": _over(toxic.rates, "pages", "comments"),

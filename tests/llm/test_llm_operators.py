@@ -75,13 +75,33 @@ def test_strict_transformations_round_trip(name):
             g = b.decode(wrong)
         except UnicodeDecodeError:
             continue
-        assert garbled.certain(g, set(garbled.names())) == w
-        assert garbled.certain(w, set(garbled.names())) is None
+        assert garbled.certain(g, garbled.STRICT)[0] == w
+        assert garbled.certain(w, garbled.STRICT) is None
 
 
 def test_correct_text_of_many_languages_is_not_certain():
     for w in "Пётр тёплый ёлка Žižek naïve CAFÉ… déjà— «Él» Ωραίο Łódź ÅNGSTRÖM smörgåsbord 日本語 漢字 ไทย हिन्दी العربية 한국어 œuvre ÷ ½ £5 °C".split():
-        assert garbled.certain(w, set(garbled.names())) is None, w
+        assert garbled.certain(w, garbled.STRICT) is None, w
+
+
+def test_twins_lend_only_their_runs():
+    """Digits, spelling and other ASCII characters stay those of the garbled clause."""
+    got = garbled.aligned("the cafÃ© opens on 5 May for 12 euro", "the café opens on 7 May for 30 euro", {"utf8>cp1252"})
+    assert got == (True, True, "the café opens on 5 May for 12 euro")
+    assert garbled.aligned("the café is naïve", "the cafè is naïve", {"utf8>cp1252"})[0] is False
+    text = "<p>caf&#195;&#169; &amp; &eacute;clair</p>\r\n<p>été &lt; 5</p>"
+    assert garbled.rewritten(text, {"cafÃ© &amp; éclair": "café &amp; éclair"}) == "<p>café &amp; éclair</p>\r\n<p>été &lt; 5</p>"
+    assert garbled.rewritten(text, {}) == text
+
+
+def test_deep_and_one_to_one_transformations():
+    deep = "é"
+    for _ in range(6):
+        deep = deep.encode().decode("latin_1")
+    assert garbled.certain(f"caf{deep}", garbled.STRICT)[0] == "café"
+    assert "cp1251>latin_1" in garbled.explained("журнал".encode("cp1251").decode("latin_1"), "журнал")
+    fixes = {"Ïî÷åìó": ("Почему", "cp1251>latin_1", 1), "ñòðàííûé": ("増調牆渾", "", 3)}
+    assert garbled.mended("Ïî÷åìó ñòðàííûé?", fixes) == "Почему странный?"
 
 
 def test_garbled_fields_are_found_and_restored(spark):
