@@ -2,12 +2,16 @@
 
 Segmentation rules are ordered pairs of regular expressions, one for the text before a
 position and one for the text after it, each marked break or no-break.  At a candidate
-position the tables are read in order (the language's own, those of the other languages
-of the script, the script's, the common one) and the first rule that matches decides.
-Blank lines and the end of the text always end a sentence.
+position the tables are read in order (the plain one, the language's own, the script's,
+the common one) and the first rule that matches decides.  The rules see the whole piece
+before and after the position: the first pattern is matched backwards from it.  Tables of
+abbreviations are indexed by the letters before the full stop, so that a language's own
+table is read only after words that it lists.  Blank lines and the end of the text always
+end a sentence.
 
-The language comes from the text: script counts, and frequent words among the languages
-of the Latin script; the ``lang`` column only breaks ties, as it is often wrong.
+A text in the Latin script has one language: that of most of its frequent words and
+letters; the ``lang`` column only breaks ties, as it is often wrong, and English is taken
+where nothing tells.  A text of several scripts has one table per script.
 
 Defined results: null, empty and blank texts have no sentences; whole texts are read,
 however long; positions are in Unicode characters.
@@ -16,6 +20,7 @@ however long; positions are in Unicode characters.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from unicodedata import category
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -62,14 +67,21 @@ ABBREVIATIONS = {
     "el": {"always": "κ κα δρ καθ π.χ δηλ σελ αρ".split(), "digit": "σελ αρ".split(), "lower": "κ.λπ κτλ κ.ά".split()},
 }
 FREQUENT = {
-    "en": "the and of a to in is was it you for that on with".split(),
-    "de": "der die das und ist nicht ein eine wir dem den im am von mit".split(),
-    "fr": "le la les et est des une dans du pas malgré cet était vu".split(),
-    "es": "el la los y es en que por una con del según las".split(),
-    "pt": "o a os e é em que um uma com não do da você por minha".split(),
+    "en": "the and of a to in is was it you for that on with this be are at by not from have they we his her but or an as had were".split(),
+    "de": "der die das und ist nicht ein eine wir dem den im am von mit zu auf für sich er sie es war auch nach bei aus über so noch wie des".split(),
+    "fr": "le la les et est des une dans du pas malgré cet était vu un il elle que qui pour sur avec au ce cette par ne se sont nous vous".split(),
+    "es": "el la los y es en que por una con del según las un lo se su al no más para como pero está son qué muy".split(),
+    "pt": "o a os e é em que um uma com não do da você por minha as dos das no na se ao mais para como mas ele ela muito foi".split(),
 }
+#: Letters that only one of the languages uses.
+OWN_LETTERS = {"de": "äöüß", "fr": "èêëîïûœ«»", "es": "ñ¿¡", "pt": "ãõ"}
+#: Words that begin a sentence rather than the second part of a name.
+STARTERS = "He|She|It|They|We|You|I|The|A|An|But|And|Or|In|On|At|This|That|These|Those|His|Her|Their|Our|My|There|Then|When|While|After|Before|If|As|What|Who|Why|How|No|Not|So|Yet|For|To|From|With|By|Everyone|Nobody|Some|Most|Many|All"
 GERMAN_MONTHS = "Januar|Februar|März|April|Mai|Juni|Juli|August|September|Oktober|November|Dezember"
-THAI_ENDINGS = "ครับ|ค่ะ|คะ|ล่ะ|นะ|จ้ะ|จ้า|ไหม|หรือ"
+THAI_ENDINGS = "ครับ|ค่ะ|คะ|ล่ะ|นะ|จ้ะ|จ้า|ไหม"
+#: Thai writes spaces between sentences, and also around figures, names and these connectives.
+THAI_BEFORE = "และ|หรือ|แต่|ที่|ซึ่ง|เพราะ|ว่า|โดย|กับ|ของ|ใน|คือ|เช่น|ได้แก่|จาก|ถึง|เป็น|นาย|นาง|นางสาว|คุณ|ดร|ฯ|ๆ"
+THAI_AFTER = "และ|หรือ|แต่|ซึ่ง|ที่|โดย|กับ|เช่น|ได้แก่|คือ|จึง|ก็|เพราะ|ว่า|ฯ|ๆ"
 
 Rule = tuple[bool, str, str]
 
@@ -98,7 +110,7 @@ def language_rules() -> dict[str, list[Rule]]:
         (False, r"(?i)\p{N}\s?(?:in|lbs?|oz|ft|yd)\.$", r"\s+\p{Ll}"),
         (False, rf"(?i){start}(?:inc|co|ltd|corp|etc)\.$", r"\s+(?:and|or|owns?|is|was|has|had|in|at|of|for|with|on|near|but|which|who)\b"),
         (False, rf"(?i){start}(?:ave|sq|blvd|rd)\.$", r"\s+(?:and|or|near|in|at|by|on|is|was|to|of|next|,)\b"),
-        (False, rf"(?i){start}u\.\s?[skn]\.$", r"\s+\p{Ll}"),
+        (False, rf"(?i){start}u\.\s?[skn]\.$", rf"\s+(?:\p{{Ll}}|(?!(?:{STARTERS})\b)\p{{Lu}})"),
     ]
     t["de"] += [
         (False, rf"(?<!\p{{L}})\p{{N}}{{1,2}}\.$", rf"\s+(?:{GERMAN_MONTHS})\b"),
@@ -131,12 +143,23 @@ SCRIPT_RULES: dict[str, list[Rule]] = {
     ],
     "arabic": [(False, r"(?<!\p{L})(?=\p{L})\p{Arabic}\.$", r"\s*\p{L}")],
     "devanagari": [(True, r"[।॥!?][\"'”’»)]*$", r"\s|$|\p{L}")],
-    "thai": [(True, rf"(?:{THAI_ENDINGS})$", r"\s")],
+    "thai": [
+        (True, rf"(?:{THAI_ENDINGS})$", r"\s"),
+        (False, rf"(?:{THAI_BEFORE})$", r"\s"),
+        (False, r"\p{Thai}$", rf"\s+(?:{THAI_AFTER})"),
+        (True, r"\p{Thai}$", r"\s+[\"“‘(]?\p{Thai}"),
+        (False, r"\p{Thai}$", r"\s"),
+    ],
 }
 
+#: Read first, but after words that a language's table lists, initials and figures.
+PLAIN: list[Rule] = [(True, r"[.!?]$", r"\s+\p{Lu}")]
+
 COMMON: list[Rule] = [
     # initials
     (False, r"(?<![\p{L}\p{M}\p{N}.])\p{L}\.$", r"\s*[\p{L}\p{N}]"),
+    # abbreviations of several letters that many languages borrow
+    (False, r"(?i)(?<![\p{L}\p{N}])(?:e\.\s?g|i\.\s?e|z\.\s?b|d\.\s?h|u\.\s?a|p\.\s?ex)\.$", r"\s"),
     # numbers, file names, addresses
     (False, r"\p{N}[.]$", r"\p{N}"),
     # a sentence that follows without a space
@@ -151,6 +174,13 @@ COMMON: list[Rule] = [
 _SCRIPTS = ("latin", "cyrillic", "greek", "han", "arabic", "devanagari", "thai")
 
 
+def stems_of(lang: str) -> set[str]:
+    """The letters that stand before the full stop in the rules of a language: what its table is indexed by."""
+    words = {w.lower() for ws in ABBREVIATIONS.get(lang, {}).values() for w in ws}
+    more = {"en": "in lb lbs oz ft yd inc co ltd corp etc ave sq blvd rd", "de": "usw etc usf", "fr": "etc", "pt": "etc"}
+    return {w.rsplit(".", 1)[-1].rsplit("/", 1)[-1] for w in words} | set(more.get(lang, "").split())
+
+
 class Segmenter:
     """Compiled tables; one per worker."""
 
@@ -158,50 +188,71 @@ class Segmenter:
         import regex
 
         self.re = regex
-        compiled = lambda rules: [(b, regex.compile(f"(?:{p})" if p.endswith("$") else f"(?:{p})$"), regex.compile(a)) for b, p, a in rules]
+
+        def compiled(rules: list[Rule]) -> list[tuple]:
+            # the left pattern is matched backwards from the position, so that it costs no search
+            out = []
+            for b, p, a in rules:
+                flags = "(?ri)" if p.startswith("(?i)") else "(?r)"
+                out.append((b, regex.compile(f"{flags}(?:{p.removeprefix('(?i)').removesuffix('$')})").match, regex.compile(a).match))
+            return out
+
         self.languages = {k: compiled(v) for k, v in language_rules().items()}
         self.scripts = {k: compiled(v) for k, v in SCRIPT_RULES.items()}
         self.common = compiled(COMMON)
-        self.frequent = {k: set(v) for k, v in FREQUENT.items()}
+        self.plain = compiled(PLAIN)
+        self.stems = {k: stems_of(k) for k in ABBREVIATIONS}
+        self.frequent: dict[str, list[str]] = {}
+        for k, v in FREQUENT.items():
+            for w in v:
+                self.frequent.setdefault(w, []).append(k)
         closers = regex.escape(CLOSERS)
         terms = regex.escape(TERMINATORS)
         self.candidate = regex.compile(rf"(?:[{terms}]+|(?<=\p{{Greek}});)[{closers}]*")
-        self.thai = regex.compile(rf"(?:{THAI_ENDINGS})(?=\s)")
+        self.thai = regex.compile(r"(?<=\p{Thai})(?=\s)")
         self.blank = regex.compile(r"(?:\r\n|[\n\r])[^\S\n\r]*(?:\r\n|[\n\r])\s*")
+        self.word = regex.compile(r"[\p{L}\p{M}]+")
         self.presence = {
             "latin": regex.compile(r"\p{Latin}"), "cyrillic": regex.compile(r"\p{Cyrillic}"),
             "greek": regex.compile(r"\p{Greek}"), "han": regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]"),
             "arabic": regex.compile(r"\p{Arabic}"), "devanagari": regex.compile(r"\p{Devanagari}"),
             "thai": regex.compile(r"\p{Thai}"),
         }
-        # every word that a language rule can end on: other words before a full stop need no language rule
-        stems = {w.lower().rsplit(".", 1)[-1] for a in ABBREVIATIONS.values() for ws in a.values() for w in ws}
-        self.stems = stems | {"in", "lb", "lbs", "oz", "ft", "yd", "inc", "co", "ltd", "corp", "etc", "ave", "sq", "blvd", "rd", "usw", "usf"}
-        self.last_word = regex.compile(r"([\p{L}\p{M}\p{N}]+)\.$")
-        self.number = regex.compile(r"\p{N}")
-        self.of_script = {"latin": ["en", "de", "fr", "es", "pt"], "cyrillic": ["ru"], "greek": ["el"]}
-        self.cascades: dict[tuple, tuple[list, list]] = {}
-
-    def _latin_order(self, text: str, lang: str | None) -> tuple[str, ...]:
-        words = text.lower().split()
+        self.of_script = {"cyrillic": "ru", "greek": "el"}
+        self.cascades: dict[tuple, tuple[list, list, frozenset[str], bool]] = {}
+
+    def language(self, text: str, lang: str | None) -> str:
+        """The language of a text in the Latin script."""
+        low = text.lower()
+        score = dict.fromkeys(FREQUENT, 0.0)
+        score["en"] += 0.25
         hint = (lang or "").strip().lower()[:2]
-        score = {k: sum(w in v for w in words) + (0.5 if k == hint else 0) for k, v in self.frequent.items()}
-        return tuple(sorted(score, key=lambda k: (-score[k], k)))
-
-    def cascade(self, text: str, lang: str | None) -> tuple[list, list]:
-        """The tables for a text: all of them, and those without the languages' own."""
-        scripts = tuple(s for s in _SCRIPTS if self.presence[s].search(text))
-        order = self._latin_order(text, lang) if "latin" in scripts else ()
-        key = (scripts, order)
+        if hint in score:
+            score[hint] += 0.5
+        for w in self.word.findall(low):
+            for k in self.frequent.get(w, ()):
+                score[k] += 1
+        if not low.isascii():
+            for k, letters in OWN_LETTERS.items():
+                score[k] += 2 * sum(low.count(c) for c in letters)
+        return max(score, key=lambda k: (score[k], k))
+
+    def cascade(self, text: str, lang: str | None) -> tuple[list, list, frozenset[str], bool]:
+        """All tables for a text, those without the languages' own, the index of the latter, and whether Thai is in it."""
+        scripts = ("latin",) if text.isascii() else tuple(s for s in _SCRIPTS if self.presence[s].search(text))
+        key = (scripts, self.language(text, lang) if "latin" in scripts else "")
         if key not in self.cascades:
             own: list = []
             rest: list = []
+            stems: set[str] = set()
             for s in scripts:
-                for k in order if s == "latin" else self.of_script.get(s, []):
+                k = key[1] if s == "latin" else self.of_script.get(s)
+                if k:
                     own += self.languages[k]
+                    stems |= self.stems[k]
                 rest += self.scripts[s]
             rest += self.common
-            self.cascades[key] = own + rest, rest
+            self.cascades[key] = own + rest, self.plain + rest, frozenset(stems), "thai" in scripts
         return self.cascades[key]
 
     def ends(self, text: str | None, lang: str | None = None) -> list[int]:
@@ -217,30 +268,35 @@ class Segmenter:
         self._part(text, at, len(text), rules, ends)
         return sorted(ends)
 
-    def _part(self, text: str, lo: int, hi: int, rules: tuple[list, list], ends: set[int]) -> None:
+    def _part(self, text: str, lo: int, hi: int, rules: tuple[list, list, frozenset[str], bool], ends: set[int]) -> None:
         part = text[lo:hi].rstrip()
         if not part.strip():
             return
-        places = {m.end() for m in self.candidate.finditer(part)}
-        if self.presence["thai"].search(part):
-            places |= {m.end() for m in self.thai.finditer(part)}
-        for p in places:
-            if p < len(part) and self._breaks(part, p, rules):
+        size = len(part)
+        for m in self.candidate.finditer(part):
+            p = m.end()
+            if p < size and self._breaks(part, p, rules):
                 ends.add(lo + p)
-        ends.add(lo + len(part))
-
-    def _breaks(self, part: str, p: int, rules: tuple[list, list]) -> bool:
-        before, after = part[max(0, p - 48) : p], part[p : p + 48]
-        if before[-1] == ";":
+        if rules[3]:
+            for m in self.thai.finditer(part):
+                p = m.end()
+                if p < size and self._breaks(part, p, rules):
+                    ends.add(lo + p)
+        ends.add(lo + size)
+
+    def _breaks(self, part: str, p: int, rules: tuple[list, list, frozenset[str], bool]) -> bool:
+        table = rules[1]
+        last = part[p - 1]
+        if last == ";":
             table = rules[0]
-        else:
-            w = self.last_word.search(before)
-            # letters after a digit may be a measure ("12in."): the full tables decide
-            table = rules[0] if w and (len(w.group(1)) == 1 or self.number.search(w.group(1)) or w.group(1).lower() in self.stems) else rules[1]
-        if table is rules[1] and before[-1] in ".!?" and after[0].isspace() and after.lstrip()[:1].isupper():
-            return True  # what the shorter tables come to: no rule of theirs holds such a place back
+        elif last == ".":
+            i = p - 1
+            while i and ((c := part[i - 1]).isalpha() or (c > "\u0300" and category(c)[0] == "M")):
+                i -= 1
+            if p - 1 - i <= 1 or part[i : p - 1].lower() in rules[2]:
+                table = rules[0]
         for decision, left, right in table:
-            if right.match(after) and left.search(before):
+            if right(part, p) and left(part, 0, p):
                 return decision
         return False
 

@@ -496,6 +496,29 @@ def test_sentence_tables(spark):
     assert sentences.sentence_ends(d.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("He arrived at 5 p.m. She left.", ["He arrived at 5 p.m.", "She left."]),
+        ("The U.S. Army came. It stayed.", ["The U.S. Army came.", "It stayed."]),
+        ("He lives in the U.S. She does not.", ["He lives in the U.S.", "She does not."]),
+        ("You can trust me. The rest is easy.", ["You can trust me.", "The rest is easy."]),
+        *[(f"He waited {'.' * n} and went on.", [f"He waited {'.' * n} and went on."]) for n in (3, 30, 60, 400)],
+        ("สวัสดี วันนี้อากาศดี ฉันไปตลาด", ["สวัสดี", "วันนี้อากาศดี", "ฉันไปตลาด"]),
+        ("เขาไปตลาด และ ซื้อขนม 45 บาท", ["เขาไปตลาด และ ซื้อขนม 45 บาท"]),
+        ("M. Durand est vu ici. Mme Petit aussi.", ["M. Durand est vu ici.", "Mme Petit aussi."]),
+        ("Der 3. Mai war schön. Wir blieben.", ["Der 3. Mai war schön.", "Wir blieben."]),
+    ],
+)
+def test_one_language_decides(text, want):
+    seg = sentences.segmenter()
+    at, got = 0, []
+    for end in seg.ends(text):
+        got.append(text[at:end].strip())
+        at = end
+    assert got == want
+
+
 @pytest.mark.parametrize("measure", ["12in.", "10lbs.", "1lb.", "6ft.", "12oz.", "3yd.", "½in.", "12 in.", "6 FT."])
 def test_measures_joined_to_their_number(measure):
     text = f"The {measure} record came out. We bought it."
