@@ -418,7 +418,7 @@ def word_verdicts(clause_word: DataFrame, learned: list[str]) -> DataFrame:
     """(word, repaired, name, rank) of every garbled word; repaired is '' where nothing is known, name is that of a one-to-one transformation.
 
     A word is frequent by the different clauses that hold it, among which copies count once, or by
-    all fields, among which one short clause may be very common.
+    all fields, among which one short clause may be very common; marks and single letters by both.
     """
     vocabulary = clause_word.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("n_all"))
     known = set(learned)
@@ -438,10 +438,12 @@ def word_verdicts(clause_word: DataFrame, learned: list[str]) -> DataFrame:
 
     candidates = fanned(vocabulary, "word").mapInPandas(judge, "word string, n bigint, n_all bigint, repaired string, name string, rank int")
     sure = candidates.where("name is null").select("word", "repaired", F.lit(0).cast("bigint").alias("m"), F.lit("").alias("name"), "rank")
+    by_clauses = (F.col("m") >= LEAST) & (F.col("m") >= FACTOR * F.col("n"))
+    by_fields = (F.col("m_all") >= LEAST) & (F.col("m_all") >= FACTOR * F.col("n_all"))
     maybe = (
         candidates.where("name is not null")
         .join(vocabulary.select(F.col("word").alias("repaired"), F.col("n").alias("m"), F.col("n_all").alias("m_all")), "repaired")
-        .where((F.col("m") >= LEAST) & (F.col("m") >= FACTOR * F.col("n")) | (F.col("m_all") >= LEAST) & (F.col("m_all") >= FACTOR * F.col("n_all")))
+        .where(F.when(F.col("word").rlike(r"(\p{L}.*){2}"), by_clauses | by_fields).otherwise(by_clauses & by_fields))
         .select("word", "repaired", "m", "name", "rank")
     )
     # a transformation without twins, as for texts with no ASCII characters to align, is learned from long words
