@@ -7,7 +7,9 @@ Three steps, all keeping track of where each character came from.
    digits, "at"/"dot" disguises become the marks they stand for.  Each output character
    carries the source span it was made from.
 2. Detectors for e-mail addresses, telephone numbers, identity numbers, street addresses
-   and full names run on the rewritten text.
+   and full names run on the rewritten text.  A full name is told by its shape together
+   with what stands around or inside it: a cue or a title before it, the noun of a role,
+   a signature line, a family ending, an honorific, or a usual given name.
 3. Their spans are mapped back, and the source characters are replaced by placeholders.
 
 Defined results: null and empty fields have no spans and stay as they are; overlapping
@@ -17,7 +19,8 @@ spans are merged, the earlier kind in KINDS winning; whole texts are read.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import unicodedata
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -29,7 +32,8 @@ KINDS = ("email", "id_number", "address", "phone", "person")
 PLACEHOLDER = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID]", "address": "[ADDRESS]", "person": "[NAME]"}
 
 # Look-alike letters, digit words, given names (usual ones of the languages of Europe and of
-# immigrants there; not those that are first of all a word or a place, such as May or Paris), and words of addresses.
+# immigrants there; not those that are first of all a word or a place, such as May or Paris), one sign of a name among
+# others, and words of addresses.
 HOMOGLYPHS = dict(
     zip("аеорсхуіјѕһԁқԛԝνορτικАВЕКМНОРСТХІЈЅΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeopcxyijshdkqwvoptikABEKMHOPCTXIJSABEZHIKMNOPTYX", strict=True)
 )
@@ -96,6 +100,7 @@ GIVEN_NAMES = set(
     zelda zoe zofia zora zoë zuzanna álvaro ángel ángela åke åsa édouard élise élodie émile émilie éric étienne íñigo óscar øystein łukasz""".split()
 )
 STREET_TYPES = "Street|St|Avenue|Ave|Boulevard|Blvd|Lane|Ln|Road|Rd|Drive|Dr|Court|Ct|Place|Pl|Square|Sq|Terrace|Ter|Way|Parkway|Pkwy|Circle|Cir|Highway|Hwy|Alley"
+STREET_WORDS = "Hill|Row|Close|Crescent|Gardens|Grove|Green|Mews|Walk|Park|Gate|Rise|View|Quay|Wharf|Yard|Mount|Vale|Bank|Croft|End|Side|Bridge"
 #: Capitalised words that follow a given name without being a family name.
 NOT_FAMILY = set(
     """street st avenue ave boulevard blvd lane road court place square terrace way club cellar lounge tap ballroom arcade lantern playhouse
@@ -117,69 +122,66 @@ _GONE = set("​‌‍⁠﻿­")
 
 
 class Traced:
-    """A text whose characters know their source span: character i came from [start[i], end[i])."""
+    """A text whose characters know their source span: character i came from [start[i], end[i]); None while nothing was rewritten."""
 
     __slots__ = ("end", "start", "text")
 
-    def __init__(self, text: str, start: list[int], end: list[int]) -> None:
+    def __init__(self, text: str, start: list[int] | None = None, end: list[int] | None = None) -> None:
         self.text, self.start, self.end = text, start, end
 
-    @classmethod
-    def of(cls, source: str) -> Traced:
-        return cls(source, list(range(len(source))), list(range(1, len(source) + 1)))
-
-    def rewrite(self, pattern: re.Pattern, to) -> Traced:  # noqa: ANN001 - a function of the match
-        """Every match replaced; the new characters all carry the span of the whole match."""
+    def rewrite(self, changes: Iterable[tuple[int, int, str]]) -> Traced:
+        """The pieces [a, b) replaced, in order; the new characters all carry the span of the whole piece."""
         out: list[str] = []
         start: list[int] = []
         end: list[int] = []
         at = 0
-        for m in pattern.finditer(self.text):
-            new = to(m)
-            if new is None:
-                continue
-            a, b = m.span()
-            out.append(self.text[at:a])
-            start += self.start[at:a]
-            end += self.end[at:a]
-            out.append(new)
-            if b > a:
-                start += [self.start[a]] * len(new)
-                end += [self.end[b - 1]] * len(new)
+        old_start = self.start if self.start is not None else range(len(self.text))
+        old_end = self.end if self.end is not None else range(1, len(self.text) + 1)
+        for a, b, new in changes:
+            out += [self.text[at:a], new]
+            start += old_start[at:a]
+            end += old_end[at:a]
+            start += [old_start[a]] * len(new)
+            end += [old_end[b - 1]] * len(new)
             at = b
         if not at:
             return self
         out.append(self.text[at:])
-        return Traced("".join(out), start + self.start[at:], end + self.end[at:])
+        return Traced("".join(out), start + list(old_start[at:]), end + list(old_end[at:]))
 
     def back(self, a: int, b: int) -> tuple[int, int]:
-        return self.start[a], self.end[b - 1]
+        return (a, b) if self.start is None or self.end is None else (self.start[a], self.end[b - 1])
+
+
+_LETTER_RUN = re.compile(r"[^\W_]+")
+_LIKE = "".join(HOMOGLYPHS)
+_MIXED = re.compile(rf"[A-Za-z][^\W_]*[{_LIKE}]|[{_LIKE}][^\W_]*[A-Za-z]")
+_WIDE = re.compile("[" + "".join(map(re.escape, _WIDTH)) + r"]|[^\x00-\x7f\D]")
+_UNSEEN = re.compile("[" + "".join(_GONE) + "]")
+
+
+def _wide(m: re.Match) -> str:
+    c = _WIDTH.get(m.group(), m.group())
+    return str(unicodedata.digit(c, c)) if c.isdigit() and not c.isascii() else c
 
 
 def _plain_characters(source: str) -> Traced:
-    """Homoglyphs inside words that also have Latin letters, full-width forms, invisible characters."""
-    if source.isascii():
-        return Traced.of(source)
-    mixed = set()
-    for m in re.finditer(r"[^\W_]+", source):
-        w = m.group()
-        if any(c in HOMOGLYPHS for c in w) and re.search(r"[A-Za-z]", w):
-            mixed.update(range(*m.span()))
-    out, start, end = [], [], []
-    for i, c in enumerate(source):
-        if c in _GONE:
-            continue
-        if i in mixed:
-            c = HOMOGLYPHS.get(c, c)
-        c = _WIDTH.get(c, c)
-        if c.isdigit() and not c.isascii():
-            import unicodedata
+    """Homoglyphs inside words that also have Latin letters, full-width forms, invisible characters.
 
-            c = str(unicodedata.digit(c, c))
-        out.append(c)
-        start.append(i)
-        end.append(i + 1)
-    return Traced("".join(out), start, end)
+    Only the last change the length: without them every character keeps its place.
+    """
+    if source.isascii():
+        return Traced(source)
+    text = source
+    if _MIXED.search(text):
+        text = _LETTER_RUN.sub(
+            lambda m: "".join(HOMOGLYPHS.get(c, c) for c in m.group()) if re.search("[A-Za-z]", m.group()) else m.group(), text
+        )
+    text = _WIDE.sub(_wide, text)
+    if not _UNSEEN.search(text):
+        return Traced(text)
+    kept = [i for i, c in enumerate(text) if c not in _GONE]
+    return Traced("".join(text[i] for i in kept), kept, [i + 1 for i in kept])
 
 
 _W = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
@@ -224,12 +226,35 @@ def _cut(domain: str, count: int) -> int:
 
 
 def normalise(source: str) -> Traced:
+    """The cascade of transducers; each keeps the spans of the one before it."""
     t = _plain_characters(source)
     if "mailto:" in t.text.lower():
-        t = t.rewrite(_MARKUP, lambda m: m.group(1))
+        t = t.rewrite([(*m.span(), m.group(1)) for m in _MARKUP.finditer(t.text)])
     if sum(w in DIGIT_WORDS for w in _SPLIT.split(t.text.lower())) >= 5:
-        t = t.rewrite(_SPELLED, _digits)
-    return t
+        t = t.rewrite([(*m.span(), _digits(m)) for m in _SPELLED.finditer(t.text)])
+    return undisguised(t)
+
+
+def undisguised(t: Traced) -> Traced:
+    """The marks that "at" and "dot" disguises stand for, wherever they make an address."""
+    if "@" not in t.text:
+        low = t.text.lower()
+        # a word of _AT, and brackets or, for a spaced "at", a spelled dot
+        if not any(x in low for x in ("at", "arroba", "ät")) or not any(x in low for x in ("(", "[", "{", "<", "dot", "punkt", "punto", "point", "ponto")):
+            return t
+    changes: list[tuple[int, int, str]] = []
+    at = 0
+    while m := _DISGUISED.search(t.text, at):
+        length = _domain_length(m)
+        if not length:
+            at = m.start(2)  # "write me at a.b@c.example": the first "at" is a word
+            continue
+        begin, stop = m.start(2), m.start(2) + length
+        if t.text[m.end(1) : begin] != "@":
+            changes.append((m.end(1), begin, "@"))
+        changes += [(begin + d.start(), begin + d.end(), ".") for d in _DOTS.finditer(m.group(2)[:length]) if d.group() != "."]
+        at = stop
+    return t.rewrite(changes) if changes else t
 
 
 _SPLIT = re.compile(r"[\s,.\-]+")
@@ -238,18 +263,13 @@ _SPLIT = re.compile(r"[\s,.\-]+")
 def _worth(kind: str, text: str, low: str) -> bool:
     """Whether a text has what every finding of a kind needs; spares the patterns."""
     if kind == "email":
-        return any(x in low for x in ("@", "at", "arroba", "ät"))  # one of the words of _AT; the rest is left to the pattern
-    if kind == "person":
-        return any(x in low for x in _CUE_SIGNS) or not GIVEN_NAMES.isdisjoint(_LETTERS.findall(low))
-    return any(c.isdigit() for c in text)
-
-
-_LETTERS = re.compile(r"[^\W\d_]+")
-#: One of them is in every cue of _CUED.
-_CUE_SIGNS = ("name is", "name's", "became of", "ask for", "signed", "regards,", "sincerely,", "yours,", "this is for", "in photo ", "i am called", "je m'appelle", "me llamo", "ich hei")
+        return "@" in text  # disguises have been rewritten
+    return kind == "person" or _DIGIT.search(text) is not None
 
 
-_EMAIL = re.compile(rf"(?i)(?<![A-Za-z0-9_.+\-])({_NAME}){_AT}({_LABEL}(?:{_DOT}{_LABEL})+)")
+_DIGIT = re.compile(r"\d")
+_DISGUISED = re.compile(rf"(?i)(?<![A-Za-z0-9_.+\-])({_NAME}){_AT}({_LABEL}(?:{_DOT}{_LABEL})+)")
+_EMAIL = re.compile(rf"(?i)(?<![A-Za-z0-9_.+\-])({_NAME})@({_LABEL}(?:\.{_LABEL})+)")
 _PHONE = re.compile(
     r"(?<![\w$€£.,\-/+])(?:"
     r"\+\d{1,3}[\s.\-]?(?:\(0\)[\s.\-]?)?(?:\(\d{1,4}\)|\d{1,4})(?:[\s./\-]{1,3}\d{2,8}){1,5}"
@@ -279,11 +299,55 @@ _STREETS = [
     re.compile(rf"(?<![\w$€£.,\-])\d{{1,4}}(?:\s?(?:bis|ter|[a-z]))?,?\s+(?i:rue|avenue|boulevard|place|chemin|allée|impasse|quai|route|cours)\s+(?:(?i:de\s+la|de\s+l['’]|du|des|de|d['’])\s*)?(?:{_CAPWORD})(?:\s+{_CAPWORD}){{0,2}}(?:,\s+(?:\d{{5}}\s+)?{_CAPWORD})?"),
     re.compile(rf"(?i:\b(?:calle|c/|avenida|avda\.?|plaza|paseo|camino|rua|travessa|largo|via|viale|piazza))\s+(?:(?i:del|de\s+la|de\s+los|de\s+las|de|da|do|dos|das|della)\s+)?(?:{_CAPWORD})(?:\s+{_CAPWORD}){{0,2}},?\s+(?:n\.?º\s*)?\d{{1,4}}\b(?:,\s*\d{{1,2}}\.?[ºª°]\s*[A-Z]?\b)?(?:,\s+(?:\d{{5}}\s+)?{_CAPWORD}(?:\s+{_CAPWORD})?)?"),
     re.compile(rf"\b{_UP}[\wäöüß\-]*(?:straße|strasse|str\.|gasse|weg|allee|platz|ufer|damm|chaussee|STRASSE|STRAßE|GASSE|WEG|ALLEE|PLATZ|UFER|DAMM)\s+\d{{1,4}}\s?[a-z]?\b(?:,\s+\d{{5}}\s+{_CAPWORD})?"),
+    # names of streets that are no street types elsewhere: only with a place after them or a word for living before them
+    re.compile(rf"(?<![\w$€£.,\-])\d{{1,4}}[A-Za-z]?\s+(?:{_CAPWORD}\s+){{1,2}}(?:{STREET_WORDS})(?:,\s+(?:{_CAPWORD}))"),
+    re.compile(rf"(?i:(?<=live at )|(?<=lives at )|(?<=lived at )|(?<=address is )|(?<=address: )|(?<=moved to ))\d{{1,4}}[A-Za-z]?\s+(?:{_CAPWORD}\s+){{1,2}}(?:{STREET_WORDS})\b"),
     re.compile(r"(?i:\b(?:ул|улица|пр|проспект|пер|переулок)\b\.?)\s+[А-ЯЁ][\w\-]+(?:\s+[А-ЯЁ][\w\-]+)?,?\s+(?:д(?:ом)?\.?\s*)?\d{1,4}\b(?:,?\s+кв\.?\s*\d+)?"),
 ]
-_TITLE = r"(?:Mr|Mrs|Ms|Dr|Prof|Rev|Sr|Sra|Herr|Frau|M|Mme)\.?"
-_FULL = re.compile(rf"(?<![\w@.])({_UP}[\wÀ-ÿ]+)((?:\s+{_UP}\.?(?=\s))?)\s+({_UP}[\w'’]+(?:-{_UP}[\w'’]+)?)(?![\w@])")
-_CUED = re.compile(r"(?i)\b(?:my name is|name's|became of|ask for|signed,?|regards,|sincerely,|yours,|this is for|in photo \w+ is|i am called|je m'appelle|me llamo|ich heiße)\s+((?:(?:rev|dr|prof|mr|mrs|ms)\.?\s+)?)([^\W\d_]{2,})((?:\s+[^\W\d_]\.)?)\s+([^\W\d_][^\W\d_'’]+(?:-[^\W\d_]+)?)")
+# Words that stand beside full names, and endings of family names.
+_TITLE = r"(?:Mr|Mrs|Ms|Miss|Dr|Prof|Rev|Sir|Sr|Sra|Srta|Don|Doña|Herrn?|Frau|Mme|Mlle|Monsieur|Madame|Signor|Signora|Senhor|Senhora)\.?"
+_ROLE = (
+    r"(?:my|our|his|her|their|the|a)\s+(?:\w+\s+)?(?:friend|neighbou?r|brother|sister|uncle|aunt|cousin|husband|wife|mother|father|daughter|teacher|doctor|dentist|landlord|landlady|boss"
+    r"|colleague|roommate|editor|photographer|author|writer|reporter|drummer|singer|guitarist|bassist|pianist|producer|promoter|owner|manager|bartender)"
+)
+_CUE = (
+    r"my name is|name's|became of|ask for|signed,?|regards,|sincerely,|yours,|this is for|in photo \w+ is|i am called|je m['’]appelle|me llamo|mi nombre es|ich hei(?:ß|ss)e|mein name ist"
+    r"|mi chiamo|chamo-me|me chamo|o?\s?meu nome é|mit freundlichen grüßen,?|saludos,|cordialement,|un abrazo,|cheers,|best wishes,|thanks,"
+)
+#: One of them is in every cue.
+_CUE_SIGNS = (
+    "name", "became of", "ask for", "signed", "regards,", "sincerely,", "yours,", "this is for", "in photo ", "i am called", "appelle", "llamo", "nombre", "ich hei", "chiamo", "chamo", "nome",
+    "grüßen", "saludos", "cordialement", "abrazo", "cheers,", "wishes,", "thanks,",
+)
+FAMILY_ENDS = (
+    "ski|ska|sky|cki|cka|wicz|czyk|owski|owska|ová|ssen|sson|sdottir|sdóttir|escu|eanu|oğlu|oglu|opoulos|opoulou|idis|akis|vić|vic|vich|enko|chuk|shvili|adze|dze|yan|ian|aitis|auskas|ashvili|ullah|uddin|swamy|moorthy"
+)
+_NAME_WORD = rf"{_UP}[\w'’]*[^\W\d_](?:-{_UP}[\w'’]+)?"
+_FULL = re.compile(rf"(?<![\w@.])({_UP}[^\W\d_]+(?:-{_UP}[^\W\d_]+)?)((?:\s+{_UP}\.?(?=\s))?(?:\s+(?:van|von|de|da|del|della|dos|bin|ibn|al|el|ter|zu)(?:\s+(?:der|den|la|los))?)?)\s+({_UP}[\w'’]+(?:-{_UP}[\w'’]+)?)(?![\w@])")
+_CUED = re.compile(rf"(?i)\b(?:{_CUE})\s+((?:(?:rev|dr|prof|mr|mrs|ms)\.?\s+)?)([^\W\d_]{{2,}})((?:\s+[^\W\d_]\.)?)\s+([^\W\d_][^\W\d_'’]+(?:-[^\W\d_]+)?)")
+_BEFORE = re.compile(rf"(?:(?<!\w){_TITLE}\s+|(?i:(?<!\w){_ROLE}),?\s+)$")
+_FAMILY = re.compile(rf"[\w'’\-]{{2,}}(?:{FAMILY_ENDS})$", re.I)
+_SIGNED = re.compile(r"(?:^|[\r\n]|[.!?…]\s)\s*[-–—~]{1,2}\s*$")
+# Shapes of names in other scripts.
+_CYRILLIC = re.compile(
+    r"(?<![\w])([А-ЯЁІЇЄ][а-яёіїє]{1,}(?:-[А-ЯЁ][а-яё]+)?)((?:\s+[А-ЯЁ][а-яё]+(?:вич|вна|ична|инична|ич|вича|вне|вной)(?!\w))?)\s+([А-ЯЁІЇЄ][а-яёіїє]+(?:-[А-ЯЁ][а-яё]+)?)(?!\w)"
+)
+_CYRILLIC_CUE = re.compile(r"(?i)(?:зовут|моё имя|мое имя|с уважением,?|подпись:?|г-н|г-жа|господин|госпожа|товарищ|мой друг|моя подруга|наш редактор|фотограф|автор|певица|певец)\s*[-–—:]?\s*$")
+_CYRILLIC_FAMILY = re.compile(r"(?:ов|ова|ев|ева|ёв|ёва|ин|ина|ын|ына|ский|ская|цкий|цкая|ской|енко|чук|юк|ян|дзе|швили|ович|евич)(?:а|у|ым|ом|ой|е)?$")
+_CYRILLIC_PLACE = re.compile(r"(?:\bг\.|ул\.?|улиц\w+|город\w*|площад\w+|пл\.|театр\w*|клуб\w*|кафе|бар\w*|групп\w+|станци\w+|парк\w*|рек\w+)\s*[«\"]?$", re.I)
+_CYRILLIC_GIVEN = set(
+    """александр александра алексей алёна алина анастасия анатолий андрей анна антон аркадий борис вадим валентин валентина валерий варвара василий вера виктор виктория виталий владимир владислав вячеслав
+    галина геннадий георгий григорий дарья денис дмитрий евгений евгения екатерина елена елизавета зинаида зоя иван игорь илья ирина кирилл константин ксения лариса леонид лидия людмила любовь максим маргарита
+    марина мария михаил надежда наталья наталия никита николай нина оксана олег ольга павел пётр петр полина раиса роман руслан светлана семён сергей софия софья станислав степан тамара татьяна тимур фёдор юлия юрий яков яна ярослав""".split()
+)
+_GREEK = re.compile(r"(?<!\w)([Α-ΩΆΈΉΊΌΎΏ][α-ωάέήίόύώϊϋΐΰς]+)\s+([Α-ΩΆΈΉΊΌΎΏ][α-ωάέήίόύώϊϋΐΰς]+(?:όπουλος|οπούλου|όπουλο|ίδης|ίδη|ίδου|άδης|άδη|άδου|άκης|άκη|άκος|άτος|έας|έλης|έλλης|ίκας|ιώτης|ιώτη|ίου|ου))(?!\w)")
+_GREEK_CUE = re.compile(r"(?i)(?:με λένε|ονομάζομαι|λέγομαι|με εκτίμηση,?|κύριος|κυρία|κ\.|κα)\s+([Α-ΩΆΈΉΊΌΎΏ][α-ωάέήίόύώϊϋΐΰς]+\s+[Α-ΩΆΈΉΊΌΎΏ][α-ωάέήίόύώϊϋΐΰς]+)(?!\w)")
+_SURNAMES = "王李张張刘劉陈陳杨楊黄黃赵趙吴吳周徐孙孫马馬朱胡郭何高林罗羅郑鄭梁谢謝宋唐许許韩韓冯馮邓鄧曹彭曾萧肖田董袁潘于蒋蔣蔡余杜叶葉程苏蘇魏吕呂丁任沈姚卢盧姜崔钟鍾谭譚陆陸汪范金石廖贾賈夏韦韋付方白邹鄒孟熊秦邱江尹薛闫段雷侯龙史陶黎贺賀顾顧毛郝龚龔邵万钱錢严嚴"
+_HAN_CUE = re.compile(rf"(?:我叫|我的名字是|名叫|姓名[:：]|本人|署名[:：]?|此致[，,\s]*)\s*([{_SURNAMES}][一-鿿]{{1,2}})(?![一-鿿])")
+_HAN_TITLE = re.compile(rf"(?<![一-鿿])([{_SURNAMES}][一-鿿]{{1,2}})(?=先生|女士|小姐|老师|老師|教授|医生|醫生)")
+_KANA = re.compile(r"(?<![一-鿿ぁ-んァ-ヶー])([一-鿿]{1,3}[\s　]?[一-鿿ァ-ヶーぁ-ん]{1,4})(?=(?:さん|様|氏|先生|君)(?![一-鿿]))")
+_KANA_CUE = re.compile(r"(?:私は|わたしは|僕は|名前は)([一-鿿]{2}[\s　]?[一-鿿ぁ-ん]{1,3}?)(?=(?:です|と申します|といいます|と言います))")
+_ARABIC_CUE = re.compile(r"(?:اسمي|أدعى|السيد|السيدة|الدكتور|الأستاذ)\s+([\u0621-\u064a]+\s+(?:(?:بن|بنت|أبو|آل)\s+)?[\u0621-\u064a]+)")
 
 
 def _emails(t: Traced) -> Iterator[tuple[int, int]]:
@@ -292,9 +356,7 @@ def _emails(t: Traced) -> Iterator[tuple[int, int]]:
         length = _domain_length(m)
         if length:
             yield m.start(), m.start(2) + length
-            at = m.start(2) + length
-        else:
-            at = m.start(2)  # "write me at a.b@c.example": the first "at" is a word
+        at = m.start(2) + length
 
 
 def _ids(t: Traced) -> Iterator[tuple[int, int]]:
@@ -322,18 +384,71 @@ def _phones(t: Traced) -> Iterator[tuple[int, int]]:
             yield m.span()
 
 
-def _persons(t: Traced) -> Iterator[tuple[int, int]]:
-    for m in _FULL.finditer(t.text):
+def _no_name(word: str, others: set[str]) -> bool:
+    return word.lower() in others or len(word) <= 2
+
+
+def _latin_names(t: Traced) -> Iterator[tuple[int, int]]:
+    text = t.text
+    at = 0
+    while m := _FULL.search(text, at):
         given, family = m.group(1), m.group(3)
-        if given.lower() in GIVEN_NAMES and family.lower() not in NOT_FAMILY and len(family) > 2:
+        at = m.start(3)  # the family name may be the given name of the next pair
+        if _no_name(family, NOT_FAMILY):
+            at = m.end()
+            continue
+        first = given.split("-")[0].lower()
+        known = given.lower() in GIVEN_NAMES or first in GIVEN_NAMES
+        shaped = given.lower() not in NOT_GIVEN and (
+            _FAMILY.match(family) is not None or _BEFORE.search(text[max(0, m.start() - 80) : m.start()]) is not None
+            or (_SIGNED.search(text[max(0, m.start() - 8) : m.start()]) is not None and not text[m.end() :].strip(" .!\r\n"))
+        )
+        if known or shaped:
             yield m.span()
-    for m in _CUED.finditer(t.text):
+            at = m.end()
+    low = text.lower()
+    for m in _CUED.finditer(text) if any(x in low for x in _CUE_SIGNS) else ():
         given, family = m.group(2), m.group(4)
         named = given.lower() in GIVEN_NAMES or given[0].isupper() and family[0].isupper() and given.lower() not in NOT_GIVEN
-        if named and family.lower() not in NOT_FAMILY and len(family) > 2:
+        if named and not _no_name(family, NOT_FAMILY):
             yield m.start(2), m.end(4)
 
 
+def _cyrillic_names(text: str) -> Iterator[tuple[int, int]]:
+    for m in _CYRILLIC.finditer(text):
+        given, patronymic, family = m.groups()
+        before = text[max(0, m.start() - 24) : m.start()]
+        if patronymic or _CYRILLIC_CUE.search(before):
+            yield m.span()
+        elif _CYRILLIC_FAMILY.search(family) and given.lower() in _CYRILLIC_GIVEN and not _CYRILLIC_PLACE.search(before):
+            yield m.span()
+
+
+def _greek_names(text: str) -> Iterator[tuple[int, int]]:
+    for m in _GREEK.finditer(text):
+        if m.group(1).lower() not in _GREEK_WORDS:
+            yield m.span()
+    for m in _GREEK_CUE.finditer(text):
+        yield m.span(1)
+
+
+#: Words that begin Greek sentences.
+_GREEK_WORDS = set("ο η το οι τα των την τον τους τις στο στη στην στον και αλλά αν για από με σε που πως πού πότε γιατί όταν πολύ πάντα χθες σήμερα αύριο εδώ εκεί μια ένας ένα αυτός αυτή αυτό".split())
+_SCRIPT_NAMES = (
+    (re.compile("[А-я]"), _cyrillic_names), (re.compile("[Α-ω]"), _greek_names),
+    (re.compile("[一-鿿]"), lambda text: (m.span(1) for rx in (_HAN_CUE, _HAN_TITLE, _KANA, _KANA_CUE) for m in rx.finditer(text))),
+    (re.compile("[\u0621-\u064a]"), lambda text: (m.span(1) for m in _ARABIC_CUE.finditer(text))),
+)
+
+
+def _persons(t: Traced) -> Iterator[tuple[int, int]]:
+    yield from _latin_names(t)
+    if not t.text.isascii():
+        for sign, names in _SCRIPT_NAMES:
+            if sign.search(t.text):
+                yield from names(t.text)
+
+
 _DETECTORS = {"email": _emails, "id_number": _ids, "address": _addresses, "phone": _phones, "person": _persons}
 
 

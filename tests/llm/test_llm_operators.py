@@ -361,6 +361,33 @@ def test_full_names_beyond_the_tables(text, want):
     assert [text[s:e] for s, e, k in pii.spans(text) if k == "person"] == ([want] if want else [])
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("меня зовут Иван Петров", "Иван Петров"), ("Мария Сергеевна Иванова пришла", "Мария Сергеевна Иванова"), ("вчера Анна Кузнецова пела", "Анна Кузнецова"), ("улица Липовая, Верхний Берег", None),
+        ("με λένε Γιώργος Παπαδόπουλος", "Γιώργος Παπαδόπουλος"), ("Χθες η Νέα Υόρκη", None), ("我叫王小明。", "王小明"), ("王小明先生很好", "王小明"), ("田中太郎さんが歌った", "田中太郎"), ("اسمي خالد العمري", "خالد العمري"),
+        ("our photographer Lindiwe Khumalo said so", "Lindiwe Khumalo"), ("see you\n-- Obafemi Adeyo", "Obafemi Adeyo"), ("Mr. Wei Zhang left", "Wei Zhang"), ("by Zbyszek Wojnowski", "Zbyszek Wojnowski"), ("Silver Magnets and Dirty Wolves", None),
+    ],
+)
+def test_full_names_by_shape_and_context(text, want):
+    assert [text[s:e] for s, e, k in pii.spans(text) if k == "person"] == ([want] if want else [])
+
+
+def test_each_cue_has_a_sign():
+    for cue in pii._CUE.replace("(?:ß|ss)", "ß").replace("['’]", "'").replace(",?", ",").replace("\\w+", "one").replace("o?\\s?", "o ").split("|"):
+        assert any(x in cue.lower() for x in pii._CUE_SIGNS), cue
+
+
+def test_streets_named_after_places():
+    assert pii.redact("we met at 12 Rose Hill, Leeds today") == "we met at [ADDRESS] today"
+    assert pii.redact("in 12 Ferry Hill bars") == "in 12 Ferry Hill bars"
+
+
+def test_disguises_become_marks():
+    t = pii.normalise("write to anna ( at ) oldpost [dot] example now")
+    assert t.text == "write to anna@oldpost.example now" and t.back(9, 29) == (9, 42)
+
+
 def test_given_names_that_had_been_cut():
     cut = """albert amanda amelia ana angela antonio benjamin beth carol chris erik ethan frances francis gerald jeff judy keith lewis magda miriam nathan
         ralph raymond rose ryan sophie stephen steven teresa theresa veronica virginia wendy yuri yvonne""".split()
