@@ -18,10 +18,17 @@ def articles_once(articles: DataFrame) -> DataFrame:
 
 
 def catalog(articles: DataFrame, issues: DataFrame) -> DataFrame:
-    """(id, title, folder, issue, issue_name, blurb): the issue of an article without one comes from the folder's other articles."""
+    """(id, title, folder, issue, issue_name, blurb): an article without an issue has that of its folder's other articles.
+
+    A folder's issue is the one that most of its articles name, the smallest on a tie; an article whose folder
+    says nothing has issue 0.
+    """
     a = articles_once(articles)
+    votes = a.where("issue is not null and folder is not null").groupBy("folder", "issue").agg(F.count(F.lit(1)).alias("k"))
+    by_folder = votes.groupBy("folder").agg(F.min(F.struct((-F.col("k")).alias("neg"), "issue")).alias("m")).select("folder", F.col("m.issue").alias("folder_issue"))
     names = issues.groupBy("issue").agg(F.min("name").alias("issue_name"))
-    return a.join(names, "issue", "left").select("id", "title", "folder", F.coalesce("issue", F.lit(0)).alias("issue"), "issue_name", "blurb")
+    filled = a.join(by_folder, "folder", "left").withColumn("issue", F.coalesce("issue", "folder_issue", F.lit(0)))
+    return filled.join(names, "issue", "left").select("id", "title", "folder", "issue", "issue_name", "blurb")
 
 
 def folders_seen(pages: DataFrame) -> DataFrame:
@@ -44,24 +51,16 @@ def variants(pages: DataFrame) -> DataFrame:
 
 
 def slugs(articles: DataFrame) -> DataFrame:
-    """(id, slug): unique within the issue; later ids get -2, -3."""
-    a = articles_once(articles).select("id", F.coalesce("issue", F.lit(0)).alias("issue"), F.regexp_replace(slugify(F.coalesce("title", F.lit(""))), "^$", "untitled").alias("s"))
-    nr = F.row_number().over(Window.partitionBy("issue", "s").orderBy("id"))
-    return a.select("id", "issue", F.when(nr == 1, F.col("s")).otherwise(F.concat("s", F.lit("-"), nr.cast("string"))).alias("slug"))
-
-
-def unique_titles(pages: DataFrame) -> DataFrame:
-    """(page_id, title): page titles, a repeated one numbered from the second page on."""
-    t = tidy(F.regexp_extract("html", r"(?is)<title>([^<]*)</title>", 1))
-    rows = pages.where("html is not null").select("page_id", t.alias("t")).where("t != ''")
-    nr = F.row_number().over(Window.partitionBy(F.col("t"), F.pmod(F.xxhash64("page_id"), F.lit(64))).orderBy("page_id"))
-    # a title that very many pages share is numbered in 64 slices, whose counts are added up first
-    sliced = rows.select("page_id", "t", F.pmod(F.xxhash64("page_id"), F.lit(64)).alias("slice"), nr.alias("nr"))
-    sizes = sliced.groupBy("t", "slice").agg(F.count(F.lit(1)).alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("t").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offset = sizes.select("t", "slice", before.alias("before"))
-    k = F.col("nr") + F.col("before")
-    return sliced.join(offset, ["t", "slice"]).select("page_id", F.when(k == 1, F.col("t")).otherwise(F.concat("t", F.lit(" ("), k.cast("string"), F.lit(")"))).alias("title"))
+    """(id, slug): unique within the issue; all but the first id of a slug carry their id.
+
+    A slug that already ends in another one's id would clash; as ids are appended once more until
+    nothing clashes, and ids differ, two rounds settle every case.
+    """
+    a = articles_once(articles).select("id", F.coalesce("issue", F.lit(0)).alias("issue"), F.regexp_replace(slugify(F.coalesce("title", F.lit(""))), "^$", "untitled").alias("slug"))
+    for _ in range(2):
+        nr = F.row_number().over(Window.partitionBy("issue", "slug").orderBy("id"))
+        a = a.withColumn("nr", nr).select("id", "issue", F.when(F.col("nr") == 1, F.col("slug")).otherwise(F.concat("slug", F.lit("-"), F.col("id").cast("string"))).alias("slug"))
+    return a
 
 
 def descriptions(articles: DataFrame) -> DataFrame:
@@ -78,12 +77,6 @@ def issue_contents(articles: DataFrame, issues: DataFrame) -> DataFrame:
     return g.join(names, "issue", "left").select("issue", "name", "n", F.array_join(F.transform("a", lambda x: x["title"]), " | ").alias("titles"))
 
 
-def surname_order(names: DataFrame) -> DataFrame:
-    """Adds nr: names by surname, then given name, ignoring case."""
-    key = F.lower(F.concat_ws(" ", F.regexp_extract("name", r"(\S+)$", 1), F.col("name")))
-    return names.withColumn("sort_key", key)
-
-
 def sitemap(pages: DataFrame, base: str = "https://www.lampmag.example") -> DataFrame:
     """(loc, priority, lastmod): one row per published path."""
     p = pages.where("url is not null").select(url_path(F.col("url")).alias("path"), F.substring(F.regexp_replace("ts", "[^0-9]", ""), 1, 8).alias("d"))

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from restitch.functions.text import tidy
-from restitch.operators import catalog, comments, malware, manifest, pages, publish
-from restitch.plans import sql
+from restitch.operators import audits, catalog, comments, editorial, malware, manifest, mirror, pages, publish
+from restitch.plans import sql, sql_more
 from restitch.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,11 @@ def _title_check(p: DataFrame) -> DataFrame:
     return p.where("html is not null").select(t.alias("t")).where("t != ''").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("t").alias("titles"))
 
 
+def _contributor_pages(p: DataFrame, a: DataFrame) -> DataFrame:
+    names = catalog.articles_once(a).select(F.col("id").cast("bigint").alias("article_id"), "issue", "title")
+    return editorial.contributor_pages(pages.credits(p), names)
+
+
 def queries() -> dict[str, Query]:
     return {
         "manifest": _over(manifest.manifest, "captures"),
@@ -64,7 +69,7 @@ def queries() -> dict[str, Query]:
         "folders_seen": _over(catalog.folders_seen, "pages"),
         "variants": _over(catalog.variants, "pages"),
         "slugs": _over(catalog.slugs, "articles"),
-        "unique_titles": _over(catalog.unique_titles, "pages"),
+        "unique_titles": _over(editorial.numbered_titles, "pages"),
         "unique_titles_check": _over(_title_check, "pages"),
         "descriptions": _over(catalog.descriptions, "articles"),
         "issue_contents": _over(catalog.issue_contents, "articles", "issues"),
@@ -76,8 +81,44 @@ def queries() -> dict[str, Query]:
         "event_views": _over(catalog.event_views, "events"),
         "frame_issues": _over(catalog.frame_issues, "frames", "issues"),
         "issue_colors": _over(catalog.canonical_colors, "issues"),
+        "link_report": _over(mirror.link_report, "pages"),
+        "relative_links": _over(lambda p: mirror.page_links(p).where("known").groupBy("ref", "path", "rel").agg(F.count(F.lit(1)).alias("n")), "pages"),
+        "relinked": _over(mirror.relinked, "pages"),
+        "routes": _over(mirror.routes, "captures", "pages", "issues"),
+        "published_variants": _over(mirror.published_variants, "captures"),
+        "year_index": _over(mirror.year_index, "captures"),
+        "history_pages": _over(mirror.history_pages, "captures"),
+        "root_aliases": _over(mirror.root_aliases, "captures"),
+        "page_map": _over(mirror.page_map, "pages"),
+        "map_documents": _over(lambda p: mirror.map_documents(mirror.page_map(p)), "pages"),
+        "tagged": _over(mirror.tagged, "pages"),
+        "forwarded": _over(mirror.forwarded, "captures"),
+        "media_types": _over(mirror.media_types, "captures"),
+        "server_import": _over(audits.server_import, "captures"),
+        "import_report": _over(audits.import_report, "captures"),
+        "findings": _over(audits.findings_report, "comments"),
+        "checked_comments": _over(audits.checked_comments, "comments"),
+        "work_list": _over(lambda c: audits.work_list(c, "2012-01-01"), "captures"),
+        "unverified": _over(audits.unverified, "captures"),
+        "menu_inventory": _over(audits.menu_inventory, "frames", "pages"),
+        "menu_titles": _over(editorial.menu_titles, "frames"),
+        "display_names": _over(editorial.display_names, "articles", "frames"),
+        "issue_records": _over(editorial.issue_records, "articles", "issues", "frames"),
+        "packed_titles": _over(editorial.packed_titles, "articles"),
+        "page_texts": _over(editorial.page_texts, "pages"),
+        "bylines": _over(editorial.byline_rows, "pages"),
+        "credit_lines": _over(lambda p: editorial.credit_lines(pages.credits(p)), "pages"),
+        "contributor_pages": _over(_contributor_pages, "pages", "articles"),
+        "people": _over(lambda p: editorial.surname_order(pages.credits(p)), "pages"),
+        "page_descriptions": _over(lambda p, a: editorial.page_descriptions(p, a, pages.credits(p)), "pages", "articles"),
+        "lead_pictures": _over(editorial.lead_pictures, "pages", "articles"),
+        "photo_canonicals": _over(editorial.photo_canonicals, "pages"),
+        "galleries": _over(editorial.galleries, "pages"),
+        "missing_views": _over(editorial.missing_views, "pages"),
+        "visible_pages": _over(editorial.visible_pages, "pages"),
+        "picture_texts": _over(lambda p, a: editorial.picture_texts(p, a, pages.credits(p)), "pages", "articles"),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return sql.queries()
+    return {**sql.queries(), **sql_more.queries(sql._REC)}

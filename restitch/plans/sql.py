@@ -206,13 +206,17 @@ def queries() -> dict[str, str]:
         "email_findings": f"""SELECT regexp_extract(a, '@(.*)$', 1) AS domain, count(DISTINCT a) AS addresses, count(*) AS n, array_to_string(list_sort(list(DISTINCT a))[1:8], ' ') AS sample
           FROM (SELECT lower(unnest(regexp_extract_all(text, {_Q(EMAIL)}))) AS a FROM comments WHERE text IS NOT NULL) GROUP BY 1""",
         "articles_once": ARTICLES + "SELECT * FROM once",
-        "catalog": ARTICLES + "SELECT id, title, folder, coalesce(once.issue, 0) AS issue, issue_name, blurb FROM once LEFT JOIN names ON once.issue = names.issue",
+        "catalog": ARTICLES + """, votes AS (SELECT folder, issue, count(*) AS k FROM once WHERE issue IS NOT NULL AND folder IS NOT NULL GROUP BY 1, 2
+), byf AS (SELECT folder, arg_min(issue, (-k, issue)) AS fi FROM votes GROUP BY 1), filled AS (SELECT o.id, o.title, o.folder, coalesce(o.issue, fi, 0) AS issue, o.blurb FROM once o LEFT JOIN byf ON o.folder = byf.folder)
+SELECT id, title, f.folder, f.issue, issue_name, blurb FROM filled f LEFT JOIN names ON f.issue = names.issue""",
         "folders_seen": f"""WITH f AS (SELECT article_id, regexp_extract({_URLPATH}, '^/issues/([^/]+/[^/]+)/', 1) AS folder FROM pages WHERE url IS NOT NULL AND article_id IS NOT NULL)
           SELECT article_id, folder, n FROM (SELECT article_id, folder, count(*) AS n FROM f WHERE folder <> '' GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY article_id ORDER BY n DESC, folder) = 1""",
         "variants": """WITH v AS (SELECT DISTINCT article_id, coalesce(page_path, '') AS page_path FROM pages WHERE article_id IS NOT NULL), o AS (SELECT *, CASE WHEN page_path IN ('', 'main', 'index.php') THEN 0 WHEN regexp_matches(page_path, '^(page|index)[0-9]') THEN 1 ELSE 2 END AS a,
           coalesce(try_cast(nullif(regexp_extract(page_path, '([0-9]+)', 1), '') AS INT), 1000000) AS b FROM v)
           SELECT article_id, page_path, row_number() OVER w AS seq, lag(page_path) OVER w AS previous, lead(page_path) OVER w AS next FROM o WINDOW w AS (PARTITION BY article_id ORDER BY a, b, page_path)""",
-        "issue_contents": ARTICLES + "SELECT o.issue, n.issue_name AS name, count(*) AS n, string_agg(title, ' | ' ORDER BY id) AS titles FROM once o LEFT JOIN names n ON o.issue = n.issue WHERE o.issue > 0 GROUP BY 1, 2",
+        "issue_contents": ARTICLES + """, votes AS (SELECT folder, issue, count(*) AS k FROM once WHERE issue IS NOT NULL AND folder IS NOT NULL GROUP BY 1, 2
+), byf AS (SELECT folder, arg_min(issue, (-k, issue)) AS fi FROM votes GROUP BY 1), filled AS (SELECT o.id, o.title, coalesce(o.issue, fi, 0) AS issue FROM once o LEFT JOIN byf ON o.folder = byf.folder)
+SELECT o.issue, n.issue_name AS name, count(*) AS n, string_agg(title, ' | ' ORDER BY id) AS titles FROM filled o LEFT JOIN names n ON o.issue = n.issue WHERE o.issue > 0 GROUP BY 1, 2""",
         "sitemap": f"""SELECT 'https://www.lampmag.example' || path AS loc, CASE WHEN path = '/' THEN '1.0' WHEN regexp_matches(path, '^/issues/[^/]+/?$') THEN '0.8' WHEN regexp_matches(path, '^/issues/[^/]+/[^/]+/?$') THEN '0.7' ELSE '0.5' END AS priority,
           CASE WHEN d IS NOT NULL THEN substr(d, 1, 4) || '-' || substr(d, 5, 2) || '-' || substr(d, 7, 2) END AS lastmod
           FROM (SELECT path, max(d) FILTER (length(d) = 8) AS d FROM (SELECT {_URLPATH} AS path, substr(regexp_replace(ts, '[^0-9]', '', 'g'), 1, 8) AS d FROM pages WHERE url IS NOT NULL) GROUP BY 1)""",
