@@ -53,32 +53,57 @@ def dechunk(body: bytes) -> bytes:
         at = start + size + 2
 
 
+def record_block(record: bytes) -> bytes:
+    """The message of an archive record, as long as the record declares it, so that separators behind it stay out; other bytes are a message."""
+    if record.startswith(b"WARC/"):
+        head, _, rest = record.partition(b"\r\n\r\n")
+        declared = re.search(rb"(?im)^content-length:\s*(\d+)\s*$", head)
+        return rest[: int(declared.group(1))] if declared else rest
+    line, gap, rest = record.partition(b"\n")
+    fields = line.split()
+    # the older format: address, host, date, type and length on one line
+    if gap and len(fields) == 5 and fields[4].isdigit() and b"://" in fields[0]:
+        return rest[: int(fields[4])]
+    return record
+
+
 def http_body(record: bytes) -> tuple[int | None, str | None, bytes]:
-    """(status, mime, body) of an HTTP response, bare or inside an archive record."""
-    at = record.find(b"HTTP/")
-    if at < 0:
-        return None, None, record
-    head, gap, body = record[at:].partition(b"\r\n\r\n")
-    if not gap:
-        head, gap, body = record[at:].partition(b"\n\n")
-    lines = head.decode("latin-1").splitlines()
-    m = re.match(r"HTTP/\d\.\d\s+(\d{3})", lines[0])
+    """(status, mime, body) of an HTTP response, bare or inside an archive record; without a header all is body."""
+    message = record_block(record)
+    ends = [(message.find(gap), gap) for gap in (b"\r\n\r\n", b"\n\n")]
+    at, gap = min(((i, g) for i, g in ends if i >= 0), default=(-1, b""))
+    if at < 0 or not message.startswith(b"HTTP/"):
+        return None, None, message
+    lines = message[:at].decode("latin-1").splitlines()
+    body = message[at + len(gap) :]
+    m = re.match(r"HTTP/\d(?:\.\d)?\s+(\d{3})", lines[0])
     fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-    if fields.get("transfer-encoding", "").lower() == "chunked":
+    if "chunked" in fields.get("transfer-encoding", "").lower():
         body = dechunk(body)
     mime = fields.get("content-type", "").split(";")[0].strip().lower() or None
     return (int(m.group(1)) if m else None), mime, body
 
 
-def payload(body: bytes, want: str | None) -> tuple[bytes, bool]:
-    """(payload, verified): the body, or its gunzipped form, whichever has the wanted digest."""
-    if want is None or digest_of(body) == want:
-        return body, want is not None
-    try:
-        plain = gzip.decompress(body)
-    except (OSError, EOFError, zlib.error):
-        return body, False
-    return (plain, True) if digest_of(plain) == want else (body, False)
+def payload(body: bytes, want: str | None, packed: bool = False) -> tuple[bytes, bool]:
+    """(payload, verified): the readable body, verified when it or its packed form has the wanted digest.
+
+    A gzipped body is unpacked unless the resource itself is a packed file (``packed``).
+    """
+    verified = want is not None and digest_of(body) == want
+    if body[:2] == b"\x1f\x8b" and not packed:
+        try:
+            plain = gzip.decompress(body)
+        except (OSError, EOFError, zlib.error):
+            return body, verified
+        return plain, verified or (want is not None and digest_of(plain) == want)
+    return body, verified
+
+
+def without_trailing_error(b: bytes) -> bytes:
+    """A JPEG without what follows its end marker, where that is the output of a script error."""
+    at = b.rfind(b"\xff\xd9")
+    tail = b[at + 2 :] if b[:2] == b"\xff\xd8" and at > 0 else b""
+    return b[: at + 2] if re.search(rb"(?i)<b>\s*(?:warning|fatal error|notice|parse error)\s*</b>", tail) else b
 
 
 def entropy(b: bytes) -> float:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from restitch.functions.text import scrub, strip_tags, visible, words
@@ -112,9 +112,11 @@ def email_findings(comments: DataFrame, allowed: tuple[str, ...] = (), k: int =
 
     rows = comments.where("text is not null").select("comment_id", F.explode(F.regexp_extract_all("text", F.lit(f"({EMAIL})"), F.lit(1))).alias("a")).select("comment_id", F.lower("a").alias("a"))
     rows = rows.where(~F.col("a").isin(list(allowed) or [""]))
-    return rows.groupBy(F.regexp_extract("a", "@(.*)$", 1).alias("domain")).agg(
-        F.count_distinct("a").alias("addresses"), F.count(F.lit(1)).alias("n"), F.array_join(F.slice(F.array_sort(F.collect_set("a")), 1, k), " ").alias("sample")
-    )
+    per = rows.groupBy("a").agg(F.count(F.lit(1)).alias("k")).withColumn("domain", F.regexp_extract("a", "@(.*)$", 1))
+    # the first k addresses by rank, pruned before the shuffle, so a domain of very many addresses collects k
+    w = Window.partitionBy("domain").orderBy("a")
+    first = per.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k).groupBy("domain").agg(F.array_join(F.array_sort(F.collect_list("a")), " ").alias("sample"))
+    return per.groupBy("domain").agg(F.count(F.lit(1)).alias("addresses"), F.sum("k").alias("n")).join(first, "domain").select("domain", "addresses", "n", "sample")
 
 
 def secrets_found(comments: DataFrame, secrets: list[str]) -> DataFrame:

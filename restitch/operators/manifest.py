@@ -19,6 +19,8 @@ HOME_PAGES = ("/", "/main.php", "/index.php", "/index.php?leave=1")
 SKIP_PATH = r"^/(phpad/|robots\.txt$|favicon\.(ico|gif)$)"
 MEDIA = ("jpg", "jpeg", "gif", "png", "bmp", "ico", "swf", "pdf", "doc", "css", "js")
 SHARED_BY = 3
+#: Sources whose records count only when their content was verified against its digest.
+FETCHED = ("commoncrawl", "server")
 
 
 def prepared(captures: DataFrame) -> DataFrame:
@@ -36,6 +38,7 @@ def skip_reason(p: DataFrame) -> DataFrame:
         F.when(F.coalesce("status", F.lit("200")) != "200", "status").when(F.col("ts").isNull(), "time").when(F.col("digest").isNull(), "digest")
         .when(F.col("ts") > CUTOFF, "late").when(F.col("mime") == "warc/revisit", "revisit").when(F.col("path").rlike(SKIP_PATH), "path")
         .when(listing_sort(F.col("url")), "listing sort")
+        .when(F.col("source").isin(*FETCHED) & ~F.coalesce("verified", F.lit(False)), "unverified")
     )
     return p.withColumn("reason", reason)
 

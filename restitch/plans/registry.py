@@ -55,9 +55,11 @@ def queries() -> dict[str, Query]:
         "page_images": _over(pages.page_images, "pages"),
         "credits": _over(pages.credits, "pages"),
         "contributors": _over(pages.contributors, "pages", "articles"),
-        "review": _over(pages.review, "comments"),
-        "snippets": _over(pages.snippets, "comments"),
+        "review": _over(pages.review, "pages", "comments"),
+        "review_order": _over(lambda p, c: pages.review_order(pages.review(p, c)), "pages", "comments"),
+        "snippets": _over(pages.snippets, "pages", "comments"),
         "malware_scan": _over(malware.scan_pages, "pages"),
+        "malware_labels": _over(malware.scan_labels, "pages"),
         "comment_spam": _over(comments.classified, "comments"),
         "spam_counts": _over(comments.spam_counts, "comments"),
         "scrubbed": _over(comments.scrubbed, "comments"),

@@ -8,7 +8,9 @@ from restitch.operators.manifest import CUTOFF, HOME_PAGES, MEDIA, SHARED_BY, SK
 
 _Q = lambda s: "'" + s.replace("'", "''") + "'"
 _IN = lambda xs: "(" + ", ".join(map(_Q, xs)) + ")"
-HTML_HREF = r'(?i)<a\s[^>]*href\s*=\s*"([^"]*)"'
+HTML_HREF = r"""(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+HTML_IMG = r"""(?i)<img\s[^>]*?src\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+_UNQUOTED = lambda x: f"""regexp_replace(regexp_replace({x}, '^["'']', ''), '["'']$', '')"""
 
 PREPARED = rf"""
 WITH raw AS (
@@ -32,7 +34,8 @@ WITH raw AS (
 ), reasoned AS (
   SELECT *, CASE WHEN coalesce(status, '200') <> '200' THEN 'status' WHEN ts IS NULL THEN 'time' WHEN digest IS NULL THEN 'digest' WHEN ts > '{CUTOFF}' THEN 'late'
     WHEN mime = 'warc/revisit' THEN 'revisit' WHEN regexp_matches(path, {_Q(SKIP_PATH)}) THEN 'path'
-    WHEN regexp_matches(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '^[CO]=[A-Z](;|$)') THEN 'listing sort' END AS reason,
+    WHEN regexp_matches(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '^[CO]=[A-Z](;|$)') THEN 'listing sort'
+    WHEN source IN ('commoncrawl', 'server') AND NOT coalesce(verified, false) THEN 'unverified' END AS reason,
     lower(regexp_extract(regexp_extract(page, '^([^?]*)', 1), '[^/.][^/]*\.([^/.]*)$', 1)) AS ext
   FROM prep
 ), cand AS (
@@ -80,7 +83,7 @@ WITH p AS (SELECT *, coalesce(html, '') AS h FROM pages), problems AS (
 LINKS = f"""
 WITH links AS (SELECT page_id, href, CASE WHEN href = '' THEN 'empty' WHEN href LIKE '#%' THEN 'fragment' WHEN regexp_matches(href, '(?i)^mailto:') THEN 'mail'
     WHEN regexp_matches(href, '(?i)^javascript:') THEN 'script' WHEN regexp_matches(href, '(?i)^(https?:)?//') THEN 'external' ELSE 'internal' END AS kind
-  FROM (SELECT page_id, unnest(regexp_extract_all(html, {_Q(HTML_HREF)}, 1)) AS href FROM pages WHERE html IS NOT NULL))
+  FROM (SELECT page_id, {_UNQUOTED(f"unnest(regexp_extract_all(html, {_Q(HTML_HREF)}, 1))")} AS href FROM pages WHERE html IS NOT NULL))
 """
 
 _PATH = "CASE WHEN {p} = '' THEN '/' ELSE {p} END"
@@ -133,17 +136,49 @@ WITH once AS (
 ), names AS (SELECT issue, min(name) AS issue_name FROM issues GROUP BY 1)
 """
 
-_CLEAN_STEPS = P.CLEANING
+_SCRIPT, _FORM, _ANCHOR = r"(?is)<script\b[^>]*>.*?</script\s*>", r"(?is)<form\b[^>]*>.*?</form\s*>", r"(?is)<a\b[^>]*>.*?</a\s*>"
+_CLEAN_STEPS = (
+    ("scripts", _SCRIPT, r"""(?is)googlesyndication\.com|google_ad_client|google-analytics\.com|_gat\._getTracker|urchinTracker|gaJsHost|pageTracker\.|advertising\.com|<SCR'\s*\+\s*'IPT|document\.write\s*\(\s*['"]<\s*scr|^<script\b[^>]*\bsrc\s*=\s*["']?\s*(https?:)?//|adserver/"""),
+    ("shop_links", _ANCHOR, r"(?is)^<a\b[^>]*\b(cafepress|cafeshops)\."),
+    ("comment_forms", _FORM, r"""(?is)post a comment|name\s*=\s*["']?comment\b"""),
+    ("newsletter_boxes", r"""(?is)<div\b[^>]*\bid\s*=\s*["']?email_submit\d*[^>]*>.*?</div\s*>""", ""),
+    ("newsletter_forms", _FORM, r"""(?is)newsletter|join the list|name\s*=\s*["']?em(ail)?\b"""),
+    ("php_errors", r"(?i)(?:<br\s*/?>\s*)?<b>\s*(?:Warning|Fatal error|Parse error|Notice|Deprecated)\s*</b>\s*:[^\n]*?on line\s*<b>\s*\d+\s*</b>(?:\s*<br\s*/?>)?", ""),
+    ("offsite_images", r"""(?is)<img\b[^>]*\bsrc\s*=\s*["']?\s*(?:https?:)?//[^>]*>""", ""),
+    ("hidden_links", _ANCHOR, r"""(?is)^<a\b[^>]*\bstyle\s*=\s*["'][^"']*display\s*:\s*none"""),
+    ("linked_comments", r"(?s)<!--.*?-->", r"(?is)<a\s"),
+    ("ad_links", _ANCHOR, r"(?is)^<a\b[^>]*(adserver|adclick)"),
+    ("ad_boxes", r"""(?is)<div\b[^>]*id\s*=\s*["']?beacon_\d+[^>]*>.*?</div>|<noscript>.*?</noscript>|<iframe\b[^>]*>.*?</iframe>|<img\b[^>]*>""", r"(?is)beacon_|adserver"),
+)
+_OWN = r"""(?i)src\s*=\s*["']?\s*(https?:)?//(www\.)?lampmag\.example"""
+REVIEW = {
+    "sexual": r"(?i)\b(?:nude|nudity|naked|topless|porn\w*|strippers?|strip clubs?|burlesque|fetish\w*|bondage|escorts?|hookers?|prostitut\w+|sex|sexual\w*|erotic\w*|penis|vaginal?|breasts?|boobs?|tits|thongs?|masturbat\w+|orgasm\w*|suicide ?girls?|playboy|lap ?dances?)\b",
+    "strong": r"(?i)\b(?:fuck\w*|motherf\w*|cunts?|cocks?|cocksuck\w*|pussy|twats?|sluts?|whores?)\b",
+    "mild": r"(?i)\b(?:shit\w*|bitch\w*|assholes?|dicks?|bastards?|damn\w*)\b",
+    "slur": r"(?i)\b(?:fag\w*|retard\w*|nigg\w*|midgets?|trann\w*|spics?)\b",
+}
 
 
 def _cleaned() -> str:
     inner = "SELECT page_id, html AS h0 FROM pages WHERE html IS NOT NULL"
-    for i, (_, rx) in enumerate(_CLEAN_STEPS):
-        inner = f"SELECT *, regexp_replace(h{i}, {_Q(rx)}, '', 'g') AS h{i + 1} FROM ({inner})"
-    cols = ", ".join(f"len(regexp_extract_all(h{i}, {_Q(rx)})) AS {name}" for i, (name, rx) in enumerate(_CLEAN_STEPS))
+    for i, (name, element, holds) in enumerate(_CLEAN_STEPS):
+        new = r"regexp_replace(x, '(?is)^<a\b[^>]*>(.*)</a\s*>$', '\1')" if name == "shop_links" else "''"
+        inner = f"SELECT *, list_filter(regexp_extract_all(h{i}, {_Q(element)}), lambda x: regexp_matches(x, {_Q(holds)}) AND NOT regexp_matches(x, {_Q(_OWN)})) AS c{i} FROM ({inner})"
+        inner = f"SELECT *, list_reduce(list_prepend(h{i}, list_distinct(c{i})), lambda h, x: replace(h, x, {new})) AS h{i + 1} FROM ({inner})"
+    cols = ", ".join(f"len(c{i})::INT AS {name}" for i, (name, *_) in enumerate(_CLEAN_STEPS))
     return f"SELECT page_id, {cols}, length(h{len(_CLEAN_STEPS)}) AS n_chars FROM ({inner})"
 
 
+_TEXTS = f"""WITH v AS (
+  SELECT article_id, 'page' AS kind, page_id AS id, trim(regexp_replace(regexp_replace(concat_ws(' ', html, tail), '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) AS t FROM pages WHERE article_id IS NOT NULL AND html IS NOT NULL
+  UNION ALL SELECT article_id, 'comment', comment_id, trim(regexp_replace(regexp_replace(concat_ws(' ', subject, name, text), '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) FROM comments WHERE article_id IS NOT NULL
+)"""
+_REVIEWED = _TEXTS + f""", s AS (SELECT article_id, sum(CASE WHEN t = '' THEN 0 ELSE len(string_split(t, ' ')) END)::BIGINT AS n_words,
+  {', '.join(f"sum(len(regexp_extract_all(t, {_Q(rx)})))::BIGINT AS {k}" for k, rx in REVIEW.items())}, bool_or(regexp_matches(t, '(?i)\\bcunts?\\b')) AS worst FROM v GROUP BY 1
+), rv AS (SELECT * EXCLUDE (worst), CASE WHEN slur > 0 OR worst OR strong * 1000.0 / greatest(n_words, 1) >= 3 OR sexual * 1000.0 / greatest(n_words, 1) >= 4 THEN 'exclude' WHEN sexual > 0 OR strong > 0 THEN 'review' ELSE 'ok' END AS tier FROM s)
+"""
+
+
 EMAIL = r"[A-Za-z0-9_.+-]+@[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]+)*\.[A-Za-z]{2,}"
 PHONE = r"\(?\b[0-9]{3}\)?[ .-]*[0-9]{3}[ .-][0-9]{4}\b"
 
@@ -181,22 +216,21 @@ def queries() -> dict[str, str]:
         "missing_targets": MISSING + "SELECT * FROM missing",
         "missing_by_section": MISSING + "SELECT regexp_extract(target, '^/?([^/]*)', 1) AS section, count(*) AS targets, sum(n)::BIGINT AS links FROM missing GROUP BY 1 ORDER BY targets DESC, section LIMIT 15",
         "cleaned": _cleaned(),
-        "security_hits": "SELECT label, sum(k)::BIGINT AS hits, count(DISTINCT page_id) AS pages FROM (" + " UNION ALL ".join(
-            f"SELECT page_id, {_Q(n)} AS label, {_COUNT('html', rx)} AS k FROM pages WHERE html IS NOT NULL" for n, rx in P.SECURITY) + ") WHERE k > 0 GROUP BY 1",
+        "security_hits": "WITH b AS (SELECT page_id, regexp_replace(html, '(?is)<script\\b[^>]*>[^<]*hiveware_enkoder.*?</script\\s*>', '', 'g') AS h FROM pages WHERE html IS NOT NULL) SELECT label, sum(k)::BIGINT AS hits, count(DISTINCT page_id) AS pages, arg_min(at_, page_id) AS sample FROM (" + " UNION ALL ".join(
+            f"SELECT page_id, {_Q(n)} AS label, {_COUNT('h', rx)} AS k, regexp_extract(h, {_Q('(' + rx + '[^' + chr(92) + 'n]{0,160})')}, 1) AS at_ FROM b" for n, rx in P.SECURITY) + ") WHERE k > 0 GROUP BY 1",
         "first_copies": """SELECT page_id, CASE WHEN f <> page_id THEN f END AS canonical FROM (SELECT page_id, first_value(page_id) OVER (PARTITION BY trim(regexp_replace(html, '\\s+', ' ', 'g')) ORDER BY coalesce(article_id, 1::BIGINT << 60), page_id) AS f
           FROM pages WHERE html IS NOT NULL AND trim(html) <> '')""",
-        "page_images": """SELECT article_id, src, dense_rank() OVER (PARTITION BY article_id ORDER BY at_)::INT AS photo, count(*) OVER (PARTITION BY article_id) AS photos FROM (
-          SELECT article_id, src, min({'p': page_id, 'i': pos}) AS at_ FROM (SELECT article_id, page_id, unnest(srcs) AS src, unnest(range(len(srcs))) AS pos FROM (
-            SELECT article_id, page_id, regexp_extract_all(html, '(?i)<img\\s[^>]*src="([^"]+)"', 1) AS srcs FROM pages WHERE html IS NOT NULL AND article_id IS NOT NULL)) GROUP BY 1, 2)""",
+        "page_images": f"""SELECT article_id, src, dense_rank() OVER (PARTITION BY article_id ORDER BY at_)::INT AS photo, count(*) OVER (PARTITION BY article_id) AS photos FROM (
+          SELECT article_id, src, min({{'p': page_id, 'i': pos}}) AS at_ FROM (SELECT article_id, page_id, {_UNQUOTED("unnest(srcs)")} AS src, unnest(range(len(srcs))) AS pos FROM (
+            SELECT article_id, page_id, regexp_extract_all(html, {_Q(HTML_IMG)}, 1) AS srcs FROM pages WHERE html IS NOT NULL AND article_id IS NOT NULL)) WHERE src <> '' GROUP BY 1, 2)""",
         "credits": BYLINES + "SELECT * FROM credits",
         "contributors": BYLINES + """SELECT name, count(DISTINCT article_id) AS works, array_to_string(list_sort(list(DISTINCT role)), ', ') AS roles, min(issue) AS first_issue, max(issue) AS last_issue, count(DISTINCT article_id) >= 3 AS page
           FROM credits LEFT JOIN (SELECT id::BIGINT AS article_id, min(issue) AS issue FROM articles GROUP BY 1) USING (article_id) GROUP BY 1""",
-        "review": f"""WITH v AS (SELECT article_id, {_VISIBLE('text')} AS t FROM comments WHERE article_id IS NOT NULL), s AS (SELECT article_id, sum(CASE WHEN t = '' THEN 0 ELSE len(string_split(t, ' ')) END)::BIGINT AS n_words,
-          {', '.join(f"sum({_COUNT('t', rx)})::BIGINT AS {k}" for k, rx in P.REVIEW.items())} FROM v GROUP BY 1)
-          SELECT *, CASE WHEN strong * 1000.0 / greatest(n_words, 1) >= 3 OR sexual * 1000.0 / greatest(n_words, 1) >= 4 THEN 'exclude' WHEN sexual > 0 OR strong > 0 THEN 'review' ELSE 'ok' END AS tier FROM s""",
-        "snippets": f"""WITH v AS (SELECT article_id, comment_id, {_VISIBLE('text')} AS t FROM comments WHERE article_id IS NOT NULL), h AS (
-          {" UNION ALL ".join(f"SELECT article_id, comment_id, {i} AS c, {_Q(k)} AS category, regexp_extract(t, {_Q('(.{0,60}' + P.REVIEW[k] + '.{0,60})')}, 1) AS snippet FROM v WHERE regexp_matches(t, {_Q(P.REVIEW[k])})" for i, k in enumerate(("sexual", "strong")))})
-          SELECT article_id, nr, category, trim(snippet) AS snippet FROM (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY comment_id, c) AS nr FROM h) WHERE nr <= 8""",
+        "review": _REVIEWED + "SELECT * FROM rv",
+        "review_order": _REVIEWED + "SELECT article_id, tier, sexual + strong + 3 * slur AS weight, row_number() OVER (PARTITION BY tier ORDER BY sexual + strong + 3 * slur DESC, article_id)::INT AS nr FROM rv",
+        "snippets": _TEXTS + f""", h AS (
+          {" UNION ALL ".join(f"SELECT article_id, kind, id, {i} AS c, {_Q(k)} AS category, unnest(x) AS snippet, generate_subscripts(x, 1) AS pos FROM (SELECT article_id, kind, id, regexp_extract_all(t, {_Q('(.{0,60}' + REVIEW[k] + '.{0,60})')}, 1) AS x FROM v)" for i, k in enumerate(("sexual", "strong", "slur")))})
+          SELECT article_id, nr, category, trim(snippet) AS snippet FROM (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY kind DESC, id, c, pos) AS nr FROM h) WHERE nr <= 8""",
         "comment_spam": SPAM + "SELECT * FROM kept",
         "spam_counts": SPAM + "SELECT coalesce(lower(source), '') AS source, count(*) AS n, count(*) FILTER (spam) AS spam, count(*) FILTER (hard) AS hard, count(*) FILTER (keep) AS kept FROM kept GROUP BY 1",
         "scrubbed": f"""SELECT comment_id, regexp_replace(e, {_Q(PHONE)}, '[phone removed]', 'g') AS text, len(regexp_extract_all(text, {_Q(EMAIL)})) AS n_email, len(regexp_extract_all(regexp_replace(text, {_Q(EMAIL)}, '', 'g'), {_Q(PHONE)})) AS n_phone

@@ -77,11 +77,13 @@ def _remove_written() -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only where none is named (tests)."""
+    """The shared folder of the cluster; a temporary one only in a local session that names none (tests)."""
     sc = spark.sparkContext
     shared = sc.getConf().get("spark.checkpoint.dir")
     if shared:
         return shared
+    if not sc.master.startswith("local"):
+        raise RuntimeError("a cluster must name its shared folder in spark.checkpoint.dir")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="restitch-ckpt-"))
     return os.path.dirname(sc._jsc.sc().getCheckpointDir().get())

@@ -6,28 +6,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def as_document(df: DataFrame, key: str) -> DataFrame:
-    """One row: a JSON object of the rows by key, in order of the key.  For results that fit one document."""
+def as_document(df: DataFrame, key: str, limit: int = 100_000) -> DataFrame:
+    """One row: a JSON object of the rows by key, in order of the key; more rows than a document should hold are an error.
+
+    The count is taken before anything is collected; larger results are written as JSON lines by ``write_json``.
+    """
     rest = [c for c in df.columns if c != key]
+    n = df.count()
+    if n > limit:
+        raise ValueError(f"{n} rows are over the {limit} of one document")
     entries = F.array_sort(F.collect_list(F.struct(F.col(key).cast("string").alias("k"), F.struct(*rest).alias("v"))))
     return df.agg(F.to_json(F.map_from_entries(entries)).alias("value"))
 
 
+def write_json(df: DataFrame, folder: str) -> None:
+    """The rows as JSON lines, one file per partition, through the commit protocol."""
+    df.write.mode("overwrite").json(folder)
+
+
 def as_lines(df: DataFrame, template: str, *cols: str) -> DataFrame:
     """(value): fixed-width report lines in order."""
     return df.select(F.format_string(template, *cols).alias("value")).orderBy("value")
 
 
+def exists(spark, folder: str) -> bool:  # noqa: ANN001
+    """Whether a folder exists; any other trouble with the file system is raised, not taken for an answer."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def append_new_blobs(blobs: DataFrame, folder: str) -> int:
-    """Append blobs (digest, content) whose digest the folder does not hold yet; running it again adds nothing."""
-    spark = blobs.sparkSession
-    try:
-        known = spark.read.parquet(folder).select("digest").distinct()
-        fresh = blobs.dropDuplicates(["digest"]).join(known, "digest", "left_anti")
-    except Exception:  # noqa: BLE001 - the folder does not exist yet
-        fresh = blobs.dropDuplicates(["digest"])
-    fresh.write.mode("append").parquet(folder)
-    return spark.read.parquet(folder).count()
+    """Append blobs (digest, content) whose digest the folder does not hold yet and return how many; running it again adds none."""
+    from pyspark.sql import Observation
+
+    fresh = blobs.dropDuplicates(["digest"])
+    if exists(blobs.sparkSession, folder):
+        fresh = fresh.join(blobs.sparkSession.read.parquet(folder).select("digest"), "digest", "left_anti")
+    seen = Observation()
+    fresh.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(folder)
+    return seen.get["n"]
 
 
 def replace_table(df: DataFrame, folder: str, *partition_by: str) -> None:

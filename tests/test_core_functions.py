@@ -79,6 +79,13 @@ def test_byte_decoders():
     assert B.dechunk(b"3\r\nabc\r\n2;x\r\nde\r\n0\r\n\r\n") == b"abcde" and B.dechunk(b"zz\r\n") == b"zz\r\n"
     status, mime, body = B.http_body(b"WARC/1.0\r\n\r\nHTTP/1.1 200 OK\r\nContent-Type: text/HTML; x\r\nTransfer-Encoding: chunked\r\n\r\n2\r\nhi\r\n0\r\n\r\n")
     assert (status, mime, body) == (200, "text/html", b"hi")
+    message = b"HTTP/1.0 200 OK\r\nContent-Type: text/plain\r\n\r\nhello"
+    warc = b"WARC/1.0\r\nContent-Length: %d\r\n\r\n" % len(message) + message + b"\r\n\r\n"
+    arc = b"http://a.test/ 1.2.3.4 20040101000000 text/plain %d\n" % len(message) + message + b"\n"
+    assert B.http_body(warc) == B.http_body(arc) == B.http_body(message) == (200, "text/plain", b"hello")
+    packed = gzip.compress(b"abc")
+    assert B.payload(packed, B.digest_of(packed)) == (b"abc", True) and B.payload(packed, B.digest_of(packed), packed=True) == (packed, True)
+    assert B.without_trailing_error(b"\xff\xd8x\xff\xd9<b>Warning</b>: y") == b"\xff\xd8x\xff\xd9" and B.without_trailing_error(b"q\xff\xd9") == b"q\xff\xd9"
     assert B.payload(gzip.compress(b"abc"), B.digest_of(b"abc")) == (b"abc", True) and B.payload(b"q", B.digest_of(b"z"))[1] is False
     img = B.png(3, 2, bytes(18))
     assert B.image_size(img) == (3, 2) and B.image_size(b"GIF89a\x05\0\x04\0") == (5, 4) and B.image_size(b"no") is None

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import datetime
 import io
 import json
+import re
 import tarfile
 
 from pyspark.sql import functions as F
 
 from restitch.functions.bytesx import digest_of
-from restitch.operators import catalog, comments, malware, manifest, pages
+from restitch.operators import catalog, comments, editorial, malware, manifest, pages
 from restitch.sources import readers, sinks
 from restitch.streaming import captures as stream
 
@@ -68,14 +70,29 @@ def test_comment_rules(spark):
     assert [tuple(r) for r in comments.secrets_found(df, ["POKER", "zzz"]).collect()] == [(3, 1)]
 
 
-def test_malware_flags_and_planted_copies(spark):
+def test_malware_findings_and_planted_copies(spark):
     bad = b"<?php eval(base64_decode('x')); ?>"
-    assert malware.flags("a.php", bad)[0] == ["eval of decoded data"] and malware.flags("a.jpg", b"\0<?php x")[0] == ["code inside a file of another kind"]
+    assert malware.findings("a.php", bad)[0] == ["evaluates unpacked data"] and malware.findings("a.jpg", b"\0<?php x")[0] == ["code inside a file of another kind"]
     hidden = rb'<?php $x="\x65\x76\x61\x6c(gzinflate(1))"; ?>'
-    assert "eval of decoded data" in malware.flags("h.php", hidden)[0] and malware.flags("ok.txt", b"plain") == ([], [])
-    files = [("d/1.php", b"same"), ("d/2.php", b"same"), ("e/3.php", b"same"), ("f.php", b"mail ("), ("g.css", b""), ("n.txt", None), ("x.php.suspected", b"q")]
-    got = {r.path: r.verdict for r in malware.scanned(spark.createDataFrame(files, "path string, content binary")).collect()}
-    assert got == {"d/1.php": "malicious", "d/2.php": "malicious", "e/3.php": "malicious", "f.php": "review", "g.css": "clean", "n.txt": "clean", "x.php.suspected": "malicious"}
+    assert "evaluates unpacked data" in malware.findings("h.php", hidden)[0] and malware.findings("ok.txt", b"plain") == ([], [])
+    assert malware.revealed(b"chr(101).chr(118) . 'al'") == b'"eval\'' and malware.revealed(rb"\145\x76 a") == b"ev a"
+    assert malware.findings("x.html", b"<script src='//evil.test/a.js'></script>")[1] == ["script from elsewhere"]
+    assert malware.findings("x.txt", b"plain", "2014-01-02 00:00")[1] == ["modified late (2014-01-02)"]
+    old, new = datetime.datetime(2010, 1, 1), datetime.datetime(2013, 5, 1)
+    files = [
+        ("d/1.php", b"same", new), ("d/2.php", b"same", new), ("e/3.php", b"same", new), ("a/1.php", b"old", old), ("a/2.php", b"old", old), ("a/3.php", b"old", old),
+        ("f.php", b"mail (", old), ("g.css", b"", None), ("n.txt", None, None), ("x.php.suspected", b"q", old),
+    ]
+    got = {r.path: r.verdict for r in malware.scanned(spark.createDataFrame(files, "path string, content binary, modified timestamp")).collect()}
+    assert got == {
+        "d/1.php": "malicious", "d/2.php": "malicious", "e/3.php": "malicious", "a/1.php": "clean", "a/2.php": "clean", "a/3.php": "clean",
+        "f.php": "review", "g.css": "clean", "n.txt": "clean", "x.php.suspected": "malicious",
+    }
+    assert malware.byte_entropy(b"") == 0.0 and malware.byte_entropy(b"aabb") == 1.0
+    for name, rx in {**malware.STRONG, **malware.WEAK}.items():
+        for text in ("eval(base64_decode(", "system($_GET", "$a($_POST[", "$_GET[a](", "preg_replace('/a/e',", "c99shell", "hacked by", "mail (", "<iframe ", "location='http://", "AddHandler", "a" * 400):
+            if re.search(rx, text, re.I):
+                assert re.search(malware.SIGNS, text), name
 
 
 def test_index_and_record_sources(spark, tmp_path):
@@ -135,7 +152,7 @@ def test_sinks(spark, tmp_path):
     assert json.loads(sinks.as_document(df, "k").first().value) == {"a": {"n": 1}, "b": {"n": 2}}
     assert [r.value for r in sinks.as_lines(df, "%-3s%3d", "k", "n").collect()] == ["a    1", "b    2"]
     blobs = spark.createDataFrame([("A", b"1"), ("A", b"1"), ("B", b"2")], "digest string, content binary")
-    assert sinks.append_new_blobs(blobs, str(tmp_path / "b")) == 2 and sinks.append_new_blobs(blobs, str(tmp_path / "b")) == 2
+    assert sinks.append_new_blobs(blobs, str(tmp_path / "b")) == 2 and sinks.append_new_blobs(blobs, str(tmp_path / "b")) == 0
     page = spark.createDataFrame([("<html><head><title>x</title>",)], "h string")
     once = page.select(sinks.fenced(F.col("h"), "tags", F.lit("<meta>")).alias("h"))
     assert once.first().h == "<html><head><!-- tags --><meta><!-- /tags -->\n<title>x</title>"
@@ -145,7 +162,7 @@ def test_sinks(spark, tmp_path):
 
 
 def test_titles_and_slugs_are_unique(spark, sf):
-    t = catalog.unique_titles(spark.read.parquet(f"{sf}/pages.parquet"))
+    t = editorial.numbered_titles(spark.read.parquet(f"{sf}/pages.parquet"))
     assert t.count() == t.select("title").distinct().count()
     s = catalog.slugs(spark.read.parquet(f"{sf}/articles.parquet"))
     assert s.count() == s.select("issue", "slug").distinct().count()
