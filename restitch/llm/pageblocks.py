@@ -10,9 +10,9 @@ from __future__ import annotations
 import html as _html
 import re
 
-_TOKEN = re.compile(
-    r"(?is)[^<]+|<(/?)([a-z][a-z0-9]*)([^<>]*)>|<!--.*?-->|<!\w[^>]*>|<"
-)
+_TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9]*)([^<>]*)>")
+#: What may hide something: its end is looked for from there.
+_UNSEEN = re.compile(r"(?i)<!--|<!\w[^>]*>|<(script|style|noscript|head|textarea|iframe)(?![A-Za-z0-9])[^<>]*>")
 #: Elements whose content is not shown.
 _HIDDEN = frozenset("script style noscript head textarea iframe".split())
 _HREF = re.compile(r"(?is)\bhref\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
@@ -36,74 +36,81 @@ class Block:
         self.anchors = 0
 
 
+def _shown(page: str) -> str:
+    """The page with a mark, which ends blocks and keeps the line feeds, in place of each hidden element; comments leave their line feeds."""
+    out: list[str] = []
+    at = 0
+    while (m := _UNSEEN.search(page, at)) is not None:
+        name = m.group(1)
+        if name is None:
+            end = page.find("-->", m.end()) + 3 if page[m.start() : m.end()] == "<!--" else m.end()
+            if end < 3:  # a comment without an end is text
+                out.append(page[at : m.end()])
+                at = m.end()
+                continue
+            out += [page[at : m.start()], "\n" * page.count("\n", m.start(), end)]
+        else:
+            end = _hidden_end(page, m.end(), name.lower())
+            if end is None:
+                out.append(page[at : m.end()])
+                at = m.end()
+                continue
+            out += [page[at : m.start()], "<hiddenmark", "\n" * page.count("\n", m.start(), end), ">"]
+        at = end
+    return "".join([*out, page[at:]]) if out else page
+
+
 def blocks(page: str, own_host: str | None = None) -> list[Block]:
     """The blocks with visible text, in order."""
     out: list[Block] = []
     line = 1
     tag, classes = "body", ""
     link: str | None = None
-    bold = 0
-    large = 0
-    block = Block(tag, classes)
+    bold = large = 0
+    heading = form = False
+    block: Block | None = None
     pieces: list[str] = []
-
-    def close() -> None:
-        nonlocal block, pieces
-        if block.lines:
-            block.text = " ".join("".join(pieces).split())
-            out.append(block)
-        block = Block(tag, classes)
-        pieces = []
-
-    at, size = 0, len(page)
-    while at < size:
-        m = _TOKEN.match(page, at)
-        tok = m.group()
-        at = m.end()
-        name = m.group(2)
-        if name is None:
-            if tok[0] == "<" and len(tok) > 1:  # a comment or declaration
-                line += tok.count("\n")
-                continue
-            if tok.isspace():
-                line += tok.count("\n")
-                if pieces:
+    parts = _TAG.split(_shown(page))
+    for k in range(0, len(parts), 4):
+        text = parts[k]
+        if text:
+            if text.isspace():
+                line += text.count("\n")
+                if block is not None:
                     pieces.append(" ")
-                continue
-            # entities never hold line feeds, so lines are those of the source
-            text = _html.unescape(tok) if "&" in tok else tok
-            for k, part in enumerate(text.split("\n") if "\n" in text else (text,)):
-                if k:
-                    line += 1
-                    if pieces:
-                        pieces.append(" ")
-                n = len(part.strip())
-                if n:
-                    first = not block.lines
-                    block.lines[line] = True
-                    if link is not None:
-                        block.anchors += first or not block.last_link
-                        if link == "in":
-                            block.link_in += n
+            else:
+                # entities never hold line feeds, so lines are those of the source
+                if "&" in text:
+                    text = _html.unescape(text)
+                for i, part in enumerate(text.split("\n") if "\n" in text else (text,)):
+                    if i:
+                        line += 1
+                        if block is not None:
+                            pieces.append(" ")
+                    n = len(part.strip())
+                    if n:
+                        if block is None:
+                            block = Block(tag, classes)
+                            block.heading, block.form = heading, form
+                            block.first_link = link == "in"
+                            block.bold_first = bold > 0
+                            first = True
                         else:
-                            block.link_out += n
-                    if first:
-                        block.first_link = link == "in"
-                        block.bold_first = bold > 0
-                    block.last_link = link == "in"
-                    if large:
-                        block.heading = True
-                    pieces.append(part)
-            continue
-        name = name.lower()
-        closing, rest = m.group(1) == "/", m.group(3)
-        if name in _HIDDEN and not closing:
-            end = _hidden_end(page, at, name)
-            if end is not None:
-                line += page.count("\n", m.start(), end)
-                at = end
-                close()
-                continue
+                            first = False
+                        block.lines[line] = True
+                        if link is not None:
+                            block.anchors += first or not block.last_link
+                            if link == "in":
+                                block.link_in += n
+                            else:
+                                block.link_out += n
+                        block.last_link = link == "in"
+                        if large:
+                            block.heading = True
+                        pieces.append(part)
+        if k + 3 >= len(parts):
+            break
+        closing, name, rest = parts[k + 1] == "/", parts[k + 2].lower(), parts[k + 3]
         if name in INLINE:
             if name == "a":
                 if closing:
@@ -115,33 +122,37 @@ def blocks(page: str, own_host: str | None = None) -> list[Block]:
                     link = "out" if o and (own_host is None or not o.group(1).lower().removeprefix("www.").endswith(own_host)) else "in"
             elif name in ("b", "strong"):
                 bold = max(0, bold + (-1 if closing else 1))
-            elif name == "big" or (name == "font" and (closing or re.search(r"(?i)size\s*=\s*[\"']?[+4-7]", rest))):
+            elif name == "big" or (name == "font" and (closing or _LARGE.search(rest))):
                 large = 0 if closing else 1
-            elif name == "span" and not closing and not block.lines:
+            elif name == "span" and not closing and block is None:
                 c = _CLASS.search(rest)
-                if c and re.search(r"(?:head(?:line|ing)?|title)s?\b", c.group(1), re.I):
-                    block.heading = True
+                if c and _TITLED.search(c.group(1)):
+                    heading = True
         else:
-            if block.lines:
-                close()
-            pieces.clear()
-            if closing:
-                tag, classes = "body", ""
-            else:
-                c = _CLASS.search(rest) if rest else None
-                tag, classes = name, (c.group(1).strip("\"'").lower() if c else "")
-            block = Block(tag, classes)
-            if not closing:
-                if name in _HEADINGS or (classes and re.search(r"\b(?:headline|title)\b", classes)):
-                    block.heading = True
-                if name in _FORM:
-                    block.form = True
-        if "\n" in tok:
-            line += tok.count("\n")
-    close()
+            if block is not None:
+                block.text = " ".join("".join(pieces).split())
+                out.append(block)
+                block, pieces = None, []
+            heading = form = False
+            if name != "hiddenmark":
+                if closing:
+                    tag, classes = "body", ""
+                else:
+                    c = _CLASS.search(rest) if rest else None
+                    tag, classes = name, (c.group(1).strip("\"'").lower() if c else "")
+                    heading = name in _HEADINGS or (classes != "" and _TITLE.search(classes) is not None)
+                    form = name in _FORM
+        if "\n" in rest:
+            line += rest.count("\n")
+    if block is not None:
+        block.text = " ".join("".join(pieces).split())
+        out.append(block)
     return out
 
 
+_LARGE = re.compile(r"(?i)size\s*=\s*[\"']?[+4-7]")
+_TITLED = re.compile(r"(?i)(?:head(?:line|ing)?|title)s?\b")
+_TITLE = re.compile(r"\b(?:headline|title)\b")
 _HEADINGS = frozenset(("h1", "h2", "h3"))
 _FORM = frozenset(("form", "input", "select", "option", "button"))
 _ENDS = {n: re.compile(rf"(?i)</{n}\s*>") for n in _HIDDEN}
