@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from restitch.llm.io import field_rows
 from restitch.llm.pageblocks import Block, blocks
 from restitch.llm.residue import ERROR_SIGNS, SCRIPT_ERRORS, SENTENCE, SLOT_SIGNS, SLOTS, verdict, whole
+from restitch.llm.wording import Wording
 from restitch.session import spread
 
 #: SITE is boilerplate by its wording: it may stand in the middle of an article, as link lists may not.
@@ -49,8 +50,8 @@ STOP_WORDS = set(
     في من على هل ما إن لكنها كانت قال قرأ
     है की के का ने में को और यह था थी नहीं से क्या बहुत""".split()
 )
-SITE_TEXT = re.compile(
-    r"""(?ix)
+SITE_TEXT = Wording(
+    r"""
     ^(?:in\s+this\s+issue|new\s+comments|recent\s+comments|related\s+(?:stories|articles|posts|links)|more\s+from\s+this\s+(?:section|author|issue)|more\s+stories|tag\s+cloud|tags|archives?(?:\s+by\s+\w+)?
        |top\s+rated|most\s+(?:read|popular|viewed|commented|e-?mailed)(?:\s+\w+){0,3}|editor'?s?\s+picks?|you\s+(?:may|might)\s+also\s+(?:like|enjoy)|popular(?:\s+now)?|latest\s+(?:news|stories|articles)|categories|sections|navigation|menu|links|search)$
     | ©|&copy;|\bcopyright\b|\ball\s+rights\s+reserved\b | \bwithout\s+(?:the\s+)?(?:prior\s+)?written\s+permission\b | \breproduc(?:ed|tion)\b.{0,60}\b(?:permission|prohibited)\b
@@ -66,14 +67,6 @@ SITE_TEXT = re.compile(
     | ^(?:accepter|zustimmen|ablehnen|aceptar|rechazar|принять|j['’]accepte|learn\s+more|mehr\s+erfahren)[.!]?$
     """
 )
-#: A text without any of these has none of the wordings above; tested with the patterns themselves.
-SITE_SIGNS = (
-    "this issue", "comment", "related", "more ", "tag", "archive", "top", "most ", "editor", "also ", "popular", "latest", "categor", "section", "navigation", "menu", "link", "search",
-    "©", "&copy", "copyright", "rights", "permission", "prohibited", "cookie", "your device", "your computer", "small files", "privacy", "terms of", "accept", "choices", "advert", "back issues",
-    "those of", "subscribe", "newsletter", "sign up", "join ", "list is free", "enter your", "anzeige", "publicit", "publicidad", "реклама", "sponsor", "ad:", "ad :", "your ad", "coupon", "half price", "early",
-    "on sale", "entry free", "hotel", "bought", "powered", "made with", "follow us", "share", "print", "email", "e-mail", "rate ", "bookmark", "favo", "site map", "sitemap", "home", "visitor",
-    "last ", "previous", "next", "prev", "page ", "back", "log", "zustimmen", "ablehnen", "aceptar", "rechazar", "принять", "mehr erfahren", "j'", "j’",
-)
 READ_ON = re.compile(r"(?i)^\W*(?:more|full story|read (?:on|more|the rest|the full\b.*)|continue(?: reading)?|\.\.\.|…|weiter(?:lesen)?|lire la suite|leer más|далее|full article)\W*$")
 _ITEMS = re.compile(r"^[^.!?]{0,120}$")
 _SEPARATOR = re.compile(r"\s(?:\||·|•|::|/)\s")
@@ -91,8 +84,7 @@ SITE_WORDS = 45
 @lru_cache(maxsize=50_000)
 def _wording(text: str) -> str | None:
     """SITE or BAD by the wording of a short block, None when it decides nothing."""
-    low = text.lower()
-    if (any(k in low for k in SITE_SIGNS) or not any(c.isalpha() for c in text[:40])) and SITE_TEXT.search(text):
+    if SITE_TEXT.search(text):
         return SITE
     if (" | " in text or " / " in text or _SEPARATOR.search(text)) and _ITEMS.match(text) and not _END.search(text[-8:]):
         parts = _SEPARATOR.split(text)

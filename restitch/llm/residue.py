@@ -1,11 +1,13 @@
 """Problem 4: template residue and error-page text.
 
 Short visible blocks of pages are messages.  A prefix tree of fixed depth (number of
-words, first word, second word, then a list of templates compared word by word) mines
-the message templates of the whole table; every template is classified once, by the
-rules below, and its verdict reaches each page that shows a message of it.  Unfilled
-slots, and script errors printed into running text, are looked for separately inside
-all visible text of ordinary pages.
+words, first word, second and third word, one of LAST buckets of the last word, then a
+list of templates compared word by word) mines the message templates of the whole table.
+Every template is classified once: by its wording, or by its statistics, which are the
+number of pages that show it and on how many of them it is all there is to read; its
+verdict reaches each page that shows a message of it.  Unfilled slots, and script errors
+printed into running text, are looked for separately inside all visible text of ordinary
+pages.
 
 Plan: pages are parsed into (page, leaf key, message) rows; the distinct masked
 messages with their counts (map-side combine) are spread by leaf key and mined in one
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import re
 import re._parser as parser
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,11 +32,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from restitch.llm.pageblocks import blocks
+from restitch.llm.wording import Wording
 from restitch.session import spread, written
 
 #: Longer blocks reach the templates only by what is told in them: a sentence with a verdict, or filler.
 MESSAGE_WORDS = 40
 SIMILARITY = 0.7
+#: Buckets of the last word in the template tree: they split leaves that very many messages share.
+LAST = 64
+#: A template stands for a page without an article when at least so many pages of different articles show it and on
+#: this share of them it makes up most of the text.
+SPREAD, ALONE, MOST = 20, 0.9, 0.6
 WILD = "<*>"
 
 # Shapes of slots, server messages, notices and filler.  Dates and rows of page numbers are no filler;
@@ -66,6 +75,8 @@ _MESSAGES = {
         | ^go\s+back\s+and\s+try\s+another\s+link | ^index\s+of\s+/ | ^the\s+system\s+cannot\s+find\b | ^(?:an\s+)?(?:unexpected|unknown|fatal|application)\s+error\b | ^query\s+failed
         | ^(?:seite|artikel|datei)\s+(?:wurde\s+)?nicht\s+gefunden | ^p[áa]gina\s+n(?:o|ão)\s+encontrada | ^page\s+(?:non\s+trouvée|introuvable) | ^страница\s+не\s+найдена | ^la\s+p[áa]gina\s+.{0,30}no\s+existe
         | ^(?:页面|頁面|网页).{0,6}(?:未找到|不存在|找不到) | ^找不到.{0,6}(?:页面|网页|页|頁) | ページが?(?:は)?見つかりません | ^(?:ошибка|fehler|erreur|error)\s+[45]\d\d
+        | \b(?:angeforderte|gewünschte)\s+(?:seite|datei|url|artikel)\b.{0,60}\b(?:nicht|leider)\b | ^(?:la\s+)?page\s+(?:que\s+vous\s+)?(?:demandée?z?|cherchez|recherchée)\b.{0,60}\b(?:pas|plus|introuvable)\b
+        | \b(?:página|artículo|artigo)\s+(?:que\s+)?(?:solicitada|solicitado|busca|procura)\b.{0,60}\bn[oã]o?\b | \bзапрошенн\w+\s+(?:страниц|документ|файл)\w*\b.{0,60}\b(?:не|нет)\b
         | ^(?:η\s+)?σελίδα\s+δεν\s+βρέθηκε | ^الصفحة\s+غير\s+موجودة | ^ไม่พบหน้า""",
     "notice": r"""
         \b(?:enable|turn\s+on|switch\s+on|activate|requires?|needs?|allow)\b.{0,40}\b(?:java\s?scripts?|scripts?|scripting|cookies\s+in\s+your\s+browser)\b
@@ -83,36 +94,8 @@ _MESSAGES = {
         | ^(?:texto\s+de\s+(?:prueba|ejemplo|relleno)|hier\s+steht\s+(?:ein\s+)?(?:blindtext|beispieltext)|blindtext|texte\s+(?:de\s+remplissage|d['’]exemple|ici)|texto\s+de\s+exemplo|пример\s+текста|текст\s+для\s+заполнения|здесь\s+будет\s+текст|тестовый\s+текст|рыба\s+текст|测试文本|示例文本|ダミーテキスト|テストテスト)
         | ^(?:this\s+is\s+)?(?:a\s+)?(?:test|dummy)\s+(?:page|article|story)[.!]?$ | ^untitled(?:\s+document)?$ | ^new\s+page\s+\d+$""",
 }
-MESSAGES = {k: re.compile(r"(?ix)" + v + (" | " + _AGAIN if k == "filler" else "")) for k, v in _MESSAGES.items()}
-
-
-def required(tree) -> set[str]:  # noqa: ANN001 - a parsed pattern
-    """Lower-case strings of which every match of a pattern holds at least one; empty when none can be told."""
-    found: list[set[str]] = []
-    run = ""
-    for op, what in [*tree, (None, None)]:
-        if op is parser.LITERAL:
-            run += chr(what).lower()
-            continue
-        if run:
-            found.append({run})
-            run = ""
-        if op is parser.SUBPATTERN:
-            found.append(required(what[-1]))
-        elif op is parser.MAX_REPEAT and what[0] > 0:
-            found.append(required(what[2]))
-        elif op is parser.BRANCH:
-            each = [required(x) for x in what[1]]
-            found.append(set().union(*each) if all(each) else set())
-    return max((x for x in found if x), key=lambda x: min(map(len, x)), default=set())
-
-
-#: A text of plain characters without any of these has none of the shapes but _AGAIN.
-MESSAGE_SIGNS = {x for v in _MESSAGES.values() for x in required(parser.parse(r"(?ix)" + v))}
-MESSAGE_SIGNS = tuple(sorted(x for x in MESSAGE_SIGNS if not any(y != x and y in x for y in MESSAGE_SIGNS)))
-_NO_SIGN = {"filler": re.compile(r"(?ix)" + _AGAIN)}
-#: Characters that match another one without regard to case only where their lower-case forms are the same.
-_PLAIN = re.compile(r"[\x00-\x7f\xa0-\xff\u2010-\u2027]*")
+MESSAGES = {k: Wording(v + (" | " + _AGAIN if k == "filler" else "")) for k, v in _MESSAGES.items()}
+_AGAIN_ONLY = Wording(_AGAIN)
 LATIN_FILLER = set(
     """lorem ipsum dolor sit amet consectetur consectetuer adipiscing elit sed eiusmod tempor incididunt labore dolore magna aliqua enim minim veniam
     quis nostrud exercitation ullamco laboris nisi aliquip commodo consequat duis aute irure reprehenderit voluptate velit esse cillum fugiat nulla pariatur
@@ -142,9 +125,7 @@ def latin_filler(text: str) -> bool:
 @lru_cache(maxsize=50_000)
 def _shape(text: str, rest: int, start: int | None) -> str | None:
     """The class of a text that is its shape and at most ``rest`` characters, or at most ``start`` characters long and starts with it."""
-    low = text.lower()
-    signs = not _PLAIN.fullmatch(text) or any(x in low for x in MESSAGE_SIGNS)
-    for kind, rx in (MESSAGES if signs else _NO_SIGN).items():
+    for kind, rx in MESSAGES.items():
         m = rx.search(text)
         # a message is little more than its shape; a sentence about one is longer
         if m and (len(text) - (m.end() - m.start()) <= rest or m.start() == 0 and (start is None or len(text) <= start)) and not _quoted(text, m):
@@ -159,7 +140,7 @@ LONGEST = max(parser.parse(r"(?i)" + re.sub(r"\s+", "", v).replace(r"\s+", "[ ]"
 def whole(text: str, sentences: int) -> str | None:
     """The class of a block as a whole; its words stand one space apart."""
     if sentences > 1 and len(text) > LONGEST + 60:  # too long to be little more than another shape
-        kind = "filler" if _NO_SIGN["filler"].search(text) else None
+        kind = "filler" if _AGAIN_ONLY.search(text) else None
     else:
         kind = _shape(text, 60, None if sentences == 1 else 200)
     return kind or ("filler" if latin_filler(text) else None)
@@ -202,26 +183,29 @@ def mask(text: str) -> list[str]:
 
 
 class TemplateTree:
-    """Fixed depth: length, first word, second and third word, then templates."""
+    """Fixed depth: length, first word, second and third word, bucket of the last word, then templates."""
 
     def __init__(self, similarity: float = SIMILARITY) -> None:
         self.leaves: dict[tuple, list[dict]] = {}
         self.similarity = similarity
 
-    def add(self, words: list[str], example: str, n: int = 1) -> dict:
-        leaf = self.leaves.setdefault(leaf_key(words), [])
+    def add(self, words: list[str], example: str, n: int = 1, key: tuple | None = None, alone: int = 0, a0: float | None = None, a1: float | None = None) -> dict:
+        leaf = self.leaves.setdefault(key or leaf_key(words), [])
         best, score = None, -1.0
         for t in leaf:
             s = similar(t["words"], words)
             if s > score:
                 best, score = t, s
-        if best is not None and score >= self.similarity:
-            best["n"] += n
+        if best is None or score < self.similarity:
+            best = {"words": list(words), "example": example, "n": 0, "alone": 0, "a0": a0, "a1": a1}
+            leaf.append(best)
+        else:
             best["words"] = [a if a == b else WILD for a, b in zip(best["words"], words, strict=True)]
-            return best
-        new = {"words": list(words), "example": example, "n": n}
-        leaf.append(new)
-        return new
+            best["a0"] = min((x for x in (best["a0"], a0) if x is not None and x == x), default=None)  # noqa: PLR0124
+            best["a1"] = max((x for x in (best["a1"], a1) if x is not None and x == x), default=None)  # noqa: PLR0124
+        best["n"] += n
+        best["alone"] += alone
+        return best
 
     def templates(self) -> Iterator[tuple[tuple, dict]]:
         for key, leaf in self.leaves.items():
@@ -257,41 +241,62 @@ def _message(text: str) -> tuple[bool, str | None, str, int, str, str]:
     return (slot, " ".join(words), text, *leaf_key(words))
 
 
-def page_signals(page: str) -> tuple[bool, list[tuple[str, str, int, str, str]]]:
-    """(slot or script error in the visible text, its messages as (example, masked, length, first word, second word))."""
+def page_signals(page: str) -> tuple[bool, list[tuple[str, str, int, str, str, bool]]]:
+    """(slot or script error in the visible text, its messages as (example, masked, length, first word, next words, makes up most of the page))."""
     slot = False
     messages = []
-    for b in blocks(page):
+    bs = blocks(page)
+    total = sum(len(b.text) for b in bs if not b.form and b.link_in + b.link_out <= 0.5 * len(b.text))
+    for b in bs:
         s, masked, text, n, w1, w2 = _message(b.text)
         slot = slot or s
         if masked is not None and b.link_in + b.link_out <= 0.5 * len(b.text):
-            messages.append((text, masked, n, w1, w2))
+            messages.append((text, masked, n, w1, w2, len(b.text) >= MOST * total))
     return slot, messages
 
 
+def last_bucket(masked: str) -> int:
+    """The bucket of the last word; the same everywhere, so that it may be a key."""
+    return zlib.crc32(masked.rpartition(" ")[2].encode()) % LAST
+
+
 def message_rows(pages: DataFrame) -> DataFrame:
-    """(page_id, slot, n_words, w1, w2, masked, example); a page without messages has one row with null words."""
+    """(page_id, article_id, slot, n_words, w1, w2, last, masked, example, most); a page without messages has one row with null words."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for i, page in zip(pdf["page_id"], pdf["html"], strict=True):
+            rows: list[tuple] = []
+            for i, a, page in zip(pdf["page_id"], pdf["article_id"], pdf["html"], strict=True):
                 slot, messages = page_signals(page)
+                a = None if a != a else a  # noqa: PLR0124 - a missing number
                 if slot:
-                    rows.append((i, True, None, None, None, None, None))
-                rows += [(i, False, n, w1, w2, masked, text) for text, masked, n, w1, w2 in dict.fromkeys(messages)]
-            yield pd.DataFrame(rows, columns=["page_id", "slot", "n_words", "w1", "w2", "masked", "example"]).astype({"n_words": "Int32"})
+                    rows.append((i, a, True, None, None, None, None, None, None, None))
+                rows += [(i, a, False, n, w1, w2, last_bucket(masked), masked, text, most) for text, masked, n, w1, w2, most in dict.fromkeys(messages)]
+            out = pd.DataFrame(rows, columns=["page_id", "article_id", "slot", "n_words", "w1", "w2", "last", "masked", "example", "most"])
+            yield out.astype({"article_id": "Int64", "n_words": "Int32", "last": "Int32", "most": "boolean"})
+
+    article = F.col("article_id") if "article_id" in pages.columns else F.lit(None)
+    rows = spread(pages.select("page_id", article.cast("bigint").alias("article_id"), "html").where("html is not null and page_id is not null"), "page_id")
+    return rows.mapInPandas(
+        run, "page_id bigint, article_id bigint, slot boolean, n_words int, w1 string, w2 string, last int, masked string, example string, most boolean"
+    )
+
 
-    rows = spread(pages.select("page_id", "html").where("html is not null and page_id is not null"), "page_id")
-    return rows.mapInPandas(run, "page_id bigint, slot boolean, n_words int, w1 string, w2 string, masked string, example string")
+def template_verdict(example: str, n: int, alone: int, spread_out: bool) -> str | None:
+    """The class of a template: that of its wording, else 'page' when it stands alone on many pages of different articles."""
+    return verdict(example) or ("page" if spread_out and n >= SPREAD and alone >= ALONE * n else None)
 
 
 def templates(rows: DataFrame) -> DataFrame:
-    """(n_words, w1, w2, template, n, verdict) mined from message rows; verdict is null for ordinary text."""
+    """(n_words, w1, w2, last, template, n, verdict) mined from message rows; verdict is null for ordinary text."""
+    key = ("n_words", "w1", "w2", "last")
     distinct = (
-        rows.where("masked is not null").groupBy("n_words", "w1", "w2", "masked")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("example").alias("example"))
-        .repartition("n_words", "w1", "w2").sortWithinPartitions("n_words", "w1", "w2", "masked")
+        rows.where("masked is not null").groupBy(*key, "masked")
+        .agg(
+            F.count(F.lit(1)).alias("n"), F.min("example").alias("example"), F.count_if("most").alias("alone"),
+            F.min("article_id").alias("a0"), F.max("article_id").alias("a1"),
+        )
+        .repartition(*key).sortWithinPartitions(*key, "masked")
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -299,34 +304,35 @@ def templates(rows: DataFrame) -> DataFrame:
         last: tuple | None = None
 
         def out() -> pd.DataFrame:
-            got = [(k[0], k[1], k[2], " ".join(t["words"]), t["n"], verdict(t["example"])) for k, t in tree.templates()]
-            return pd.DataFrame(got, columns=["n_words", "w1", "w2", "template", "n", "verdict"])
+            got = [(*k, " ".join(t["words"]), t["n"], template_verdict(t["example"], t["n"], t["alone"], t["a0"] != t["a1"])) for k, t in tree.templates()]
+            return pd.DataFrame(got, columns=[*key, "template", "n", "verdict"])
 
         for pdf in batches:
-            for n, w1, w2, masked, count, example in zip(*(pdf[c] for c in ("n_words", "w1", "w2", "masked", "n", "example")), strict=True):
-                key = (n, w1, w2)
-                if key != last and len(tree.leaves) > 5000:  # rows are sorted by leaf: finished leaves can go
+            for n, w1, w2, bucket, masked, count, example, alone, a0, a1 in zip(*(pdf[c] for c in (*key, "masked", "n", "example", "alone", "a0", "a1")), strict=True):
+                at = (n, w1, w2, bucket)
+                if at != last and len(tree.leaves) > 5000:  # rows are sorted by leaf: finished leaves can go
                     yield out()
                     tree.leaves.clear()
-                last = key
-                tree.add(masked.split(" "), example, int(count))
+                last = at
+                tree.add(masked.split(" "), example, int(count), at, int(alone), a0, a1)
         yield out()
 
-    return distinct.mapInPandas(run, "n_words int, w1 string, w2 string, template string, n bigint, verdict string")
+    return distinct.mapInPandas(run, "n_words int, w1 string, w2 string, last int, template string, n bigint, verdict string")
 
 
 def judged(pages: DataFrame) -> DataFrame:
     """(page_id, verdict): every page with residue and the least of its verdicts by name ('slot' for slots)."""
     rows = written(message_rows(pages))
-    bad = templates(rows).where("verdict is not null").select("n_words", "w1", "w2", "template", "verdict")
+    bad = templates(rows).where("verdict is not null").select("n_words", "w1", "w2", "last", "template", "verdict")
 
     @F.pandas_udf("boolean")
     def fits(template: pd.Series, masked: pd.Series) -> pd.Series:
         return pd.Series([similar(t.split(" "), m.split(" ")) >= SIMILARITY for t, m in zip(template, masked, strict=True)], dtype=bool)
 
+    # a template found by its statistics is the verdict only of pages on which it stands alone
     hits = (
-        rows.where("masked is not null").join(bad, ["n_words", "w1", "w2"])
-        .where(fits("template", "masked")).select("page_id", "verdict")
+        rows.where("masked is not null").join(bad, ["n_words", "w1", "w2", "last"])
+        .where((F.col("verdict") != "page") | F.col("most")).where(fits("template", "masked")).select("page_id", "verdict")
     )
     slots = rows.where("slot").select("page_id", F.lit("slot").alias("verdict"))
     return hits.unionByName(slots).groupBy("page_id").agg(F.min("verdict").alias("verdict"))

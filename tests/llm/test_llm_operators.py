@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -256,12 +257,26 @@ def test_long_site_text_is_no_article(block):
     assert maincontent.article_lines(page) == [2, 4]
 
 
+_WHOLE = {k: re.compile("(?ix)" + "|".join(p.pattern.removeprefix("(?ix)") for p in w.parts)) for k, w in residue.MESSAGES.items()}
+
+
 @settings(max_examples=400, deadline=None)
-@given(st.sampled_from(sorted(residue._MESSAGES)).flatmap(lambda k: st.from_regex(r"(?ix)" + residue._MESSAGES[k])))
-def test_each_message_shape_has_a_sign(text):
-    text = " ".join(text.split())
-    if any(rx.search(text) for rx in residue.MESSAGES.values()):
-        assert not residue._PLAIN.fullmatch(text) or any(x in text.lower() for x in residue.MESSAGE_SIGNS) or residue._NO_SIGN["filler"].search(text)
+@given(st.sampled_from(sorted(residue._MESSAGES)).flatmap(lambda k: st.from_regex(r"(?ix)" + residue._MESSAGES[k])), st.sampled_from(["", "sorry, ", "page "]))
+def test_indexed_wordings_equal_whole_patterns(text, before):
+    text = before + " ".join(text.split())
+    for k, w in residue.MESSAGES.items():
+        a, b = w.search(text), _WHOLE[k].search(text)
+        assert (a and a.span()) == (b and b.span())
+
+
+def test_template_statistics(spark):
+    """A text that is all there is on pages of many articles is no article, in whatever language; the same text beside an article is none."""
+    alone = "<html><body><p>Kérjük, térjen vissza később, dolgozunk</p></body></html>"
+    pages = [(i, i, alone) for i in range(1, 31)] + [(i, i, f"<html><body><p>{PROSE} {i}</p><p>Kérjük, térjen vissza később, dolgozunk</p></body></html>") for i in range(31, 33)]
+    same = [(i, 7, "<html><body><p>Tiny caption of one picture, shown again and again</p></body></html>") for i in range(40, 70)]  # one article, delivered again
+    p = spark.createDataFrame(pages + same + [(99, None, None)], "page_id bigint, article_id bigint, html string")
+    assert {r.page_id for r in residue.found(p).collect()} == set(range(1, 31))
+    assert residue.verdict("Die angeforderte Seite konnte leider nicht geladen werden.") == "server"
 
 
 def test_each_shape_of_a_script_error_has_a_sign():
