@@ -48,11 +48,10 @@ def thresholds(mean: float, cap: int) -> list[float]:
         return [2.0] * cap
     if math.isinf(mean):
         return [0.0] * cap
-    out, p, total = [], math.exp(-mean), 0.0
-    for k in range(cap):
-        total += p
-        out.append(total)
-        p *= mean / (k + 1)
+    out, total = [], 0.0
+    for k in range(cap):  # logarithms, as the first terms of a large mean vanish otherwise
+        total += math.exp(k * math.log(mean) - mean - math.lgamma(k + 1))
+        out.append(min(total, 1.0))
     return out
 
 
@@ -69,7 +68,7 @@ def solve(buckets: list[tuple[float, int]], cap: int, goal: float) -> float:
         return sum(n * sum(u >= t for t in ts) for u, n in buckets)
 
     lo, hi = 0.0, 1.0
-    while got(hi) < goal and hi < 600:
+    while got(hi) < goal:  # ends, as the goal is less than every document at its cap
         hi *= 2
     for _ in range(60):
         mid = (lo + hi) / 2
@@ -80,20 +79,23 @@ def solve(buckets: list[tuple[float, int]], cap: int, goal: float) -> float:
 class Mix:
     def __init__(self, documents: DataFrame, targets: DataFrame, seed: int = SEED, **tokenizer: object) -> None:
         self.seed = seed
-        sized = encode(documents.where("source is not null and doc_id is not null"), counts_only=True, keep=("source",), **tokenizer)
-        self.sized = written(sized.where("n_tokens > 0").withColumn("u", unit("doc_id", seed=seed)))
         self.targets = {
             r["source"]: (max(0.0, r["target_share"] or 0.0), max(0, 1 if r["max_repeats"] is None else r["max_repeats"]))
             for r in targets.where("source is not null").select("source", "target_share", "max_repeats").collect()  # one row per source, a configuration
         }
+        # only documents of a source with a target are tokenised
+        wanted = documents.where(F.col("doc_id").isNotNull() & F.col("source").isin(list(self.targets) or [""]))
+        sized = encode(wanted, counts_only=True, keep=("source",), **tokenizer)
+        self.sized = written(sized.where("n_tokens > 0").withColumn("u", unit("doc_id", seed=seed)))
         rows = (
-            self.sized.where(F.col("source").isin(list(self.targets) or [""]))
-            .groupBy("source", F.floor(F.col("u") * BUCKETS).cast("int").alias("b")).agg(F.sum("n_tokens").alias("n")).collect()
+            self.sized.groupBy("source", F.floor(F.col("u") * BUCKETS).cast("int").alias("b")).agg(F.sum("n_tokens").alias("n")).collect()
         )
         by: dict[str, list[tuple[float, int]]] = {s: [] for s in self.targets}
         for r in rows:
             by[r["source"]].append(((r["b"] + 0.5) / BUCKETS, r["n"]))
         self.tokens = {s: sum(n for _, n in v) for s, v in by.items()}
+        #: A mean moves the tokens of a source by whole buckets, one copy at a time: this is the most that a share can miss by.
+        self.coarsest = {s: max((n for _, n in v), default=0) for s, v in by.items()}
         usable = [s for s, (share, cap) in self.targets.items() if share > 0 and cap > 0 and self.tokens[s] > 0]
         self.size = min((self.tokens[s] * self.targets[s][1] / self.targets[s][0] for s in usable), default=0.0)
         self.means = {s: solve(by[s], self.targets[s][1], self.size * self.targets[s][0]) if s in usable else 0.0 for s in self.targets}
@@ -119,11 +121,20 @@ class Mix:
         )
 
     def shares(self) -> DataFrame:
-        """(source, target_share, max_repeats, tokens, mean_repeats, docs_used, most_copies, mixed_tokens, actual_share) per target source."""
+        """(source, target_share, max_repeats, tokens, mean_repeats, docs_used, most_copies, mixed_tokens, actual_share, deviation, bound) per target source.
+
+        deviation is what the actual share misses the target by, the targets scaled to the sources that have
+        tokens; bound the most it may: all sources off by their coarsest bucket, and rounding inside a bucket.
+        """
         spark = self.sized.sparkSession
+        usable = sum(share for s, (share, _) in self.targets.items() if self.means[s] > 0) or 1.0
+        bound = min(1.0, 2 * sum(self.coarsest[s] * max(1, self.targets[s][1]) for s in self.targets if self.means[s] > 0) / self.size) if self.size else 0.0
         known = spark.createDataFrame(
-            [(s, share, cap, self.tokens[s], self.size * share / self.tokens[s] if self.tokens[s] else 0.0) for s, (share, cap) in self.targets.items()],
-            "source string, target_share double, max_repeats int, tokens bigint, mean_repeats double",
+            [
+                (s, share, cap, self.tokens[s], self.size * share / self.tokens[s] if self.tokens[s] else 0.0, share / usable if self.means[s] > 0 else 0.0, bound)
+                for s, (share, cap) in self.targets.items()
+            ],
+            "source string, target_share double, max_repeats int, tokens bigint, mean_repeats double, scaled double, bound double",
         )
         used = self.drawn().groupBy("source").agg(
             F.count(F.lit(1)).alias("docs_used"), F.max("n_copies").alias("most_copies"), F.sum(F.col("n_copies") * F.col("n_tokens")).alias("mixed_tokens")
@@ -135,5 +146,6 @@ class Mix:
                 "source", "target_share", "max_repeats", "tokens", "mean_repeats", F.coalesce("docs_used", F.lit(0)).alias("docs_used"),
                 F.coalesce("most_copies", F.lit(0)).alias("most_copies"), F.coalesce("mixed_tokens", F.lit(0)).alias("mixed_tokens"),
                 F.coalesce(F.col("mixed_tokens") / F.col("all_tokens"), F.lit(0.0)).alias("actual_share"),
+                (F.coalesce(F.col("mixed_tokens") / F.col("all_tokens"), F.lit(0.0)) - F.col("scaled")).alias("deviation"), "bound",
             )
         )

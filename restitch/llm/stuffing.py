@@ -6,8 +6,8 @@ per feature: links, repeated words, function words, tag and list marks.  A hidde
 Markov model with the states prose, link list, tag list and menu reads the sequence;
 its tables are counted from the labelled lines below, which a seeded generator fills
 with its own words, with add-one smoothing.  Viterbi decoding labels the lines, and a
-record is flagged when its words outside prose are a large enough share of a field or
-number at least MANY_WORDS.
+record is flagged when its words outside prose are a large enough share of a field, or
+stand in one run of at least CARRIED words, as a list carried by a long text does.
 
 Defined results: null and empty fields have no lines; a record without any line is no
 case; whole texts are read; repeated rows are judged one by one.
@@ -29,24 +29,25 @@ from restitch.session import spread
 
 STATES = ("prose", "links", "tags", "menu")
 #: A field is stuffed from this share of words outside prose on, if they are at least FEW_WORDS.
-SHARE = 0.6
+SHARE = 0.38
 FEW_WORDS = 3
-MANY_WORDS = 8
+#: A text carries a list, however long the prose around it, when so many words outside prose follow one another.
+CARRIED = 24
 
 # Function words of the languages in use.
 FUNCTION_WORDS = set(
     """a an the and or but if of to in on at by for from with as is are was were be been it its this that these those
     i you he she we they me my your his her our their not no so do does did has have had who what when where how there
     can could would will just than then too very one more most still
-    über alles am uhr gegen gibt sagte sie fand blieb bis der die das und oder aber ein eine einen dem den des im am vom zum ist war nicht mit von zu für auf wir ich sie er es so
+    über am gegen bis alles alle etwas nichts hier dort der die das und oder aber ein eine einen dem den des im am vom zum ist war nicht mit von zu für auf wir ich sie er es so
     le la les un une des du de et ou est était pas que qui dans sur pour avec ce cette il elle au aux à depuis malgré
     el los las y o es que por una con del al se no su según lo más en muy
     os um uma do da dos das e é em que não por com para você já ou
     и в не на что это был была он она мы вы я как с по из у за от до так его её но к
     και το η ο των της του δεν να που με είναι για τα την τον αλλά
-    في من على هل ما إن لكنها كانت قال قرأ
-    этот эта эти моя вчера такой слишком после сказала
-    quel quelle très trop elle vraiment déjà vers cet qué dijo ella esta este según quién você minha muito ninguém bis
+    في من على هل ما إن لكنها كانت
+    этот эта эти моя такой слишком после только уже все или если чтобы
+    quel quelle très trop elle vraiment déjà vers cet qué ella esta este quién cuando donde sobre sin você minha meu muito ninguém quando onde sem
     है की के का ने में को और यह था थी नहीं से क्या""".split()
 )
 NUMBER_WORDS = set("zero one two three four five six seven eight nine".split())
@@ -103,30 +104,45 @@ def words_of(line: str) -> tuple[list[str], int]:
     return [w for w in words if w not in NUMBER_WORDS and not w.isdigit()], links
 
 
-def separators(line: str) -> int:
+def shown_forms(line: str) -> tuple[str, str]:
+    """The line without tags, and without tags and links."""
+    marked = "<" in line or "[" in line
+    bare = _TAGS.sub(" ", line) if marked else line
+    if marked or "(" in line or "/" in line or "www" in line.lower():
+        return bare, _TAGS.sub(" ", _LINK.sub(" ", line))
+    return bare, bare
+
+
+_OTHER_SEPARATOR, _COMMA = re.compile(r"[|;/]|\s-\s|\]\s*\["), re.compile(r"[,、，]")
+
+
+def separators(shown: str) -> int:
     """0 without repeated separators, 1 with commas, 2 with others."""
-    shown = _TAGS.sub(" ", _LINK.sub(" ", line))
-    if len(re.findall(r"[|;/]|\s-\s|\]\s*\[", shown)) >= 2:
+    if len(_OTHER_SEPARATOR.findall(shown)) >= 2:
         return 2
-    return int(len(re.findall(r"[,、，]", shown)) >= 2)
+    return int(len(_COMMA.findall(shown)) >= 2)
 
 
-def capitals(line: str) -> int:
+def capitals(shown: str) -> int:
     """0 few, 1 some, 2 most words begin with a capital; 3 all letters are capitals."""
-    shown = _TAGS.sub(" ", _LINK.sub(" ", line))
     if shown.isupper():
         return 3
-    words = [w for w in shown.split() if w[:1].isalpha()]
-    return _level(sum(w[:1].isupper() for w in words) / max(len(words), 1), (0.15, 0.6))
+    words = big = 0
+    for w in shown.split():
+        if w[0].isalpha():
+            words += 1
+            big += w[0].isupper()
+    return _level(big / max(words, 1), (0.15, 0.6))
 
 
-def sentence_shape(line: str) -> bool:
+def sentence_shape(bare: str) -> bool:
     """Starts and ends as a sentence does, and is not in capitals throughout."""
-    shown = _TAGS.sub(" ", line).strip()
+    shown = bare.strip()
     first = shown.lstrip("\"'“‘«¡¿([「")[:1]
-    begins = first.isupper() or bool(_CJK.match(first))
-    capitals = sum(w[:1].isupper() for w in shown.split())
-    return begins and shown[-1:] in ".!?…。！？\"”’»)」" and (bool(_CJK.search(shown)) or capitals < 0.7 * len(shown.split()))
+    if not (first.isupper() or _CJK.match(first)) or shown[-1:] not in tuple(".!?…。！？\"”’»)」"):
+        return False
+    words = shown.split()
+    return bool(_CJK.search(shown)) or sum(w[0].isupper() for w in words) < 0.7 * len(words)
 
 
 @lru_cache(maxsize=200_000)
@@ -154,13 +170,14 @@ class Line:
         self.content = tuple(k[0] for k in known if k[3])
         self.function = sum(k[2] for k in known) / n
         self.long_words = sum(k[4] for k in known)
-        self.shape = sentence_shape(text)
-        marks = len(_MARK.findall(_TAGS.sub(" ", text)))
+        bare, shown = shown_forms(text)
+        self.shape = sentence_shape(bare)
+        marks = len(_MARK.findall(bare))
         repeat = 1 - len({k[0] for k in known}) / self.n if self.n else 0.0
         self.fixed = (
             2 if links >= 3 else min(links, 1), _level(links / (self.n + links) if self.n + links else 0, (0.15, 0.45)), _level(repeat, (0.15, 0.4)),
             _level(sum(w in SALES_WORDS for w in words) / n, (0.05, 0.2)), _level(sum(w[0] == "#" for w in words) / n, (0.2,)),
-            _level(self.n, (2, 7, 12)) * 3 + _level(marks / n, (0.1, 0.3)), separators(text) * 4 + capitals(text),
+            _level(self.n, (2, 7, 12)) * 3 + _level(marks / n, (0.1, 0.3)), separators(shown) * 4 + capitals(shown),
         )
 
 
@@ -267,14 +284,14 @@ def labelled_records(seed: int = 11, size: int = 3000) -> list[list[tuple[str, t
         return s
 
     def again() -> list[str]:
-        """Lines that differ in a word or two."""
+        """Lines that differ in a word or two, as people write who repeat themselves."""
         shape = r.choice(
-            ["Thanks for this. My {0} has never been so {1}.", "can't believe you forgot the {0}!", "sounds like the {0} has not changed since the {1}.",
-             "I liked the {0}, but the {1} was better.", "¡Qué noche en el {0}!", "Quel {0} !", "« C’est {0} », dit-elle.", "Это был {0} {1}!", "«Он слишком {0}», — сказала она.",
-             "{0} пришёл вчера…", "El {0} miró el {1} y sonrió.", "Você já viu o {0}?", "That {0} photo is not fair…", "does anyone know if {0} are still playing?",
-             "the {0} on the corner is better, trust me.", "Der {0} war im {1} so laut.", "你的{0}很好。", "この{0}はとても静かだ。", "no {0}", "Dr. {1} schrieb am 3. Mai über {0}, {1} usw. in {0}.", "Der {0} lachte am Wochenende!", "Осенью {0} {1}, и {0} поздно.",
-             "{0} любит этот {1}.", "Почему {0} такой {1}?", "Осенью мы слушали {0}, и {1} закончился поздно.", "{0} recorded it in four days above a {1} shop, last winter.",
-             "who took the {0}? they're {1}...", "门票是{0}，饮料另算。", "My favorite part was when {0} tuned the piano.", "You should review {0} next, they play {1} every week."])
+            ["We walked past the {0} and nobody had seen the {1}.", "is the {0} open on sundays?", "my {0} and my {1} are still waiting...", "I would rather have the {0}, thank you!", "Where did you find that {0}?", "no more {0}",
+             "the {0} of my aunt was better, really.", "Please bring back the {0}! We miss it.", "“The {0} is late,” he said.", "{0} came first, then the {1}, and then it rained.", "I have a {0}, you have a {1}.", "not a word about the {0}…",
+             "Wir haben den {0} gesehen, aber nicht den {1}.", "Warum ist der {0} so teuer?", "Mein {0} hat um 9 Uhr noch geschlafen, usw.", "Am Montag kam der {0} zu spät!",
+             "J’ai perdu mon {0} dans la {1}.", "Où est le {0} ? Il est parti.", "« Pas de {0} », a dit ma mère.", "Quelle {0} !", "El {0} de mi hermana no funciona.", "¿Dónde está el {0}?", "¡Otra vez el {0}!", "No me gusta el {0}, pero sí el {1}.",
+             "O {0} do meu pai é velho.", "Quem comprou o {0}?", "Мы видели {0} и не видели {1}.", "Где мой {0}? Он был здесь.", "«Нет, {0} мой», — ответил он.", "Утром {0} был дома…", "我的{0}在哪里？", "他们没有{0}。", "私の{0}はどこですか。", "この{0}が好きだ。",
+             "Dr. {1} wrote about {0}, {1}, etc. in May.", "Nobody asked for the {0}: we did.", "Two {0}s, one {1}, no ticket.", "does the {0} still work?"])
         return [shape.format(r.choice(nouns), r.choice(nouns)) for _ in range(r.randint(2, 5))]
 
     def few() -> list[str]:
@@ -335,7 +352,7 @@ def labelled_records(seed: int = 11, size: int = 3000) -> list[list[tuple[str, t
                 continue
             made = makers[state]() if field == "text" or state != "prose" else r.choice(
                 ["anna", "old friend", "wow", "re: the picture", "nice photos", "karl", "Karl Anders", "who is The Late Trains?", "your review of Sad Pilots",
-                 "question about the Green Door", "anna (anna@oldpost.example.org)", "karl 2 555 0188", "karl two five five five zero one eight eight", "vraiment belle soirée"])
+                 "question about the Green Door", "a question about the North Harbor Hall", "question about the Low Bridge Chapel", "anna (anna@oldpost.example.org)", "karl 2 555 0188", "karl two five five five zero one eight eight", "vraiment belle soirée"])
             if r.random() < 0.1:
                 made = r.choice([str.upper, str.title])(made)
             values[field].append((state, made))
@@ -372,25 +389,38 @@ class LineModel:
         self.start = np.log(start / start.sum())
         self.step = np.log(step / step.sum(1, keepdims=True))
         self.emit = [np.log(e / e.sum(1, keepdims=True)) for e in emit]
-        self.seen: dict[tuple[int, ...], np.ndarray] = {}
+        self.starts, self.steps = [float(x) for x in self.start], [[float(x) for x in row] for row in self.step]
+        self.seen: dict[tuple[int, ...], tuple[float, ...]] = {}
 
-    def scores(self, sym: tuple[int, ...]) -> np.ndarray:
-        if sym not in self.seen:
-            self.seen[sym] = sum(e[:, v] for e, v in zip(self.emit, sym, strict=True))
-        return self.seen[sym]
+    def scores(self, sym: tuple[int, ...]) -> tuple[float, ...]:
+        got = self.seen.get(sym)
+        if got is None:
+            got = self.seen[sym] = tuple(float(x) for x in sum(e[:, v] for e, v in zip(self.emit, sym, strict=True)))
+        return got
 
     def decode(self, seq: list[tuple[int, ...]]) -> list[int]:
+        """The likeliest states; plain numbers, as arrays of four states cost more than they save."""
         if not seq:
             return []
-        v = self.start + self.scores(seq[0])
+        step, k = self.steps, len(STATES)
+        v = [a + b for a, b in zip(self.starts, self.scores(seq[0]), strict=True)]
         back = []
         for sym in seq[1:]:
-            m = v[:, None] + self.step
-            back.append(m.argmax(0))
-            v = m.max(0) + self.scores(sym)
-        path = [int(v.argmax())]
-        for b in reversed(back):
-            path.append(int(b[path[-1]]))
+            emit = self.scores(sym)
+            new, came = [], []
+            for s in range(k):
+                best, at = v[0] + step[0][s], 0
+                for p in range(1, k):
+                    x = v[p] + step[p][s]
+                    if x > best:
+                        best, at = x, p
+                new.append(best + emit[s])
+                came.append(at)
+            v = new
+            back.append(came)
+        path = [v.index(max(v))]
+        for came in reversed(back):
+            path.append(came[path[-1]])
         return path[::-1]
 
 
@@ -411,10 +441,14 @@ def judge(name: str | None, subject: str | None, text: str | None, model: LineMo
     path = (model or line_model()).decode([s for _, _, s in seen])
     total: Counter = Counter()
     other: Counter = Counter()
+    run: Counter = Counter()
+    longest = 0
     for (field, n, _), s in zip(seen, path, strict=True):
         total[field] += n
         other[field] += n if s else 0
-    flagged = any(other[f] >= FEW_WORDS and other[f] >= SHARE * total[f] for f in total) or sum(other.values()) >= MANY_WORDS
+        run[field] = run[field] + n if s else 0
+        longest = max(longest, run[field])
+    flagged = any(other[f] >= FEW_WORDS and other[f] >= SHARE * total[f] for f in total) or longest >= CARRIED
     return flagged, sum(other.values()) / sum(total.values()), " ".join(STATES[s] for s in path)
 
 

@@ -320,6 +320,28 @@ def test_stuffing(spark):
     assert stuffing.judged(c).count() == len(rows) and stuffing.found(c.limit(0)).count() == 0
 
 
+def test_shares_decide_and_carried_lists_are_found():
+    prose = "I went to the river with my brother and we talked about the old house until it was dark. " * 12
+    few = "curtain rods, pool tables, used trucks, tent rental"
+    many = ", ".join(["curtain rods", "pool tables", "used trucks", "tent rental", "gold coins", "cigar box"] * 6)
+    assert not stuffing.judge("anna", "a walk", prose + few)[0]
+    assert stuffing.judge("anna", "a walk", prose + "\n" + many)[0] and stuffing.judge("anna", "a walk", many)[0]
+
+
+def test_decoding_equals_enumeration():
+    import itertools
+
+    model = stuffing.line_model()
+    seq = [s for _, _, s in stuffing.observe("anna", "cheap tents", "We met in the evening. buy tents tents tents online tents")]
+    def score(path):
+        total = model.start[path[0]] + model.scores(seq[0])[path[0]]
+        for a, b, sym in zip(path, path[1:], seq[1:], strict=False):
+            total += model.step[a, b] + model.scores(sym)[b]
+        return total
+    best = max(itertools.product(range(4), repeat=len(seq)), key=score)
+    assert abs(score(model.decode(seq)) - score(best)) < 1e-9
+
+
 # ---------------------------------------------------------------- 6
 
 
@@ -475,6 +497,12 @@ def test_long_merges_equal_short_ones():
         assert w in ranks or tokens._merge_long(parts, ranks) == tokens.merge_by_rank(w, ranks)
 
 
+def test_poisson_thresholds_of_large_means():
+    t = mixing.thresholds(2000.0, 2100)
+    assert t == sorted(t) and t[0] < 1e-300 and abs(t[2000] - 0.5) < 0.02 and t[-1] > 0.98
+    assert mixing.solve([(0.5, 10)], 5000, 10 * 4000.0) > 3900
+
+
 def test_poisson_inverse():
     import math
 
