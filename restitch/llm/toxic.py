@@ -3,8 +3,8 @@
 A linear-chain conditional random field with the labels harmless and toxic tags the
 words of each sentence.  Its features are hashes of the word, its neighbours and pairs
 of them, after disguises are undone (letters for digits and signs, stretched and split
-words, asterisks).  It is trained on the labelled sentences of toxic_examples.py, a
-fixed and bounded set, in a few seconds.  Forward-backward marginals give each word's
+words, asterisks).  It is trained on the labelled sentences of toxic_examples.py and
+toxic_more.py, a fixed and bounded set, in some twenty seconds.  Forward-backward marginals give each word's
 probability; runs of likely words are spans with source offsets, and a document's score
 is the chance that at least one of its spans is toxic.
 
@@ -27,16 +27,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from restitch.llm.pageblocks import blocks
+from restitch.llm import toxic_more
 from restitch.llm.toxic_examples import ABUSIVE, HARMLESS, SLOTS
 from restitch.session import spread
 
-BITS = 21
+BITS = 22
+#: Weights below this size are dropped after training: they say little, and words never seen may share their places.
+LEAST_WEIGHT = 0.3
 #: Words of a training sentence; longer ones are cut. Texts are tagged in whole sentences, in batches of CELLS words.
 SEQUENCE = 64
 CELLS = 2048 * SEQUENCE
 WORD_P = 0.4
 SPAN_SCORE = 0.9
-DOCUMENT_SCORE = 0.6
+DOCUMENT_SCORE = 0.5
 # Signs that stand for letters, and words that asterisks usually hide.
 SIGNS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "€": "e", "+": "t", "|": "l"})
 HIDDEN = "shit fuck fucked fucking bitch asshole cock dick pussy cunt slut whore bastard tits ass nude cum".split()
@@ -156,7 +159,7 @@ class Tagger:
             pairs += (np.exp(x) * mask[:, t, None, None]).sum(0)
         return p, pairs
 
-    def train(self, seqs: list[tuple[list[int], list[int]]], epochs: int = 14, batch: int = 64, rate: float = 0.35, decay: float = 2e-5, seed: int = 5) -> Tagger:
+    def train(self, seqs: list[tuple[list[int], list[int]]], epochs: int = 10, batch: int = 96, rate: float = 0.35, decay: float = 2e-5, seed: int = 5) -> Tagger:
         rng = np.random.default_rng(seed)
         g2 = np.full(1 << BITS, 1e-2, dtype=np.float32)
         s2 = np.full((2, 2), 1.0)
@@ -187,11 +190,12 @@ class Tagger:
                 ds = seen - pairs
                 s2 += ds**2
                 self.step += rate * ds / np.sqrt(s2)
+        self.w[np.abs(self.w) < LEAST_WEIGHT] = 0.0
         return self
 
 
 _SLOT = re.compile(r"\{(\w+)\}")
-_LISTS = {k: [x.strip() for x in v.split("|")] for k, v in SLOTS.items()}
+_LISTS = {k: [x.strip() for x in v.split("|")] for k, v in {**SLOTS, **toxic_more.SLOTS}.items()}
 
 
 def _disguised(word: str, r: random.Random) -> str:
@@ -206,7 +210,7 @@ def _disguised(word: str, r: random.Random) -> str:
     return word[:i] + word[i] * 3 + word[i + 1 :]
 
 
-def examples(seed: int = 3, per_line: int = 14) -> list[tuple[list[int], list[int]]]:
+def examples(seed: int = 3, per_line: int = 12) -> list[tuple[list[int], list[int]]]:
     """Sequences of word hashes and labels; abusive and harmless sentences are also strung together."""
     r = random.Random(seed)
 
@@ -223,9 +227,9 @@ def examples(seed: int = 3, per_line: int = 14) -> list[tuple[list[int], list[in
                 out.append((plain(w), i % 2))
         return out
 
-    bad = [x for x in ABUSIVE.strip().split("\n") if x.strip()]
-    bad += 2 * [x for x in bad if "{insult}" in x]  # their slot has many fillings
-    good = [x.replace("«", '"').replace("»", '"') for x in HARMLESS.strip().split("\n") if x.strip()]
+    bad = [x for x in (ABUSIVE + toxic_more.ABUSIVE).split("\n") if x.strip()]
+    bad += 2 * [x for x in bad if re.search(r"\{(?:insult|rude|folk|de|fr|es|pt|ru|it|zh|ja)\}", x)]  # their slots have many fillings
+    good = [x.replace("«", '"').replace("»", '"') for x in (HARMLESS + toxic_more.HARMLESS).split("\n") if x.strip()]
     seqs = []
     for _ in range(per_line):
         for line in [*bad, *good, *good]:

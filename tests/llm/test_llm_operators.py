@@ -139,6 +139,18 @@ def test_toxic_spans_and_scores(spark):
     assert rates["pages", "s"].rate == 0.5 and rates["pages", ""].n == 1
 
 
+def test_sentences_held_out_of_training():
+    """Sentences in six languages that are no training lines: nine of ten abusive ones are found, few harmless ones."""
+    from tests.llm import heldout
+
+    lines = {re.sub(r"[«»{}]", "", x).strip().lower() for x in (toxic.ABUSIVE + toxic.HARMLESS + toxic.toxic_more.ABUSIVE + toxic.toxic_more.HARMLESS).split("\n")}
+    assert not lines & {x.lower() for x in heldout.ABUSIVE + heldout.HARMLESS}
+    scorer = toxic.Scorer(toxic.tagger())
+    bad = [g[0] >= toxic.DOCUMENT_SCORE for g in scorer.score(heldout.ABUSIVE)]
+    good = [g[0] >= toxic.DOCUMENT_SCORE for g in scorer.score(heldout.HARMLESS)]
+    assert sum(bad) >= 0.9 * len(bad) and sum(good) <= 2, (sum(bad), sum(good))
+
+
 def test_marginals_equal_enumeration():
     import itertools
 
