@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from restitch.functions.text import tidy
-from restitch.operators import audits, catalog, comments, editorial, malware, manifest, mirror, pages, publish
+from restitch.operators import audits, catalog, comments, editorial, malware, manifest, mirror, pages, publish, site
 from restitch.plans import sql, sql_more
 from restitch.session import table
 
@@ -83,6 +83,13 @@ def queries() -> dict[str, Query]:
         "event_views": _over(catalog.event_views, "events"),
         "frame_issues": _over(catalog.frame_issues, "frames", "issues"),
         "issue_colors": _over(catalog.canonical_colors, "issues"),
+        "internal_pages": _over(site.internal, "pages"),
+        "page_sources": _over(site.page_sources, "captures"),
+        "stand_ins": _over(site.stand_ins, "captures", "pages"),
+        "preview_cards": _over(site.preview_cards, "pages"),
+        "contact_sheet": _over(site.contact_sheet, "pages", "comments"),
+        "cover_links": _over(site.cover_links, "frames", "articles", "pages"),
+        "title_places": _over(site.page_titles_parsed, "pages"),
         "link_report": _over(mirror.link_report, "pages"),
         "relative_links": _over(lambda p: mirror.page_links(p).where("known").groupBy("ref", "path", "rel").agg(F.count(F.lit(1)).alias("n")), "pages"),
         "relinked": _over(mirror.relinked, "pages"),
@@ -122,5 +129,14 @@ def queries() -> dict[str, Query]:
     }
 
 
+def _label_sql() -> str:
+    """The rules are the same patterns for both engines; what differs is who reads them."""
+    rows = " UNION ALL ".join(
+        "SELECT '{}' AS label, count(*) AS pages FROM pages WHERE html IS NOT NULL AND regexp_matches(html, '(?is){}')".format(k, rx.replace("'", "''"))
+        for k, rx in {**malware.STRONG, **malware.WEAK}.items()
+    )
+    return f"SELECT * FROM ({rows}) WHERE pages > 0"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**sql.queries(), **sql_more.queries(sql._REC)}
+    return {**sql.queries(), **sql_more.queries(sql._REC), "malware_labels": _label_sql()}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from restitch.plans.sql import PREPARED
+from restitch.plans.sql import _REVIEWED, PREPARED
 
 HREF = r"""(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)"""
 IMG = r"""(?i)<img\s[^>]*?src\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)"""
@@ -310,6 +310,24 @@ SELECT article_id, count(*) AS pages, count(*) FILTER (regexp_replace(b, '<[^>]*
 ), x AS (SELECT pl.*, coalesce(title, '') AS title, coalesce(title, '') || coalesce(', ' || line, '') || coalesce(': ' || blurb, '') AS hd FROM pl JOIN arts a ON a.id = pl.article_id LEFT JOIN cline c ON c.article_id = pl.article_id
 ), y AS (SELECT src, article_id, CASE WHEN k = 1 THEN {sentences2('hd', "'photo'")} ELSE title || ', photo ' || k || ' of ' || n END AS t FROM x)
 SELECT src, {clip('t', 280)} AS text FROM y QUALIFY row_number() OVER (PARTITION BY src ORDER BY article_id) = 1""",
+        "internal_pages": rf"""WITH b AS (SELECT page_id, {path("coalesce(url, '')")} AS path, substr(coalesce(html, ''), 1, 2048) AS h FROM pages
+), r AS (SELECT page_id, CASE WHEN regexp_matches(path, '^/(list|admin|cgi-bin)\b') THEN 'kept back' WHEN regexp_matches(h, '(?i)<title>\s*index of /') THEN 'directory listing' WHEN regexp_matches(h, '(?i)thank you for (signing up|subscribing|joining)') THEN 'reply' END AS reason FROM b)
+SELECT * FROM r WHERE reason IS NOT NULL""",
+        "page_sources": PREPARED + """SELECT p.page, CASE WHEN m.rec_id IS NULL THEN 'none' WHEN s.source = 'server' THEN 'server' ELSE 'archive' END AS source, m.rec_id
+FROM (SELECT DISTINCT page FROM prep) p LEFT JOIN (SELECT page, rec_id FROM manifest WHERE rank = 1) m USING (page) LEFT JOIN prep s ON s.rec_id = m.rec_id""",
+        "stand_ins": PREPARED + f""", {PICS}, sh AS (SELECT DISTINCT src FROM pic), hv AS (SELECT DISTINCT regexp_extract(page, '^([^?]*)', 1) AS p FROM cand
+), h2 AS (SELECT p, regexp_replace(p, '([^/.])\\.[^/.]*$', '\\1') AS stem FROM hv WHERE lower(regexp_extract(p, '[^/.][^/]*\\.([^/.]*)$', 1)) IN ('jpg', 'jpeg', 'gif', 'png', 'bmp'))
+SELECT src, (SELECT min(p) FROM h2 WHERE stem = regexp_replace(src, '([^/.])\\.[^/.]*$', '\\1')) AS stand_in FROM sh WHERE src NOT IN (SELECT p FROM h2)""",
+        "preview_cards": f"""WITH {PICS}, b AS (SELECT page_id, src, width FROM pic WHERE width >= 200 AND height >= 200 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY width * height DESC, pos) = 1)
+SELECT p.page_id, CASE WHEN b.page_id IS NULL THEN 'none' WHEN width >= 600 THEN 'large' ELSE 'small' END AS card, src FROM pages p LEFT JOIN b USING (page_id) WHERE html IS NOT NULL""",
+        "contact_sheet": _REVIEWED + f""", {PICS}, n AS (SELECT article_id, count(DISTINCT src) AS images FROM pic GROUP BY 1)
+SELECT article_id, tier, coalesce(images, 0) AS images FROM rv LEFT JOIN n USING (article_id) WHERE coalesce(images, 0) >= 5 OR tier <> 'ok'""",
+        "cover_links": "WITH " + MENU + ", " + ARTICLES + ", " + FIRSTS + """, l AS (SELECT DISTINCT issue, folder FROM me WHERE link AND folder <> ''
+), st AS (SELECT article_id AS id, min(page_id) AS page_id FROM pages WHERE article_id IS NOT NULL GROUP BY 1)
+SELECT l.issue, l.folder, a.id::BIGINT AS id, coalesce(c.first, st.page_id) AS page_id FROM l LEFT JOIN arts a ON a.issue = l.issue AND a.folder = l.folder LEFT JOIN st ON st.id = a.id LEFT JOIN copies c ON c.page_id = st.page_id""",
+        "title_places": rf"""WITH t AS (SELECT page_id, {squeeze(strip("regexp_extract(html, '(?is)<title>([^<]*)</title>', 1)"))} AS t FROM pages WHERE html IS NOT NULL)
+SELECT page_id, 'hours' AS kind, lower(regexp_extract(t, '(?i)^\w+ hours on (.+)$', 1)) AS place FROM t WHERE regexp_matches(t, '(?i)^\w+ hours on (.+)$')
+UNION ALL SELECT page_id, 'why', lower(regexp_extract(t, '(?i)^why (.+) keeps its \w+(?: \w+)*$', 1)) FROM t WHERE regexp_matches(t, '(?i)^why (.+) keeps its \w+(?: \w+)*$')""",
         "slugs": f"""WITH {ARTICLES}, s AS (SELECT id, coalesce(issue, 0) AS issue, coalesce(nullif(regexp_replace(regexp_replace(lower(regexp_replace(strip_accents(coalesce(title, '')), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'untitled') AS s FROM arts
 ), r AS (SELECT *, row_number() OVER (PARTITION BY issue, s ORDER BY id) AS nr FROM s)
 SELECT id, issue, CASE WHEN nr = 1 THEN s ELSE s || '-' || id END AS slug FROM r""",
