@@ -78,17 +78,17 @@ def manifest(captures: DataFrame) -> DataFrame:
     A page with any capture that is no html keeps only those.  An html candidate is a fallback,
     and demoted, when a home page has the same content or at least SHARED_BY pages do.
     """
-    c = candidates(captures)
-    uniq = latest_per_digest(c)
+    uniq = latest_per_digest(candidates(captures))
     html = F.col("mime").startswith("text/html")
-    assets = uniq.where(~html).withColumn("kind", F.lit("asset"))
-    kept = assets.unionByName(uniq.where(html).withColumn("kind", F.lit("html")).join(assets.select("page").distinct(), "page", "left_anti"))
-    shared = owners(c).where(F.col("n_pages") >= SHARED_BY).select("digest", F.lit(True).alias("shared"))
-    home = c.where(F.col("page").isin(*HOME_PAGES)).select("digest").distinct().withColumn("home", F.lit(True))
-    demoted = (F.col("kind") == "html") & ~F.col("page").isin(*HOME_PAGES) & (F.coalesce("shared", F.lit(False)) | F.coalesce("home", F.lit(False)))
+    # one row per page and digest, so pages are counted without a distinct; both flags of a digest in one aggregate
+    fallback = uniq.groupBy("digest").agg(F.count(F.lit(1)).alias("n_pages"), F.bool_or(F.col("page").isin(*HOME_PAGES)).alias("home"))
+    fallback = fallback.where((F.col("n_pages") >= SHARED_BY) | F.col("home")).select("digest", F.lit(True).alias("fallback"))
+    media = uniq.where(~html).select("page").distinct().withColumn("media", F.lit(True))
+    kept = uniq.join(media, "page", "left").where(~html | F.col("media").isNull()).withColumn("kind", F.when(html, "html").otherwise("asset"))
+    demoted = (F.col("kind") == "html") & ~F.col("page").isin(*HOME_PAGES) & F.coalesce("fallback", F.lit(False))
     order = Window.partitionBy("page").orderBy("demoted", F.col("ts").desc(), "rec_id")
     return (
-        kept.join(shared, "digest", "left").join(home, "digest", "left").withColumn("demoted", demoted)
+        kept.join(fallback, "digest", "left").withColumn("demoted", demoted)
         .withColumn("rank", F.row_number().over(order))
         .select("page", "kind", "rank", "demoted", "ts", "digest", "mime", "rec_id", "n_captures")
     )

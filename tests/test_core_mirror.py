@@ -173,3 +173,24 @@ def test_map_documents(spark):
 def test_path_labels(spark):
     df = spark.createDataFrame([(x,) for x in ["2/", "a3/", "pos", "index2.php", "photo7", "some-name"]], "p string")
     assert [r.x for r in df.select(editorial.path_label(F.col("p")).alias("x")).collect()] == ["page 2", "side a, song 3", "for", "page 2", "photo 7", "some name"]
+
+
+def test_site_rules(spark, sf):
+    from restitch.operators import manifest, site
+
+    a = spark.createDataFrame([(1, "fine"), (2, "<script>"), (3, "x L0V3 y"), (4, None)], "id int, title string")
+    assert [r.id for r in site.guarded(a).orderBy("id").collect()] == [1, 4]
+    p = spark.createDataFrame([(1, "http://h/issues/a/b/x"), (2, "http://h/issues/a/c/y"), (3, "http://h/about"), (4, "http://h/issues/a/d/"), (5, None)], "page_id bigint, url string")
+    no = spark.createDataFrame([("/issues/a/c/",), ("/issues/a/b/x",)], "url string")
+    assert [r.page_id for r in site.with_ads(p, no).collect()] == [4]
+    c = spark.read.parquet(f"{sf}/captures.parquet")
+    assert site.selected(c).count() == manifest.manifest(c).count() and site.selected(c, only="^/issues/", limit=3).select("page").distinct().count() == 3
+    v = spark.createDataFrame([(1, "2/", None), (1, "2/view-1/", "A"), (1, "2/view-2/", "B"), (1, "3/", None), (1, "3/view-2/", "C"), (1, "", "M")], "article_id bigint, variant_path string, page string")
+    assert {r.variant_path: r.page for r in site.first_views(v).collect()} == {"2/": "A", "2/view-1/": "A", "2/view-2/": "B", "3/": None, "3/view-2/": "C", "": "M"}
+    w = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "path string")
+    arch, server = spark.createDataFrame([("a", "A")], "path string, css string"), spark.createDataFrame([("a", "S"), ("b", "B"), ("c", "<?php x")], "path string, css string")
+    assert {r.path: r.css for r in site.style_sources(w, arch, server).collect()} == {"a": "A", "b": "B", "c": "", "d": ""}
+    t = spark.createDataFrame([("Ann Lee 29 baker",), ("no age",), (None,)], "text string")
+    assert [tuple(r)[1:] for r in site.captions(t).collect()] == [("Ann Lee", 29, "baker")]
+    f = spark.createDataFrame([("<link>http://old</link><item><link>http://x</link></item>",)], "f string").select(site.relinked_feed(F.col("f"), {"http://x": "/y"}).alias("f")).first().f
+    assert f == "<link>http://old</link><item><link>/y</link></item>"
