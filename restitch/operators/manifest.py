@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from restitch.functions.captures import digest32, source_key, time14
 from restitch.functions.urls import extension, listing_sort, page_identity, url_path
-from restitch.session import written
+from restitch.session import spread, written
 
 # Fixed values.
 CUTOFF = "20150731999999"
@@ -25,7 +25,9 @@ FETCHED = ("commoncrawl", "server")
 
 def prepared(captures: DataFrame) -> DataFrame:
     """(rec_id, page, path, ts, digest, mime, status, bytes, source, url, verified) in normal form."""
-    return captures.where("url is not null").select(
+    # parsing is CPU-bound: a table in one file must not run in one task; a large one is left as it is split
+    rows = spread(captures.where("url is not null").select("rec_id", "url", "ts", "digest", "mime", "status", "bytes", "source", "verified"), "rec_id", per_core=1)
+    return rows.select(
         "rec_id", page_identity(F.col("url")).alias("page"), url_path(F.col("url")).alias("path"), time14(F.col("ts")).alias("ts"),
         digest32(F.col("digest")).alias("digest"), F.lower(F.trim(F.regexp_replace(F.coalesce("mime", F.lit("unk")), ";.*$", ""))).alias("mime"),
         "status", "bytes", source_key(F.col("source")).alias("source"), "url", "verified",
@@ -43,10 +45,13 @@ def skip_reason(p: DataFrame) -> DataFrame:
     return p.withColumn("reason", reason)
 
 
-def candidates(captures: DataFrame) -> DataFrame:
-    """Captures that may be published; files of the server copy only fill pages that no archive has."""
-    # parsed once, read by every stage below
-    kept = written(skip_reason(prepared(captures)).where("reason is null").drop("reason"))
+def candidates(captures: DataFrame, parsed: DataFrame | None = None) -> DataFrame:
+    """Captures that may be published; files of the server copy only fill pages that no archive has.
+
+    The captures are parsed once into a table, as a filter on parsed columns would parse them again;
+    a caller that has parsed them already hands the table in.
+    """
+    kept = skip_reason(written(prepared(captures)) if parsed is None else parsed).where("reason is null").drop("reason")
     real = (F.coalesce("source", F.lit("")) != "server") & ~(
         extension(F.regexp_extract("page", r"^([^?]*)", 1)).isin(*MEDIA) & F.col("mime").startswith("text/html")
     )
@@ -72,13 +77,13 @@ def owners(cands: DataFrame) -> DataFrame:
     return cands.groupBy("digest").agg(F.count_distinct("page").alias("n_pages"))
 
 
-def manifest(captures: DataFrame) -> DataFrame:
+def manifest(captures: DataFrame, parsed: DataFrame | None = None) -> DataFrame:
     """(page, kind, rank, demoted, ts, digest, mime, rec_id, n_captures): candidates in the order to try them.
 
     A page with any capture that is no html keeps only those.  An html candidate is a fallback,
     and demoted, when a home page has the same content or at least SHARED_BY pages do.
     """
-    uniq = latest_per_digest(candidates(captures))
+    uniq = latest_per_digest(candidates(captures, parsed))
     html = F.col("mime").startswith("text/html")
     # one row per page and digest, so pages are counted without a distinct; both flags of a digest in one aggregate
     fallback = uniq.groupBy("digest").agg(F.count(F.lit(1)).alias("n_pages"), F.bool_or(F.col("page").isin(*HOME_PAGES)).alias("home"))
@@ -142,10 +147,11 @@ def html_at_media(captures: DataFrame) -> DataFrame:
 
 def reconcile(captures: DataFrame) -> DataFrame:
     """(rec_id, path, status): files of the server copy against what the archives have."""
-    p = prepared(captures).where("digest is not null and page not like '%?%'")
+    parsed = written(prepared(captures))
+    p = parsed.where("digest is not null and page not like '%?%'")
     server = p.where("source = 'server'").select("rec_id", F.col("page").alias("path"), "digest")
     archive = p.where("coalesce(source, '') != 'server'")
-    chosen = manifest(captures).where("rank = 1").select(F.col("page").alias("path"), F.col("digest").alias("chosen"))
+    chosen = manifest(captures, parsed).where("rank = 1").select(F.col("page").alias("path"), F.col("digest").alias("chosen"))
     by_path = archive.groupBy(F.col("page").alias("path"), "digest").agg(F.lit(True).alias("same"))
     paths = archive.select(F.col("page").alias("path")).distinct().withColumn("known", F.lit(True))
     elsewhere = archive.select("digest").distinct().withColumn("elsewhere", F.lit(True))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from restitch.functions.text import escape_html, tidy
 from restitch.functions.urls import directory, extension, query_pairs, url_path
 from restitch.operators import manifest as M
+from restitch.session import written
 
 # Attributes, robots marks, and the limits of the page map format.
 HREF = r"(?i)<a\s[^>]*?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)"
@@ -105,7 +106,8 @@ def routes(captures: DataFrame, pages: DataFrame, issues: DataFrame) -> DataFram
     to the issue; any other script address to its archived copy, under its own name or one of its old
     aliases, else home; a file to its archived copy with or without its query, else nowhere (null).
     """
-    old = M.prepared(captures).select("page").distinct()
+    parsed = written(M.prepared(captures))
+    old = parsed.select("page").distinct()
     q = query_pairs(F.regexp_extract("page", r"\?(.*)$", 1))
     path = F.regexp_extract("page", r"^([^?]*)", 1)
     rows = old.select("page", path.alias("path"), q.alias("q")).select(
@@ -126,7 +128,7 @@ def routes(captures: DataFrame, pages: DataFrame, issues: DataFrame) -> DataFram
     )
     asked = rows.select("page", F.posexplode(tries).alias("rank", "key")).where("key is not null")
     base = article_bases(pages)
-    first = M.manifest(captures).where("rank = 1 and not demoted").select("page")
+    first = M.manifest(captures, parsed).where("rank = 1 and not demoted").select("page")
     captured = first.where("page like '/main.php?%'").select(query_pairs(F.regexp_extract("page", r"\?(.*)$", 1)).alias("q")).select(
         _value(F.col("q"), "article").alias("a"), _text(F.filter("q", lambda p: (p["k"] != "article") & ~((p["k"] == "page") & p["v"].isin("", "main", "index")))).alias("v")
     ).where("a is not null").distinct()

@@ -11,6 +11,7 @@ from restitch.operators import manifest as M
 from restitch.operators.catalog import articles_once
 from restitch.operators.editorial import menu_entries, page_pictures
 from restitch.operators.pages import first_copies, review
+from restitch.session import written
 
 # Sizes of a preview card, and what a listing or a reply page shows.
 CARD_WIDTH, LEAST_SIDE, SHEET_IMAGES = 600, 200, 5
@@ -54,9 +55,10 @@ def selected(captures: DataFrame, only: str | None = None, limit: int | None = N
 
 def page_sources(captures: DataFrame) -> DataFrame:
     """(page, source, rec_id): which copy a page is shown from: an archive's first choice, else the server's file, else nothing."""
-    p = M.prepared(captures).select("page").distinct()
-    first = M.manifest(captures).where("rank = 1").select("page", "rec_id")
-    by = M.prepared(captures).select("rec_id", F.coalesce("source", F.lit("")).alias("source"))
+    parsed = written(M.prepared(captures))
+    p = parsed.select("page").distinct()
+    first = M.manifest(captures, parsed).where("rank = 1").select("page", "rec_id")
+    by = parsed.select("rec_id", F.coalesce("source", F.lit("")).alias("source"))
     chosen = first.join(by, "rec_id").select("page", F.when(F.col("source") == "server", "server").otherwise("archive").alias("source"), "rec_id")
     return p.join(chosen, "page", "left").select("page", F.coalesce("source", F.lit("none")).alias("source"), "rec_id")
 
